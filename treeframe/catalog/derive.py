@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from treeframe.functions.languages import url_path
 from treeframe.registry import CODE_LANGUAGES, MARKUP, Language, Registry
-from treeframe.sources.corpus import corpus_from_table
+from treeframe.sources.corpus import corpus_from_table, spread
 
 PAGE_LANGUAGES = CODE_LANGUAGES.add(MARKUP)
 PROSE_LANGUAGES = Registry([
@@ -29,23 +29,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A text table about to be parsed, over all cores."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files of a given language."""
     return corpus_from_table(
-        table(spark, sf_dir, "pages"), "page_id", "html", F.lit("html"), url_path(F.col("url"))
+        texts(spark, sf_dir, "pages", "page_id", "html", "url"),
+        "page_id", "html", F.lit("html"), url_path(F.col("url")),
     )
 
 
 def found_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files whose language is left to the path."""
     return corpus_from_table(
-        table(spark, sf_dir, "pages"), "page_id", "html", None, url_path(F.col("url"))
+        texts(spark, sf_dir, "pages", "page_id", "html", "url"),
+        "page_id", "html", None, url_path(F.col("url")),
+    )
+
+
+def page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("file_id"), url_path(F.col("url")).alias("path")
     )
 
 
 def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files, about to be parsed."""
+    return _documents(texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
+def document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files for work that is as cheap as the scan itself."""
+    return _documents(table(spark, sf_dir, "documents"))
+
+
+def _documents(documents: DataFrame) -> DataFrame:
     return corpus_from_table(
-        table(spark, sf_dir, "documents"), "doc_id", "text", "lang",
+        documents, "doc_id", "text", "lang",
         F.concat_ws("/", F.col("source"), F.col("doc_id").cast("string")),
     )
 
@@ -55,7 +78,8 @@ def _first_word(line: Column) -> Column:
 
 
 def _last_word(line: Column) -> Column:
-    return F.concat(F.lit("f_"), F.lower(F.regexp_extract(line, "([A-Za-z]+)[^A-Za-z]*$", 1)))
+    words = F.regexp_extract_all(line, F.lit("[A-Za-z]+"), F.lit(0))
+    return F.concat(F.lit("f_"), F.lower(F.coalesce(F.try_element_at(words, F.lit(-1)), F.lit(""))))
 
 
 def _joined(*parts: Column | str) -> Column:
@@ -94,7 +118,8 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     language = F.lit("cpp")
     for lang, name in CODE_OF.items():
         language = F.when(F.col("lang") == lang, F.lit(name)).otherwise(language)
-    return corpus_from_table(table(spark, sf_dir, "documents"), "doc_id", code, language)
+    documents = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return corpus_from_table(documents, "doc_id", code, language)
 
 
 def code_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +129,7 @@ def code_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "  function_definition\n    identifier: ", quoted(_first_word(l)),
         "\n    block\n      call\n        identifier: ", quoted(_last_word(l)),
     )
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select(
         F.col("doc_id").alias("file_id"),
         _joined("module\n", F.array_join(F.transform(F.split("text", "\n"), one), "\n"))
         .alias("ast_text"),

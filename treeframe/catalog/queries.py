@@ -209,7 +209,7 @@ def text_occurrences(spark, sf_dir):
 
 @query
 def preview(spark, sf_dir):
-    return results.preview(D.document_files(spark, sf_dir), "content").select("file_id", "preview")
+    return results.preview(D.document_table(spark, sf_dir), "content").select("file_id", "preview")
 
 
 @query
@@ -254,7 +254,7 @@ def format_report(spark, sf_dir):
 
 @query
 def detect_language(spark, sf_dir):
-    paths = D.found_pages(spark, sf_dir).select("file_id", "path")
+    paths = D.page_paths(spark, sf_dir)
     return languages.detect_language(paths, extensions=D.WEB_EXTENSIONS)
 
 
@@ -265,7 +265,7 @@ def detect_code_language(spark, sf_dir):
 
 @query
 def resolve_language(spark, sf_dir):
-    files = D.found_pages(spark, sf_dir).withColumn(
+    files = D.page_paths(spark, sf_dir).withColumn(
         "language", F.when(F.col("path").startswith("https:"), F.lit("HTML")).otherwise(F.lit(""))
     )
     return languages.resolve_language(files, D.WEB_EXTENSIONS).select(
@@ -280,7 +280,7 @@ def compare_detectors(spark, sf_dir):
 
 @query
 def language_config(spark, sf_dir):
-    files = D.document_files(spark, sf_dir).select("file_id", "language")
+    files = D.document_table(spark, sf_dir).select("file_id", "language")
     return languages.with_language_config(files, D.PROSE_LANGUAGES).select(
         "file_id", "language", "registry_pos", "producer",
         F.array_join("include_types", ",").alias("include_types"),
@@ -289,7 +289,7 @@ def language_config(spark, sf_dir):
 
 @query
 def check_supported(spark, sf_dir):
-    files = D.document_files(spark, sf_dir).select("file_id", "language")
+    files = D.document_table(spark, sf_dir).select("file_id", "language")
     return languages.check_supported(files, D.PROSE_LANGUAGES).select(
         "file_id", "language", "error"
     )
@@ -297,13 +297,13 @@ def check_supported(spark, sf_dir):
 
 @query
 def check_languages(spark, sf_dir):
-    asked = D.document_files(spark, sf_dir).select("language").distinct()
+    asked = D.document_table(spark, sf_dir).select("language").distinct()
     return languages.check_languages(asked, D.PROSE_LANGUAGES)
 
 
 @query
 def list_languages(spark, sf_dir):
-    return languages.supported_in(D.document_files(spark, sf_dir), D.PROSE_LANGUAGES)
+    return languages.supported_in(D.document_table(spark, sf_dir), D.PROSE_LANGUAGES)
 
 
 # --- sources, requests, stores ---------------------------------------------
@@ -331,7 +331,7 @@ def decode_text(spark, sf_dir):
 @query
 def read_errors(spark, sf_dir):
     """Documents asked for by path; only the labelled ones can be read."""
-    files = D.document_files(spark, sf_dir)
+    files = D.document_table(spark, sf_dir)
     labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
     found = files.join(labelled, "file_id", "left_semi")
     out = corpus.with_read_errors(files.select("path"), found)
@@ -387,7 +387,7 @@ def fetch_results(spark, sf_dir):
     folder = _saved(spark, sf_dir)
     labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
     ids = (
-        versions.with_content_hash(D.document_files(spark, sf_dir))
+        versions.with_content_hash(D.document_table(spark, sf_dir))
         .join(labelled, "file_id", "left_semi")
         .withColumn("parser", F.when(F.col("language").isin("en", "fr"), "prose").otherwise("markup"))
         .select(store.result_id(F.col("content_hash"), F.col("language"), F.col("parser")).alias("id"))
@@ -400,14 +400,14 @@ def fetch_results(spark, sf_dir):
 
 @query
 def content_hash_of(spark, sf_dir):
-    return versions.with_content_hash(D.document_files(spark, sf_dir)).select(
+    return versions.with_content_hash(D.document_table(spark, sf_dir)).select(
         "file_id", "content_hash"
     )
 
 
 @query
 def duplicate_groups(spark, sf_dir):
-    return versions.duplicate_groups(D.document_files(spark, sf_dir))
+    return versions.duplicate_groups(D.document_table(spark, sf_dir))
 
 
 def _keyed(files: DataFrame) -> DataFrame:
@@ -417,7 +417,7 @@ def _keyed(files: DataFrame) -> DataFrame:
 @query
 def incremental(spark, sf_dir):
     """Documents still to parse when the labelled ones are done."""
-    files = _keyed(D.document_files(spark, sf_dir))
+    files = _keyed(D.document_table(spark, sf_dir))
     labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
     done = files.join(labelled, "file_id", "left_semi")
     return versions.incremental(files, done).select("file_id", "content_hash", "language")

@@ -53,11 +53,12 @@ def quote_literal(text: Column) -> Column:
 
 def unquote_literal(literal: Column) -> Column:
     """Inner text of a quoted literal with the common escapes undone."""
-    inner = F.regexp_extract(literal, r"(?s)^['\"](.*)['\"]$", 1)
+    inner = F.substring(literal, F.lit(2), F.length(literal) - 2)
     hidden = F.replace(inner, F.lit("\\\\"), F.lit("\u0000"))
     for escape, plain in (("\\'", "'"), ("\\t", "\t"), ("\\r", "\r"), ("\\n", "\n")):
         hidden = F.replace(hidden, F.lit(escape), F.lit(plain))
-    return F.replace(hidden, F.lit("\u0000"), F.lit("\\"))
+    plain = F.replace(hidden, F.lit("\u0000"), F.lit("\\"))
+    return F.when(literal.contains("\\"), plain).otherwise(inner)
 
 
 def leaf_literal(text: Column) -> Column:

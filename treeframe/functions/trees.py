@@ -137,17 +137,27 @@ def markup_tree(content: Column) -> Column:
 def outline_tree(outline: Column) -> Column:
     """Outline text back to a tree; the inverse of :func:`render`."""
 
-    def entry(line: Column) -> Column:
-        body = F.ltrim(line)
-        leaf = F.regexp_extract(body, r"^(.+?): (['\"].*)$", 1)
-        return _entry(
-            F.floor((F.length(line) - F.length(body)) / 2),
-            F.when(leaf != "", leaf).otherwise(body),
-            F.when(leaf != "", unquote_literal(F.substring(body, F.length(leaf) + 3, _NO_LIMIT))),
+    # A leaf line is ``type: literal``; the type itself may hold a colon.
+    split = F.transform(
+        F.filter(F.split(outline, "\n"), lambda l: l.rlike(_VISIBLE)),
+        lambda l: F.struct(
+            l.alias("line"), F.ltrim(l).alias("body"),
+            F.regexp_extract(l, r"^ *(.+?): ['\"]", 1).alias("leaf"),
+        ),
+    )
+    return finish(
+        F.transform(
+            split,
+            lambda x: _entry(
+                F.floor((F.length(x["line"]) - F.length(x["body"])) / 2),
+                F.when(x["leaf"] != "", x["leaf"]).otherwise(x["body"]),
+                F.when(
+                    x["leaf"] != "",
+                    unquote_literal(F.substring(x["body"], F.length(x["leaf"]) + 3, _NO_LIMIT)),
+                ),
+            ),
         )
-
-    lines = F.filter(F.split(outline, "\n"), lambda l: l.rlike(_VISIBLE))
-    return finish(F.transform(lines, entry))
+    )
 
 
 def prose_tree(text: Column) -> Column:
@@ -183,24 +193,25 @@ def with_paths(tree: Column) -> Column:
     """
 
     def joined(nodes: Column) -> Column:
+        # State: ords of the open nodes, from the root down to this node.
         chains = running(
             nodes,
             F.expr("cast(array() as array<int>)"),
-            lambda chain, n: F.array_append(
-                F.slice(chain, 1, F.least(n["depth"], F.size(chain))), n["ord"]
-            ),
+            lambda chain, n: F.array_append(F.slice(chain, F.lit(1), n["depth"]), n["ord"]),
         )
-        return F.transform(
-            F.arrays_zip(nodes.alias("node"), chains.alias("chain")),
-            lambda z: let(
-                F.slice(z["chain"], 1, F.size(z["chain"]) - 1),
-                lambda above: F.struct(
-                    *[z["node"][f].alias(f) for f in schemas.NODE.fieldNames()],
-                    F.get(above, F.size(above) - 1).alias("parent_ord"),
-                    F.transform(above, lambda o: F.get(nodes, o)["node_type"]).alias("path_types"),
-                    above.alias("path_ords"),
-                ),
-            ),
+
+        def node(chain: Column, n: Column) -> Column:
+            above = F.slice(chain, F.lit(1), F.size(chain) - 1)
+            return F.struct(
+                *[n[f].alias(f) for f in schemas.NODE.fieldNames()],
+                F.get(chain, F.size(chain) - 2).alias("parent_ord"),
+                F.transform(above, lambda o: F.get(nodes, o)["node_type"]).alias("path_types"),
+                above.alias("path_ords"),
+            )
+
+        return let(
+            chains,
+            lambda found: F.transform(nodes, lambda n, i: node(F.get(found, i), n)),
         )
 
     return let(tree, joined)
@@ -315,7 +326,7 @@ def enclosing(tree: Column, types: Iterable[str]) -> Column:
             nodes,
             F.expr("cast(array() as array<int>)"),
             lambda chain, n: let(
-                F.slice(chain, 1, F.least(n["depth"], F.size(chain))),
+                F.slice(chain, F.lit(1), n["depth"]),
                 lambda above: F.array_append(
                     above,
                     F.coalesce(F.get(above, F.size(above) - 1), F.lit(0))

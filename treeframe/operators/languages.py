@@ -88,19 +88,20 @@ def check_languages(df: DataFrame, registry: Registry) -> DataFrame:
 
 
 def list_languages(languages: DataFrame) -> DataFrame:
-    """One row per language name, in order, with the number of languages.
+    """The names of a registry table in order, each with the number of languages.
 
-    ``languages`` is the registry table or any relation with a ``language``
-    column; duplicates are removed with partial aggregation first.
+    The names end up in one row, so pass a registry (which is bounded) or names
+    filtered by one.
     """
-    names = languages.select("language").where(F.col("language").isNotNull()).distinct()
-    total = names.agg(F.count("*").alias("count"))
-    return names.join(F.broadcast(total)).orderBy("language")
+    names = languages.agg(F.array_sort(F.collect_set("language")).alias("names"))
+    return names.select(
+        F.explode("names").alias("language"), F.size("names").cast("bigint").alias("count")
+    )
 
 
 def supported_in(df: DataFrame, registry: Registry) -> DataFrame:
     """Languages of a corpus that the registry supports, in order, with their number."""
-    names = df.select(F.lower("language").alias("language")).distinct()
+    names = df.select(F.lower("language").alias("language"))
     return list_languages(names.where(F.col("language").isin(registry.names())))
 
 

@@ -18,6 +18,18 @@ def _as_column(value: str | Column | None, kind: str = "string") -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Files over all cores when their input has fewer splits than there are cores.
+
+    A large input has more splits than cores and is returned as it is: no
+    shuffle. Use it before parsing a small or badly split table.
+    """
+    if files.isStreaming:
+        return files
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files if files.rdd.getNumPartitions() >= cores else files.repartition(cores)
+
+
 def decode_text(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Replace a binary column by ``content`` and ``encoding``."""
     return (
