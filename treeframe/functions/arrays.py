@@ -7,6 +7,7 @@ own array: no shuffle, no window, and no file can outgrow a group.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,16 @@ BLOCK = 128
 _ALL = 2_000_000_000
 
 
+@lru_cache(maxsize=256)
+def over(build: Callable[..., Column], *names: str, **options) -> Column:
+    """``build`` applied to named columns, with hashable options.
+
+    A long expression takes many calls into the JVM to make, so it is made
+    once and used in every plan that needs it.
+    """
+    return build(*[F.col(name) for name in names], **options)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeframe.functions.arrays import let, running
+from treeframe.functions.arrays import let, over, running
 
 # (language, node type, pattern with the name as group 1); the first match wins.
 DECL_RULES: tuple[tuple[str, str, str], ...] = (
@@ -88,18 +88,21 @@ def line_decls(files: DataFrame, content: str = "content") -> DataFrame:
 
     ``language`` selects the rules; a file in another language gives no rows.
     """
-    lines = F.split(F.col(content), "\n")
-    numbered = let(
-        lines,
-        lambda ls: F.transform(
-            F.arrays_zip(ls.alias("line"), _line_depths(F.col("language"), ls).alias("depth")),
-            lambda z, i: F.struct((i + 1).alias("line_no"), z["depth"].alias("depth"),
-                                  z["line"].alias("line")),
-        ),
-    )
-    rows = files.select("file_id", "language", F.inline_outer(numbered))
+    rows = files.select("file_id", "language", F.inline_outer(over(_numbered, content, "language")))
     return (
-        rows.withColumn("decl", _decl(F.col("language"), F.col("line")))
+        rows.withColumn("decl", over(_decl, "language", "line"))
         .where(F.col("decl").isNotNull())
         .select("file_id", "language", "line_no", "depth", "decl.node_type", "decl.name")
     )
+
+
+def _numbered(content: Column, language: Column) -> Column:
+    return let(
+        F.split(content, "\n"),
+        lambda lines: F.transform(
+            F.arrays_zip(lines.alias("line"), _line_depths(language, lines).alias("depth")),
+            lambda z, i: F.struct(
+                (i + 1).alias("line_no"), z["depth"].alias("depth"), z["line"].alias("line")
+            ),
+        ),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.functions import trees as T
-from treeframe.functions.arrays import let, run_lengths
+from treeframe.functions.arrays import let, over, run_lengths
 
 
 def _per_file(trees: DataFrame, **columns) -> DataFrame:
@@ -28,7 +28,7 @@ def node_count(nodes: DataFrame) -> DataFrame:
 def construct_counts(trees: DataFrame) -> DataFrame:
     """Nodes per file and type, counted inside each file's row."""
     keep = [c for c in trees.columns if c != "tree"]
-    return trees.select(*keep, F.inline_outer(T.type_counts(F.col("tree")))).withColumnsRenamed(
+    return trees.select(*keep, F.inline_outer(over(T.type_counts, "tree"))).withColumnsRenamed(
         {"value": "node_type", "n": "nodes"}
     )
 
@@ -53,19 +53,22 @@ def nesting_metrics(trees: DataFrame, control_types: Iterable[str]) -> DataFrame
     """Deepest and mean level, and the most control nodes around any node."""
     return _per_file(
         trees,
-        max_depth=T.max_depth(F.col("tree")),
-        mean_depth=T.mean_depth(F.col("tree")),
-        max_nesting=F.array_max(T.enclosing(F.col("tree"), control_types)),
+        max_depth=over(T.max_depth, "tree"),
+        mean_depth=over(T.mean_depth, "tree"),
+        max_nesting=F.array_max(over(T.enclosing, "tree", types=tuple(control_types))),
     )
 
 
 def prune_ratio(trees: DataFrame, include=None, exclude=None) -> DataFrame:
     """Nodes in the tree, nodes an outline shows, and the share removed."""
+    include, exclude = (None if t is None else tuple(t) for t in (include, exclude))
     return (
         _per_file(
             trees,
             raw_nodes=F.size("tree").cast("bigint"),
-            shown_nodes=F.size(T.prune(F.col("tree"), include, exclude)).cast("bigint"),
+            shown_nodes=F.size(over(T.prune, "tree", include=include, exclude=exclude)).cast(
+                "bigint"
+            ),
         )
         .withColumn("removed", 1 - F.col("shown_nodes") / F.col("raw_nodes"))
     )
@@ -78,52 +81,58 @@ def defects(files: DataFrame, content: str = "content") -> DataFrame:
     open, ``left_open`` the tags still open at its end. A file with defects
     still parses.
     """
+    found = over(_markup_defects, content)
+    return files.select("file_id", F.inline_outer(found)).where(F.col("node_type").isNotNull())
 
-    def tags(tokens: Column, weight: int) -> Column:
-        return F.map_from_entries(
-            run_lengths(
-                F.transform(
-                    F.filter(tokens, lambda t: t["weight"] == weight), lambda t: t["tag"]
-                )
+
+def _tags(tokens: Column, weight: int) -> Column:
+    return F.map_from_entries(
+        run_lengths(
+            F.transform(
+                F.filter(tokens, lambda t: t["weight"] == weight), lambda t: t["tag"]
             )
         )
+    )
 
-    def levels(tokens: Column) -> Column:
-        # State: open tags (never below zero) and closings that found none open.
-        return F.aggregate(
-            tokens,
-            F.struct(F.lit(0).alias("open"), F.lit(0).alias("unmatched")),
-            lambda s, t: F.struct(
-                F.greatest(s["open"] + t["weight"], F.lit(0)).alias("open"),
-                (s["unmatched"] + ((s["open"] == 0) & (t["weight"] == -1)).cast("int"))
-                .alias("unmatched"),
-            ),
-        )
 
-    def unbalanced(tokens: Column) -> Column:
-        counted = F.struct(
-            tags(tokens, 1).alias("opened"), tags(tokens, -1).alias("closed"),
-            levels(tokens).alias("levels"),
-        )
+def _levels(tokens: Column) -> Column:
+    # State: open tags (never below zero) and closings that found none open.
+    return F.aggregate(
+        tokens,
+        F.struct(F.lit(0).alias("open"), F.lit(0).alias("unmatched")),
+        lambda s, t: F.struct(
+            F.greatest(s["open"] + t["weight"], F.lit(0)).alias("open"),
+            (s["unmatched"] + ((s["open"] == 0) & (t["weight"] == -1)).cast("int"))
+            .alias("unmatched"),
+        ),
+    )
 
-        def rows(c: Column) -> Column:
-            seen = F.array_union(F.map_keys(c["opened"]), F.map_keys(c["closed"]))
-            count = lambda side, tag: F.coalesce(F.try_element_at(c[side], tag), F.lit(0))
-            return F.filter(
-                F.transform(
-                    seen,
-                    lambda tag: F.struct(
-                        tag.alias("node_type"),
-                        count("opened", tag).cast("bigint").alias("opened"),
-                        count("closed", tag).cast("bigint").alias("closed"),
-                        c["levels"]["unmatched"].cast("bigint").alias("unmatched_closes"),
-                        c["levels"]["open"].cast("bigint").alias("left_open"),
-                    ),
+
+def _unbalanced(tokens: Column) -> Column:
+    counted = F.struct(
+        _tags(tokens, 1).alias("opened"), _tags(tokens, -1).alias("closed"),
+        _levels(tokens).alias("levels"),
+    )
+
+    def rows(c: Column) -> Column:
+        seen = F.array_union(F.map_keys(c["opened"]), F.map_keys(c["closed"]))
+        count = lambda side, tag: F.coalesce(F.try_element_at(c[side], tag), F.lit(0))
+        return F.filter(
+            F.transform(
+                seen,
+                lambda tag: F.struct(
+                    tag.alias("node_type"),
+                    count("opened", tag).cast("bigint").alias("opened"),
+                    count("closed", tag).cast("bigint").alias("closed"),
+                    c["levels"]["unmatched"].cast("bigint").alias("unmatched_closes"),
+                    c["levels"]["open"].cast("bigint").alias("left_open"),
                 ),
-                lambda r: r["opened"] != r["closed"],
-            )
+            ),
+            lambda r: r["opened"] != r["closed"],
+        )
 
-        return let(counted, rows)
+    return let(counted, rows)
 
-    found = let(T.markup_tokens(F.col(content)), unbalanced)
-    return files.select("file_id", F.inline_outer(found)).where(F.col("node_type").isNotNull())
+
+def _markup_defects(content: Column) -> Column:
+    return let(T.markup_tokens(content), _unbalanced)

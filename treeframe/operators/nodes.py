@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from treeframe import schemas
 from treeframe.functions import trees as T
+from treeframe.functions.arrays import over
 from treeframe.operators.languages import with_language_config
 from treeframe.registry import Registry
 
@@ -16,7 +17,7 @@ _PATH_FIELDS = ("parent_ord", "path_types", "path_ords")
 
 
 def _trees(files: DataFrame, build: Callable[[Column], Column], content: str) -> DataFrame:
-    return files.withColumn("tree", build(F.col(content))).drop(content)
+    return files.withColumn("tree", over(build, content)).drop(content)
 
 
 def markup_trees(files: DataFrame, content: str = "content") -> DataFrame:
@@ -40,7 +41,7 @@ def explode_nodes(trees: DataFrame, paths: bool = True) -> DataFrame:
     Every tree has a root, so the outer form drops nothing; it also keeps
     Catalyst from evaluating the tree a second time in an inferred filter.
     """
-    tree = T.with_paths(F.col("tree")) if paths else F.col("tree")
+    tree = over(T.with_paths, "tree") if paths else F.col("tree")
     keep = [c for c in trees.columns if c != "tree"]
     return trees.select(*keep, F.inline_outer(tree)).where(F.col("ord").isNotNull())
 
@@ -105,12 +106,13 @@ def prune_trees(
     exclude: Iterable[str] | None = None,
 ) -> DataFrame:
     """Prune whole trees row by row; same result as pruning their node rows."""
-    return trees.withColumn("tree", T.prune(F.col("tree"), include, exclude))
+    include, exclude = (None if t is None else tuple(t) for t in (include, exclude))
+    return trees.withColumn("tree", over(T.prune, "tree", include=include, exclude=exclude))
 
 
 def render_outline(trees: DataFrame) -> DataFrame:
-    return trees.withColumn("ast_text", T.render(F.col("tree"))).drop("tree")
+    return trees.withColumn("ast_text", over(T.render, "tree")).drop("tree")
 
 
 def render_types(trees: DataFrame) -> DataFrame:
-    return trees.withColumn("ast_text", T.render_types(F.col("tree"))).drop("tree")
+    return trees.withColumn("ast_text", over(T.render_types, "tree")).drop("tree")

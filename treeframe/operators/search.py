@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.functions import trees as T
-from treeframe.functions.arrays import let, running
+from treeframe.functions.arrays import let, over, running
 
 
 def match_nodes(
@@ -76,18 +76,29 @@ def extract_names(
 ) -> DataFrame:
     """Names of declarations: the first name node among the next ``within`` nodes."""
     keep = [c for c in trees.columns if c != "tree"]
-    found = T.names(F.col("tree"), decl_type, name_type, within)
+    found = over(
+        T.names, "tree", decl_type=decl_type, name_type=name_type, within=within
+    )
     return trees.select(*keep, F.inline_outer(found)).where(F.col("name").isNotNull())
 
 
 def recursive_decls(
     trees: DataFrame, decl_type: str, call_type: str, name_type: str, within: int = 4
 ) -> DataFrame:
-    """Declarations whose subtree calls their own name.
+    """Declarations whose subtree calls their own name."""
+    keep = [c for c in trees.columns if c != "tree"]
+    found = over(
+        _recursive, "tree",
+        decl_type=decl_type, call_type=call_type, name_type=name_type, within=within,
+    )
+    return trees.select(*keep, F.inline_outer(found)).where(F.col("name").isNotNull())
 
-    Works on the open declarations around each call, so the cost follows the
-    tree's depth and not the number of equal names in a file.
-    """
+
+def _recursive(
+    tree: Column, decl_type: str, call_type: str, name_type: str, within: int
+) -> Column:
+    """Walks with the open declarations and calls at hand, so the cost follows
+    the tree's depth and not the number of equal names in a file."""
 
     def name_of(nodes: Column, n: Column) -> Column:
         near = F.filter(
@@ -130,7 +141,4 @@ def recursive_decls(
             lambda d: F.struct(d["ord"].alias("decl_ord"), d["name"].alias("name")),
         )
 
-    keep = [c for c in trees.columns if c != "tree"]
-    return trees.select(*keep, F.inline_outer(let(F.col("tree"), found))).where(
-        F.col("name").isNotNull()
-    )
+    return let(tree, found)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeframe import schemas
 from treeframe.functions import trees as T
+from treeframe.functions.arrays import over
 from treeframe.operators.languages import check_supported, resolve_language
 from treeframe.plans.producers import Producers, default_producers, run_python_producers
 from treeframe.registry import CODE_LANGUAGES, EXTENSIONS, Registry
@@ -47,7 +48,7 @@ def parse_trees(
     tree = F.lit(None).cast(schemas.TREE_DDL)
     for producer in native:
         tree = F.when(
-            ready & (F.col("producer") == producer.name), producer.build(F.col("content"))
+            ready & (F.col("producer") == producer.name), over(producer.build, "content")
         ).otherwise(tree)
     by_python = F.coalesce(
         ready & F.col("producer").isin([p.name for p in python]), F.lit(False)
@@ -59,6 +60,10 @@ def parse_trees(
     return out
 
 
+def _pruned_outline(tree: Column, include: Column, exclude: Column) -> Column:
+    return T.render(T.prune(tree, include, exclude))
+
+
 def parse_corpus(
     files: DataFrame,
     registry: Registry = CODE_LANGUAGES,
@@ -78,9 +83,10 @@ def parse_corpus(
     trees = parse_trees(files, registry, producers, parser, extensions, keep)
     # A tree is used twice below, so Catalyst keeps it as a column and builds it
     # once per row, or not at all when neither use is asked for.
-    shown = F.col("tree")
-    if pruned:
-        shown = T.prune(shown, F.col("include_types"), F.col("exclude_types"))
+    shown = (
+        over(_pruned_outline, "tree", "include_types", "exclude_types")
+        if pruned else over(T.render, "tree")
+    )
     versions = {p.name: p.version for p in (*producers.native(), *producers.python())}
     version = F.lit(None).cast("string")
     for name, value in versions.items():
@@ -89,7 +95,7 @@ def parse_corpus(
     return trees.select(
         "file_id", "path", "language",
         success.alias("success"),
-        F.when(success, T.render(shown)).otherwise(F.lit("")).alias("ast_text"),
+        F.when(success, shown).otherwise(F.lit("")).alias("ast_text"),
         F.struct(
             F.coalesce("producer", F.lit(producers.get().name)).alias("parser"),
             F.when(success, F.size("tree")).cast("bigint").alias("node_count"),

@@ -45,6 +45,7 @@ def read_corpus(
     """Every file under ``root`` whose name matches ``glob``, decoded.
 
     ``file_id`` is a hash of the path, so it is the same in every run and task.
+    Spark's file sources pass over files of zero bytes, so these give no row.
     """
     raw = (
         spark.read.format("binaryFile")
