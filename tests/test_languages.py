@@ -90,3 +90,12 @@ def test_bounds():
         Registry(Language(f"l{i}") for i in range(MAX_ENTRIES + 1))
     with pytest.raises(ValueError):
         L.lookup(F.lit("x"), {str(i): "x" for i in range(MAX_ENTRIES + 1)})
+
+
+def test_short_and_long_registries_agree(spark):
+    df = spark.createDataFrame([("python",), ("GO",), ("none",), (None,)], "language string")
+    long = CODE_LANGUAGES.add(*[Language(f"extra{i}") for i in range(ops.INLINE_LANGUAGES)])
+    key = lambda reg: sorted(str(r) for r in ops.with_language_config(df, reg).collect())
+    assert key(CODE_LANGUAGES) == key(long)
+    plan = ops.with_language_config(df, CODE_LANGUAGES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "from_json" not in plan

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from treeframe import schemas
 from treeframe.functions import languages as L
 from treeframe.registry import EXTENSIONS, Registry
 
+INLINE_LANGUAGES = 64
+
 # Error and message texts.
 NOT_DETECTED = "Could not detect language from file extension"
 UNKNOWN = "unknown"
@@ -47,10 +52,17 @@ def resolve_language(df: DataFrame, extensions: dict[str, str] = EXTENSIONS) ->
 
 
 def with_language_config(df: DataFrame, registry: Registry) -> DataFrame:
-    """Attach the registry row of each row's language (left join).
+    """Attach the registry row of each row's language; NULLs when there is none.
 
-    The registry is bounded (see :class:`Registry`), so it is broadcast.
+    A short registry becomes a literal of the plan and needs no join. A longer
+    one, still bounded (see :class:`Registry`), is broadcast.
     """
+    if len(registry) <= INLINE_LANGUAGES:
+        entry = F.try_element_at(registry_literal(registry), F.lower("language"))
+        return df.withColumn("_entry", entry).select(
+            *df.columns,
+            *[f"_entry.{name}" for name in schemas.LANGUAGES.fieldNames() if name != "language"],
+        )
     table = registry.to_df(df.sparkSession)
     return (
         df.withColumn("_key", F.lower("language"))
@@ -59,6 +71,23 @@ def with_language_config(df: DataFrame, registry: Registry) -> DataFrame:
     )
 
 
+def registry_literal(registry: Registry) -> Column:
+    """The registry as a map from language to its row; Catalyst folds it to a constant."""
+    rows = {
+        lang.name: {
+            "registry_pos": position,
+            "extensions": lang.extensions,
+            "include_types": lang.include_types,
+            "exclude_types": lang.exclude_types,
+            "producer": lang.producer,
+        }
+        for position, lang in enumerate(registry)
+    }
+    return F.from_json(
+        F.lit(json.dumps(rows)), f"map<string,{schemas.LANGUAGES.simpleString()}>"
+    )
+
+
 def check_supported(df: DataFrame, registry: Registry) -> DataFrame:
     """Mark rows whose language is not in the registry, or that nothing can parse."""
     joined = with_language_config(df, registry)
