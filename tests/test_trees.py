@@ -70,11 +70,12 @@ def test_paths_match_recursion(markup):
             assert row.parent_ord == (chain[-1] if chain else None)
 
 
-def test_paths_of_bare_node_rows(markup):
+@pytest.mark.parametrize("part_nodes", [1, 2, 5, nodes.PART_NODES])
+def test_paths_of_bare_node_rows(markup, part_nodes):
     full = nodes.explode_nodes(markup)
     bare = nodes.explode_nodes(markup, paths=False).repartition(7)
     key = lambda df: sorted(map(str, df.select(*sorted(full.columns)).collect()))
-    assert key(nodes.with_tree_paths(bare)) == key(full)
+    assert key(nodes.with_tree_paths(bare, part_nodes)) == key(full)
 
 
 @pytest.mark.parametrize("include,exclude", [

@@ -217,6 +217,83 @@ def with_paths(tree: Column) -> Column:
     return let(tree, joined)
 
 
+_OPEN_DDL = "array<struct<ord:int,depth:int,node_type:string>>"
+
+
+def _no_open() -> Column:
+    return F.expr(f"cast(array() as {_OPEN_DDL})")
+
+
+def _opened(chain: Column, node: Column) -> Column:
+    """The open nodes after ``node``: those above it, and itself."""
+    return F.array_append(
+        F.filter(chain, lambda c: c["depth"] < node["depth"]),
+        F.struct(*[node[f].alias(f) for f in ("ord", "depth", "node_type")]),
+    )
+
+
+def open_at_end(tree: Column) -> Column:
+    """Nodes of a part of a tree that are still open where the part ends."""
+    return F.aggregate(tree, _no_open(), _opened)
+
+
+def open_at_starts(parts: Column) -> Column:
+    """For each part, in order, the nodes of earlier parts that are open where it starts.
+
+    ``parts`` is ``array<struct<part, low, tail>>`` with each part's least depth and
+    its :func:`open_at_end`.
+    """
+
+    def starts(ps: Column) -> Column:
+        after = running(
+            ps,
+            _no_open(),
+            lambda chain, p: F.concat(
+                F.filter(chain, lambda c: c["depth"] < p["low"]), p["tail"]
+            ),
+        )
+        return let(
+            after,
+            lambda ends: F.transform(
+                ps,
+                lambda p, i: F.struct(
+                    p["part"].alias("part"),
+                    F.coalesce(F.get(ends, i - 1), _no_open()).alias("start"),
+                ),
+            ),
+        )
+
+    return let(parts, starts)
+
+
+def with_paths_after(tree: Column, start: Column) -> Column:
+    """:func:`with_paths` for a part of a tree, given the nodes open where it starts."""
+
+    def joined(nodes: Column) -> Column:
+        chains = running(nodes, start, _opened)
+
+        def node(above: Column, n: Column) -> Column:
+            return F.struct(
+                *[n[f].alias(f) for f in schemas.NODE.fieldNames()],
+                F.get(above, F.size(above) - 1)["ord"].alias("parent_ord"),
+                F.transform(above, lambda c: c["node_type"]).alias("path_types"),
+                F.transform(above, lambda c: c["ord"]).alias("path_ords"),
+            )
+
+        return let(
+            chains,
+            lambda found: F.transform(
+                nodes,
+                lambda n, i: let(
+                    F.slice(F.get(found, i), F.lit(1), F.size(F.get(found, i)) - 1),
+                    lambda above: node(above, n),
+                ),
+            ),
+        )
+
+    return let(tree, joined)
+
+
 # --- pruning ---------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from treeframe.functions.arrays import over
 from treeframe.operators.languages import with_language_config
 from treeframe.registry import Registry
 
-_PATH_FIELDS = ("parent_ord", "path_types", "path_ords")
+PART_NODES = 50_000
 
 
 def _trees(files: DataFrame, build: Callable[[Column], Column], content: str) -> DataFrame:
@@ -66,9 +66,32 @@ def gather_trees(nodes: DataFrame) -> DataFrame:
     )
 
 
-def with_tree_paths(nodes: DataFrame) -> DataFrame:
-    """Add parent and ancestors to node rows that lack them; any depth."""
-    return explode_nodes(gather_trees(nodes.drop(*_PATH_FIELDS)))
+def with_tree_paths(nodes: DataFrame, part_nodes: int = PART_NODES) -> DataFrame:
+    """Add parent and ancestors to node rows that lack them; any depth, any size.
+
+    A file is worked on in parts of ``part_nodes`` nodes, so that one with a large
+    share of all nodes is spread over tasks. Only what is open at the end of
+    each part, a few nodes, is brought together by file.
+    """
+    fields = schemas.NODE.fieldNames()
+    parts = (
+        nodes.select("file_id", *fields, F.floor(F.col("ord") / part_nodes).alias("part"))
+        .groupBy("file_id", "part")
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("tree"))
+    )
+    starts = (
+        parts.select(
+            "file_id", "part",
+            F.array_min(F.transform("tree", lambda n: n["depth"])).alias("low"),
+            over(T.open_at_end, "tree").alias("tail"),
+        )
+        .groupBy("file_id")
+        .agg(F.array_sort(F.collect_list(F.struct("part", "low", "tail"))).alias("parts"))
+        .select("file_id", F.inline_outer(over(T.open_at_starts, "parts")))
+    )
+    return parts.join(starts, ["file_id", "part"]).select(
+        "file_id", F.inline_outer(over(T.with_paths_after, "tree", "start"))
+    )
 
 
 def prune_include(nodes: DataFrame, include: Iterable[str] | Column) -> DataFrame:
