@@ -112,6 +112,12 @@ def test_validate_requests(spark):
         ("check-language", "{}", "Missing required field: language"),
         ("check-language", '{"language": "go"}', None),
         ("parse", "not json", "Invalid JSON"), ("parse", '{"content": ', "Invalid JSON"),
+        ("parse", '{"content": "x", "language": "go"} x', "Invalid JSON"),
+        ("parse", '{"content": "x"}, {"language": "go"}', "Invalid JSON"),
+        ("parse", '{"content": "x"} {"language": "go"}', "Invalid JSON"),
+        ("parse", "{'content': 'x', 'language': 'go'}", "Invalid JSON"),
+        ("parse", '["content", "language"]', "Invalid JSON"), ("parse", "7", "Invalid JSON"),
+        ("parse", ' {"content": "[]}", "language": "go", "more": {"a": [1]}}\n', None),
         ("unknown", "not json", "Invalid JSON"), ("unknown", "{}", "Not found"),
         ("parse", "", "No request body"), ("parse", None, "No request body"),
     ]

@@ -21,11 +21,13 @@ def raw(tree):
 
 
 def test_running_crosses_blocks(spark):
-    n = 3 * arrays.BLOCK + 7
-    df = spark.createDataFrame([(list(range(n)),), ([],), ([5],)], "a array<int>")
-    got = df.select(arrays.running(F.col("a"), F.lit(0), lambda s, x: s + x).alias("r")).collect()
-    assert list(got[0].r) == [i * (i + 1) // 2 for i in range(n)]
-    assert list(got[1].r) == [] and list(got[2].r) == [5]
+    b = arrays.BLOCK
+    lengths = [0, 1, b - 1, b, b + 1, 3 * b + 7, b * b - 1, b * b, b * b + 1, 3 * b * b + 5 * b + 2]
+    df = spark.createDataFrame([(list(range(n)),) for n in lengths], "a array<int>")
+    got = df.select("a", arrays.running(F.col("a"), F.lit(0), lambda s, x: s + x).alias("r")).collect()
+    assert len(got) == len(lengths)
+    for row in got:
+        assert list(row.r) == [i * (i + 1) // 2 for i in range(len(row.a))]
 
 
 def test_run_lengths(spark):

@@ -12,9 +12,9 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Running results are built in blocks, so that appending to them copies at most
-# one block instead of everything built so far.
-BLOCK = 128
+# A fold copies what it has gathered at every step, so states are gathered over
+# short blocks only.
+BLOCK = 32
 # Longer than any array, small enough that a start position can be added to it.
 _ALL = 2_000_000_000
 
@@ -41,28 +41,55 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def running(
     items: Column, start: Column, step: Callable[[Column, Column], Column]
 ) -> Column:
-    """All states of a left fold over ``items``, one per item."""
+    """All states of a left fold over ``items``, one per item.
 
-    def states(array: Column) -> Column:
-        size = F.size(array)
-        starts = F.filter(
-            F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(BLOCK)),
-            lambda s: s < size,
+    Long arrays are cut into blocks, and those of very long ones into groups of
+    blocks: a first fold finds the state at the start of each piece and keeps
+    nothing else, then each piece is folded from there. The cost grows with
+    the number of items.
+    """
+
+    def gathered(part: Column, first: Column) -> Column:
+        states = F.aggregate(
+            part,
+            F.array(first),
+            lambda done, item: F.array_append(done, step(F.element_at(done, -1), item)),
         )
+        return F.slice(states, 2, _ALL)
 
-        def add_block(blocks: Column, begin: Column) -> Column:
-            carried = F.element_at(F.element_at(blocks, -1), -1)
-            block = F.aggregate(
-                F.slice(array, begin + 1, BLOCK),
-                F.array(carried),
-                lambda done, item: F.array_append(done, step(F.element_at(done, -1), item)),
-            )
-            return F.array_append(blocks, F.slice(block, 2, BLOCK))
+    def piecewise(whole: Column, first: Column, length: int, inner) -> Column:
+        begins = F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(length)),
+            lambda b: b < F.size(whole),
+        )
+        firsts = F.aggregate(
+            F.filter(begins, lambda b: b + length < F.size(whole)),
+            F.array(first),
+            lambda done, b: F.array_append(
+                done, F.aggregate(F.slice(whole, b + 1, length), F.element_at(done, -1), step)
+            ),
+        )
+        return let(
+            firsts,
+            lambda known: F.flatten(
+                F.transform(
+                    begins,
+                    lambda b, k: let(
+                        F.slice(whole, b + 1, length), lambda part: inner(part, F.get(known, k))
+                    ),
+                )
+            ),
+        )
 
-        blocks = F.aggregate(starts, F.array(F.array(start)), add_block)
-        return F.slice(F.flatten(blocks), 2, _ALL)
+    def blocks(whole: Column, first: Column) -> Column:
+        return piecewise(whole, first, BLOCK, gathered)
 
-    return let(items, states)
+    return let(
+        items,
+        lambda whole: F.when(F.size(whole) <= BLOCK * BLOCK, blocks(whole, start)).otherwise(
+            piecewise(whole, start, BLOCK * BLOCK, blocks)
+        ),
+    )
 
 
 def run_lengths(values: Column) -> Column:

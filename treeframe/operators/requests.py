@@ -15,7 +15,7 @@ NO_BODY = "No request body"
 INVALID_JSON = "Invalid JSON"
 NOT_FOUND = "Not found"
 
-_BODY_DDL = "content string, language string, file_path string, _corrupt string"
+_BODY_DDL = "array<struct<content:string,language:string,file_path:string>>"
 
 
 def _missing(fields: tuple[str, ...]) -> str:
@@ -33,14 +33,17 @@ def validate_requests(df: DataFrame, kind: str = "kind", body: str = "body") ->
     An empty string counts as missing. Checks run in the order body, JSON,
     kind, fields.
     """
+    # Read as the only element of an array: text after the object is then an error.
     parsed = df.withColumn(
-        "request",
-        F.from_json(F.col(body), _BODY_DDL, {"columnNameOfCorruptRecord": "_corrupt"}),
-    )
-    is_object = F.col(body).rlike(r"^\s*\{")
+        "_read",
+        F.from_json(
+            F.concat(F.lit("["), F.col(body), F.lit("]")), _BODY_DDL, {"allowSingleQuotes": "false"}
+        ),
+    ).withColumn("request", F.get("_read", F.lit(0)))
+    is_object = F.col(body).rlike(r"^\s*\{") & (F.coalesce(F.size("_read"), F.lit(0)) == 1)
     error = (
         F.when(F.coalesce(F.col(body), F.lit("")) == "", F.lit(NO_BODY))
-        .when(~is_object | F.col("request._corrupt").isNotNull(), F.lit(INVALID_JSON))
+        .when(~is_object, F.lit(INVALID_JSON))
         .when(~F.col(kind).isin(*REQUIRED), F.lit(NOT_FOUND))
     )
     for name, fields in REQUIRED.items():
