@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from treeframe.catalog.oracles import ORACLES
+from treeframe.catalog.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
@@ -18,15 +20,17 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     want = sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in cursor.fetchall())
