@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeframe.llm import exact_dedup, mixing
+from treeframe.llm import exact_dedup, mixing, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op5_substring_dedup(spark, sf_dir):
+    cut = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op5_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS passage
+  FROM d, unnest(generate_series(1, len(words) - 12)) AS g(i)
+), r AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY passage) AS least FROM w)
+  WHERE doc_id > least
+), c AS (SELECT DISTINCT doc_id, i + k AS place FROM r, unnest(generate_series(0, 12)) AS g(k)
+), u AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS place FROM d
+), p AS (
+  SELECT u.doc_id, u.place, u.word, c.place IS NOT NULL AS gone
+  FROM u LEFT JOIN c ON c.doc_id = u.doc_id AND c.place = u.place
+), s AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY place) FILTER (NOT gone) AS kept
+  FROM p GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
+
 @query
 def op6_mixing(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
