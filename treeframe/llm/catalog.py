@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeframe.llm import exact_dedup, mixing, substring_dedup
+from treeframe.llm import exact_dedup, mixing, near_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_near_dedup(spark, sf_dir):
+    judged = near_dedup.near_duplicates(
+        table(spark, sf_dir, "documents"), width=3, threshold=0.85
+    )
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLES["op2_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM d, unnest(generate_series(1, greatest(len(words) - 2, 1))) AS g(i) WHERE len(words) > 0
+), n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * both_have >= 85 * (x.size + y.size - both_have)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.doc_id, coalesce(n.size, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     cut = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
