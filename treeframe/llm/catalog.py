@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeframe.llm import exact_dedup, mixing, near_dedup, substring_dedup
+from treeframe.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_decontaminate(spark, sf_dir):
+    found = decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found
+
+
+ORACLES["op1_decontaminate"] = r"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', item_id, text FROM benchmark
+), d AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM t
+), s AS (
+  SELECT DISTINCT kind, id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM d, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS g(i) WHERE len(words) > 0
+), n AS (SELECT id, count(*) AS n_shingles FROM s WHERE kind = 'b' GROUP BY id
+), p AS (
+  SELECT a.id AS doc_id, b.id AS item_id, count(*) AS n_shared
+  FROM s a JOIN s b ON a.shingle = b.shingle WHERE a.kind = 'd' AND b.kind = 'b' GROUP BY ALL
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM p JOIN n ON n.id = p.item_id WHERE n_shared >= 0.8 * n_shingles
+"""
+
+
 @query
 def op2_near_dedup(spark, sf_dir):
     judged = near_dedup.near_duplicates(
@@ -147,3 +176,13 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -94,15 +94,15 @@ def drop_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     )
     dropped = saved(
         keys.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")),
+        .select(F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")),
         "exact-dropped",
     )
-    here = [F.col(id).eqNullSafe(F.col("_id")), F.xxhash64(body) == F.col("_raw")]
+    here = [F.col(id).eqNullSafe(F.col("__llm_id")), F.xxhash64(body) == F.col("__llm_raw")]
     left = docs.join(small(dropped), here, "left_anti")
     # Whole rows that occur again: rare, and only they are compared with each other.
     again = saved(
         keys.filter("count > 1").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")),
+        .select(F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")),
         "exact-again",
     )
     if again.isEmpty():

@@ -244,11 +244,11 @@ def near_duplicates(
         "near-chosen",
     )
     minima = chosen.select("node", "minima")
-    picked = chosen.select(F.col("row.doc_id").alias("_id"), F.col("row.mark").alias("_mark"))
+    picked = chosen.select(F.col("row.doc_id").alias("__llm_id"), F.col("row.mark").alias("__llm_mark"))
     sets = saved(
         source.join(
             small(saved(picked, "near-picked")),
-            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")),
+            F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("mark") == F.col("__llm_mark")),
             "left_semi",
         ).select("text").mapInArrow(partial(_with_sets, width), "node bigint, members binary"),
         "near-sets",
@@ -332,8 +332,8 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     """``docs`` with one document of each component; all columns as they are."""
     judged = near_duplicates(docs, id, text, **options)
     gone = saved(
-        judged.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")),
+        judged.filter("not kept").select(F.col("doc_id").alias("__llm_id"), F.col("mark").alias("__llm_mark")),
         "near-dropped",
     )
-    here = F.col(id).eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(text)) == F.col("_mark"))
+    here = F.col(id).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_of(text)) == F.col("__llm_mark"))
     return docs.join(small(gone), here, "left_anti")

@@ -180,12 +180,12 @@ def remove_repeated_passages(
     hits = saved(blocks.groupBy("bucket").applyInArrow(_judge, HIT), "repeated-windows")
     ids = small(saved(hits.select("doc_id", "mark").distinct(), "repeated-ids"))
     # Only texts that lose something meet their flags in a shuffle.
-    keyed = rows.withColumns({"_last": last, "_mark": mark})
-    here = [F.col("_last") == ids["doc_id"], F.col("_mark") == ids["mark"]]
-    flagged = hits.groupBy(F.col("doc_id").alias("_last"), F.col("mark").alias("_mark")).agg(
+    keyed = rows.withColumns({"_last": last, "__llm_mark": mark})
+    here = [F.col("_last") == ids["doc_id"], F.col("__llm_mark") == ids["mark"]]
+    flagged = hits.groupBy(F.col("doc_id").alias("_last"), F.col("mark").alias("__llm_mark")).agg(
         F.collect_list(F.struct("bucket", "flags")).alias("hits")
     )
-    losing = keyed.join(ids, here, "left_semi").join(flagged, ["_last", "_mark"], "left")
+    losing = keyed.join(ids, here, "left_semi").join(flagged, ["_last", "__llm_mark"], "left")
     whole = keyed.join(ids, here, "left_anti").withColumn(
         "hits", F.lit(None).cast("array<struct<bucket:int,flags:binary>>")
     )

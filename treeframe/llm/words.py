@@ -99,11 +99,15 @@ class Words:
         self.first = np.searchsorted(self.starts, self.marks)
         self.counts = np.diff(self.first)
 
-    def hashes(self, most: int | None = None) -> np.ndarray:
-        """A hash for each word, or for its first ``most`` bytes."""
-        out = np.empty(len(self.starts), U64)
+    def hashes(self) -> np.ndarray:
+        """A hash for each word."""
+        return self.prefix_hashes((None,))[0]
+
+    def prefix_hashes(self, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
+        """For each size, a hash of each word's first so many bytes; None: of all."""
+        out = [np.empty(len(self.starts), U64) for _ in sizes]
         at = 0
-        while at < len(out):
+        while at < len(self.starts):
             to = int(np.searchsorted(self.ends, self.starts[at] + SPAN, "right"))
             to = max(to, at + 1)
             low = self.starts[at]
@@ -115,11 +119,13 @@ class Words:
             part += U64(1)
             part *= up[: len(part)]
             np.cumsum(part, out=sums[1:])
-            if most is not None:
-                end = np.minimum(end, begin + most)
-            out[at:to] = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U64) * STEP
+            for size, values in zip(sizes, out):
+                stop = end if size is None else np.minimum(end, begin + size)
+                values[at:to] = (
+                    (sums[stop] - sums[begin]) * down[begin] + (stop - begin).astype(U64) * STEP
+                )
             at = to
-        return mixed(out)
+        return [mixed(values) for values in out]
 
     def text_index(self) -> np.ndarray:
         """For each word, the text it is in."""
