@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeframe.llm import decontaminate, exact_dedup, mixing, near_dedup, substring_dedup, toxicity
+from treeframe.llm import (
+    decontaminate,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dedup,
+    pii,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +92,26 @@ FROM c LEFT JOIN n USING (doc_id)
 """
 
 
+@query
+def op3_pii(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def of(kind):
+        n = F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind)))
+        return n.cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", of("email"), of("ip"), of("card"), of("phone"),
+        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op4_licenses(spark, sf_dir):
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     cut = substring_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))

@@ -7,7 +7,8 @@ text order, and how many belong to each text. A bucket holds a bounded number
 of windows whatever their frequency is expected to be, so the number of buckets
 grows with the corpus. Where a bucket's blocks meet, the smallest id that has
 each hash is found, and windows of larger ids are flagged. Flags return to
-their texts, where repeated windows merge into maximal removal intervals.
+their texts, packed by groups of texts of bounded size, and there repeated
+windows merge into maximal removal intervals.
 
 A frequent passage is spread over buckets window by window; one single window
 that is very frequent is one entry of its bucket for each place, 8 bytes and no
@@ -38,7 +39,7 @@ BUCKET_BYTES = 20 << 20
 SLICE = 8 << 20
 
 BLOCK = "bucket int, ids binary, marks binary, counts binary, hashes binary"
-HIT = "doc_id bigint, mark int, bucket int, flags binary"
+HIT = "grp int, bucket int, ids binary, marks binary, counts binary, flags binary"
 RESULT = (
     "doc_id bigint, n_words bigint, n_removed bigint, "
     "intervals array<struct<start:bigint,end:bigint>>, kept_text string"
@@ -94,71 +95,119 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     ])
 
 
-def _judge(block: pa.Table) -> pa.Table:
-    """Of one bucket, the texts with windows that a smaller id has too."""
-    counts = _joined(block["counts"], np.uint32).astype(np.int64)
-    ids = _joined(block["ids"], np.int64)
-    marks = _joined(block["marks"], np.int32)
-    hashes = _joined(block["hashes"], U64)
-    order = np.argsort(hashes)
-    by_hash = hashes[order]
-    at = np.flatnonzero(np.concatenate([[True], by_hash[1:] != by_hash[:-1]]))
-    del hashes, by_hash
-    owner = np.repeat(ids, counts)[order]
-    least = np.minimum.reduceat(owner, at)
-    flags = np.empty(len(order), np.uint8)
-    flags[order] = owner > np.repeat(least, np.diff(at, append=len(order)))
-    del owner, order
-    begins = np.cumsum(counts) - counts
-    hit = np.maximum.reduceat(flags, begins) > 0
-    data = flags[np.repeat(hit, counts)]
-    offsets = np.concatenate([[0], np.cumsum(counts[hit])]).astype(np.int32)
-    n = int(hit.sum())
-    return pa.table({
-        "doc_id": ids[hit], "mark": marks[hit],
-        "bucket": pa.array(np.full(n, block["bucket"][0].as_py()), pa.int32()),
-        "flags": pa.Array.from_buffers(
-            pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
-        ),
-    })
-
-
-def _cut(width: int, buckets: int):
-    """Per row (doc_id, text, hits): the words that stay, and the intervals that go."""
+def _judge(groups: int):
+    """Of one bucket, the texts with windows that a smaller id has too, by group."""
+
+    def run(block):
+        counts = _joined(block["counts"], np.uint32).astype(np.int64)
+        ids = _joined(block["ids"], np.int64)
+        marks = _joined(block["marks"], np.int32)
+        hashes = _joined(block["hashes"], U64)
+        order = np.argsort(hashes)
+        by_hash = hashes[order]
+        at = np.flatnonzero(np.concatenate([[True], by_hash[1:] != by_hash[:-1]]))
+        del hashes, by_hash
+        owner = np.repeat(ids, counts)[order]
+        least = np.minimum.reduceat(owner, at)
+        flags = np.empty(len(order), np.uint8)
+        flags[order] = owner > np.repeat(least, np.diff(at, append=len(order)))
+        del owner, order
+        begins = np.cumsum(counts) - counts
+        hit = np.flatnonzero(np.maximum.reduceat(flags, begins))
+        group = marks[hit] % groups
+        hit, group = hit[np.argsort(group, kind="stable")], np.sort(group)
+        rows = []
+        edge = np.flatnonzero(np.diff(group, prepend=-1, append=groups))
+        for s, e in zip(edge[:-1], edge[1:]):
+            own = hit[s:e]
+            size = counts[own]
+            place = np.repeat(begins[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            rows.append((
+                int(group[s]), block["bucket"][0].as_py(), ids[own].tobytes(),
+                marks[own].tobytes(), size.astype(np.uint32).tobytes(), flags[place].tobytes(),
+            ))
+        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 4
+        columns = list(zip(*rows)) or [()] * 6
+        names = ["grp", "bucket", "ids", "marks", "counts", "flags"]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds)})
 
+    return run
+
+
+def _losing(hits):
+    """The texts of one group that lose something, each once."""
+    pairs = np.unique(np.stack([
+        _joined(hits["ids"], np.int64), _joined(hits["marks"], np.int32).astype(np.int64)
+    ]), axis=1)
+    return pa.table({"doc_id": pairs[0], "mark": pairs[1].astype(np.int32)})
+
+
+def _cut(part: pa.RecordBatch, hits: dict, width: int, buckets: int) -> pa.RecordBatch:
+    """Per row (doc_id, last, mark, text): the words that stay, and the intervals that go.
+
+    ``hits`` has (bucket, flags) lists by last and mark.
+    """
+    words = Words(part.column(3))
+    bucket = _windows(words, width, buckets)[1] if hits else None
+    window = np.concatenate([[0], np.cumsum(np.maximum(words.counts - width + 1, 0))])
+    raw = words.data.tobytes()
+    removed, spans, texts = [], [], []
+    keys = zip(part.column(1).to_pylist(), part.column(2).to_pylist())
+    for i, key in enumerate(keys):
+        kept = raw[words.marks[i] : words.marks[i + 1]].split()
+        if key not in hits:
+            removed.append(0)
+            spans.append([])
+            texts.append(b" ".join(kept).decode())
+            continue
+        own = bucket[window[i] : window[i + 1]]
+        order = np.argsort(own, kind="stable")
+        first = np.searchsorted(own[order], np.arange(buckets))
+        change = np.zeros(len(kept) + 1, np.int64)
+        flags = np.zeros(len(own), bool)
+        for b, marked in hits[key]:
+            flags[order[first[b] : first[b] + len(marked)]] |= marked > 0
+        at = np.flatnonzero(flags)
+        change[at] += 1
+        change[at + width] -= 1
+        gone = np.cumsum(change[:-1]) > 0
+        edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+        spans.append([{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2])])
+        removed.append(int(gone.sum()))
+        texts.append(b" ".join(w for w, g in zip(kept, gone) if not g).decode())
+    pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    return pa.RecordBatch.from_arrays(
+        [part.column(0), pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()),
+         pa.array(spans, pa.list_(pair)), pa.array(texts, pa.string())],
+        ["doc_id", "n_words", "n_removed", "intervals", "kept_text"],
+    )
+
+
+def _cut_whole(width: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                yield one(part)
-
-    def one(part: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(part.column(1))
-        _, bucket, _ = _windows(words, width, buckets)
-        window = np.concatenate([[0], np.cumsum(np.maximum(words.counts - width + 1, 0))])
-        raw = words.data.tobytes()
-        removed, spans, texts = [], [], []
-        for i, hits in enumerate(part.column(2)):
-            mine = raw[words.marks[i] : words.marks[i + 1]].split()
-            flags = np.zeros(window[i + 1] - window[i], bool)
-            if hits.is_valid:
-                own = bucket[window[i] : window[i + 1]]
-                for hit in hits.as_py():
-                    flags[own == hit["bucket"]] |= np.frombuffer(hit["flags"], np.uint8) > 0
-            gone = np.zeros(len(mine) + 1, np.int64)
-            np.add.at(gone, np.flatnonzero(flags), 1)
-            np.add.at(gone, np.flatnonzero(flags) + width, -1)
-            gone = np.cumsum(gone[:-1]) > 0
-            edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-            spans.append([{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2])])
-            removed.append(int(gone.sum()))
-            kept = [w for w, g in zip(mine, gone) if not g] if removed[-1] else mine
-            texts.append(b" ".join(kept).decode())
-        pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(spans, pa.list_(pair)), pa.array(texts, pa.string())],
-            ["doc_id", "n_words", "n_removed", "intervals", "kept_text"],
-        )
+                yield _cut(part, {}, width, buckets)
+
+    return run
+
+
+def _cut_group(width: int, buckets: int):
+    def run(docs, flagged):
+        hits: dict = {}
+        for row in flagged.select(["bucket", "ids", "marks", "counts", "flags"]).to_pylist():
+            counts = np.frombuffer(row["counts"], np.uint32).astype(np.int64)
+            flags = np.split(np.frombuffer(row["flags"], np.uint8), np.cumsum(counts)[:-1])
+            ids = np.frombuffer(row["ids"], np.int64).tolist()
+            marks = np.frombuffer(row["marks"], np.int32).tolist()
+            for key, own in zip(zip(ids, marks), flags):
+                hits.setdefault(key, []).append((row["bucket"], own))
+        docs = docs.select(["doc_id", "last", "mark", "text"])
+        cut = [
+            _cut(part, hits, width, buckets)
+            for batch in docs.to_batches() for part in slices(batch, "text", SLICE)
+        ]
+        return pa.Table.from_batches(cut)
 
     return run
 
@@ -169,25 +218,25 @@ def remove_repeated_passages(
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, intervals (in words), kept_text."""
     body = text_of(text)
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), body.alias("text"))
-    mark = F.shiftrightunsigned(F.xxhash64("text"), 33).cast("int")
+    doc_id = F.col(id).cast("bigint")
+    rows = docs.select(
+        doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(2**63 - 1)).alias("last"),
+        F.shiftrightunsigned(F.xxhash64(doc_id, body), 33).cast("int").alias("mark"),
+        body.alias("text"),
+    )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = total // bucket_bytes + 1
-    last = F.coalesce("doc_id", F.lit(2**63 - 1))
-    blocks = rows.select(last.alias("doc_id"), mark.alias("mark"), "text").mapInArrow(
-        _blocks(width, buckets), BLOCK
-    )
-    hits = saved(blocks.groupBy("bucket").applyInArrow(_judge, HIT), "repeated-windows")
-    ids = small(saved(hits.select("doc_id", "mark").distinct(), "repeated-ids"))
+    blocks = rows.select("last", "mark", "text").mapInArrow(_blocks(width, buckets), BLOCK)
+    hits = saved(blocks.groupBy("bucket").applyInArrow(_judge(buckets), HIT), "repeated-windows")
     # Only texts that lose something meet their flags in a shuffle.
-    keyed = rows.withColumns({"_last": last, "__llm_mark": mark})
-    here = [F.col("_last") == ids["doc_id"], F.col("__llm_mark") == ids["mark"]]
-    flagged = hits.groupBy(F.col("doc_id").alias("_last"), F.col("mark").alias("__llm_mark")).agg(
-        F.collect_list(F.struct("bucket", "flags")).alias("hits")
-    )
-    losing = keyed.join(ids, here, "left_semi").join(flagged, ["_last", "__llm_mark"], "left")
-    whole = keyed.join(ids, here, "left_anti").withColumn(
-        "hits", F.lit(None).cast("array<struct<bucket:int,flags:binary>>")
+    losing = small(saved(
+        hits.groupBy("grp").applyInArrow(_losing, "doc_id bigint, mark int"), "repeated-ids"
+    ))
+    here = [rows["last"] == losing["doc_id"], rows["mark"] == losing["mark"]]
+    whole = rows.join(losing, here, "left_anti").mapInArrow(_cut_whole(width, buckets), RESULT)
+    part = (
+        rows.join(losing, here, "left_semi")
+        .withColumn("grp", (F.col("mark") % buckets).cast("int")).groupBy("grp")
+        .cogroup(hits.groupBy("grp")).applyInArrow(_cut_group(width, buckets), RESULT)
     )
-    out = losing.select("doc_id", "text", "hits").unionByName(whole.select("doc_id", "text", "hits"))
-    return out.mapInArrow(_cut(width, buckets), RESULT)
+    return whole.unionByName(part)
