@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from treeframe.llm import (
     decontaminate,
     exact_dedup,
+    extract,
     licenses,
     mixing,
     near_dedup,
     pii,
     substring_dedup,
     toxicity,
+    warc,
 )
+from treeframe.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -215,3 +218,33 @@ def op8_toxicity(spark, sf_dir):
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_html_text(spark, sf_dir):
+    out = extract.extract_text(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query
+def op10_warc(spark, sf_dir):
+    folder = scratch_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, payloads=False).drop("url", "payload")
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+    octet_length(encode(coalesce(html, ''))) AS payload_bytes
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+    ELSE page_id END AS first
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
