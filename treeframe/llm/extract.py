@@ -185,6 +185,17 @@ LABELLED = tuple(
         """<body><article><header><h1>*Title here</h1></header><p>*MID</p><blockquote>*Quoted
         words</blockquote><section class="related"><p>MID</p><a href=x>Next story to read</a>
         </section><p>*MID</p><div class="comments"><p>LONG</p></div></article><p>MID</p>""",
+        """<body><nav><a href=a>Home</a></nav><article><h1>*Word</h1><p>*Yes.</p><p>*LONG</p><p>*No.
+        </p><p>*So it ends.</p></article>""",
+        """<body><p>MID</p><article><p>*MID</p><p>*One</p><p>*<a href=a>Linked heading of it</a></p>
+        <p>*Last</p></article><p>LONG</p><p>Right.</p><p>MID</p>""",
+        """<body><div>LONG</div><main><h1>*Top</h1><p>*MID</p><p>*<a href=s>Source</a></p></main>
+        <p>MID</p>""",
+        """<body><p>*MID</p><p>*LONG</p><p>*MID</p><p><a href=a>All of the news that we have for you
+        today</a> <a href=b>and more of it in the archive</a></p>""",
+        """<body><div><a href=a>Some longer link text of this site for all</a> and <a href=b>another
+        one of about the same length</a></div><p>*LONG</p><p>*MID with <a href=a>a link</a></p>""",
+        """<body><h1>*Single</h1><p>*LONG</p>""",
     )
 )
 
