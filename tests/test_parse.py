@@ -64,8 +64,7 @@ def test_one_result_per_file(spark):
 
 
 def test_python_producer(spark):
-    producers = default_producers()
-    producers.register(pandas_producer("stdlib", python_nodes, "3"))
+    producers = default_producers().with_producer(pandas_producer("stdlib", python_nodes, "3"))
     rows = [row(i, None, "def f(n):\n    return f(n - 1)\n", "python") for i in range(200)]
     rows += [row(900, None, "def broken(:", "python"), row(901, None, "<p>", "html"),
              row(902, None, "", "python"), row(903, None, "x", "nope")]
@@ -85,9 +84,8 @@ def test_python_producer(spark):
 def test_python_producer_prunes_and_checks_depths(spark):
     trees = {"good": [(0, "a", None), (1, "b", None), (2, "c", "x")], "deep": [(0, "a", None), (2, "b", "")],
              "two roots": [(0, "a", None), (0, "b", "")], "none": []}
-    producers = Producers()
-    producers.register(pandas_producer("fixed", lambda content, language: trees[content]))
-    producers.set_default("fixed")
+    fixed = pandas_producer("fixed", lambda content, language: trees[content])
+    producers = Producers().with_producer(fixed).by_default("fixed")
     reg = Registry([Language("x", include_types=("a",))])
     got = {r.path: r for r in parse_corpus(
         files(spark, [row(i, k, k, "x") for i, k in enumerate(trees)]), reg, producers,
@@ -101,8 +99,7 @@ def test_python_producer_prunes_and_checks_depths(spark):
 def test_parser_that_cannot_start(spark):
     def make():
         raise RuntimeError("grammar missing")
-    producers = default_producers()
-    producers.register(PandasProducer("bad", make))
+    producers = default_producers().with_producer(PandasProducer("bad", make))
     got = parse_corpus(files(spark, [row(1, None, "x", "go")]), REGISTRY, producers, parser="bad").first()
     assert got.error == "Failed to parse: grammar missing"
 
@@ -117,20 +114,44 @@ def test_parse_code_and_parser_choice(spark):
 
 
 def test_producer_registry():
-    producers = Producers()
+    none = Producers()
     with pytest.raises(ValueError, match="No default parser set"):
-        producers.get()
+        none.choose()
     with pytest.raises(ValueError, match="Parser 'x' not registered"):
-        producers.set_default("x")
+        none.by_default("x")
     mine = NativeProducer("x", T.prose_tree)
-    producers.register(mine)
-    producers.set_default("x")
-    assert producers.get() is mine and producers.get("x") is mine and producers.names() == ["x"]
+    one = none.with_producer(mine).by_default("x")
+    assert one.choose() is mine and one.choose("x") is mine and one.names() == ["x"]
+    assert none.names() == []
+    newer = NativeProducer("x", T.prose_tree, "2")
+    assert one.with_producer(newer).choose() is newer
     with pytest.raises(ValueError, match="Parser 'y' not found"):
-        producers.get("y")
+        one.choose("y")
     assert default_producers().names() == ["markup", "prose", "outline"]
 
 
+def test_null_content_is_an_error(spark):
+    producers = default_producers().with_producer(
+        pandas_producer("fixed", lambda content, language: [(0, "a", content)]))
+    rows = files(spark, [row(1, "a", None, "html"), row(2, "b", "x", "html")])
+    for parser in (None, "fixed"):
+        got = {r.path: r for r in parse_corpus(rows, REGISTRY, producers, parser=parser).collect()}
+        assert got["b"].success and not got["a"].success
+        assert (got["a"].error, got["a"].ast_text) == ("No content to parse", "")
+        assert got["a"].metadata.node_count is None
+
+
+def test_python_and_native_producers_in_one_scan(spark, tmp_path):
+    files(spark, [row(1, "a", "<p>x", "html"), row(2, "b", "x", "go")]).write.parquet(str(tmp_path / "f"))
+    producers = default_producers().with_producer(
+        pandas_producer("fixed", lambda content, language: [(0, "a", content)]))
+    reg = REGISTRY.with_producer("fixed", "go")
+    parsed = parse_corpus(spark.read.parquet(str(tmp_path / "f")), reg, producers)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert {r.path: r.metadata.node_count for r in parsed.collect()} == {"a": 3, "b": 1}
+
+
 @dataclass
 class Node:
     type: str

@@ -553,8 +553,7 @@ def outline_lines_udtf(spark, sf_dir):
 
 @query
 def pandas_producer_results(spark, sf_dir):
-    producers = default_producers()
-    producers.register(pandas_producer("indent", D.indent_tree))
+    producers = default_producers().with_producer(pandas_producer("indent", D.indent_tree))
     parsed = parse_corpus(
         D.code_files(spark, sf_dir), CODE_LANGUAGES, producers, parser="indent", pruned=False
     )

@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
-
-_LEAF = re.compile(r"(.+?): (['\"].*)$", re.S)
-
-
-@udtf(returnType="ord int, depth int, node_type string, literal string")
-class OutlineLines:
-    """One row per outline line; ``literal`` is the quoted text of a leaf."""
 
-    def eval(self, outline: str) -> Iterator[tuple[int, int, str, str | None]]:
-        lines = [line for line in (outline or "").split("\n") if line.strip(" \t\r\f")]
-        for ord_, line in enumerate(lines):
-            body = line.lstrip(" ")
-            leaf = _LEAF.match(body)
-            yield (
-                ord_,
-                (len(line) - len(body)) // 2,
-                leaf.group(1) if leaf else body,
-                leaf.group(2) if leaf else None,
-            )
+# One row per line that shows something; ``literal`` is the quoted text of a leaf,
+# whose type may hold a colon.
+BODY = r"""
+SELECT CAST(place AS INT), CAST((length(line) - length(ltrim(line))) DIV 2 AS INT),
+  CASE WHEN leaf <> '' THEN leaf ELSE ltrim(line) END,
+  CASE WHEN leaf <> '' THEN substring(ltrim(line), length(leaf) + 3) END
+FROM LATERAL (
+  SELECT place, line, regexp_extract(line, '(?s)^ *(.+?): [\'"]', 1) AS leaf
+  FROM LATERAL posexplode(filter(split(outline, '\n'), l -> l RLIKE '[^ \\t\\r\\f]')) AS t(place, line)
+)
+"""
 
 
 def register_outline_lines(spark: SparkSession, name: str = "outline_lines") -> None:
-    spark.udtf.register(name, OutlineLines)
+    """Make ``name(outline)`` known: ord, depth, node_type, literal per line. Built-ins only."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(outline STRING) "
+        f"RETURNS TABLE(ord INT, depth INT, node_type STRING, literal STRING) RETURN {BODY}"
+    )

@@ -12,10 +12,21 @@ from treeframe import schemas
 from treeframe.functions import trees as T
 from treeframe.functions.arrays import over
 from treeframe.operators.languages import check_supported, resolve_language
-from treeframe.plans.producers import Producers, default_producers, run_python_producers
+from treeframe.plans.producers import (
+    ENTRIES_DDL,
+    NativeProducer,
+    PandasProducer,
+    Producers,
+    default_producers,
+    entries_tree,
+    python_entries,
+)
 from treeframe.registry import CODE_LANGUAGES, EXTENSIONS, Registry
 from treeframe.sources.corpus import corpus_from_table
 
+# A file whose content is NULL, or whose parser gave nothing.
+NO_TREE = "No content to parse"
+
 
 def parse_trees(
     files: DataFrame,
@@ -32,7 +43,7 @@ def parse_trees(
     """
     producers = producers or default_producers()
     if parser:
-        registry = registry.with_producer(producers.get(parser).name, *registry.names())
+        registry = registry.with_producer(producers.choose(parser).name, *registry.names())
     known = set(producers.names())
     registry = Registry(
         lang if lang.producer in known else replace(lang, producer=None) for lang in registry
@@ -41,8 +52,8 @@ def parse_trees(
     checked = check_supported(resolve_language(files, extensions), registry)
 
     used = {lang.producer for lang in registry}
-    native = [p for p in producers.native() if p.name in used]
-    python = [p for p in producers.python() if p.name in used]
+    native = [p for p in producers.of_kind(NativeProducer) if p.name in used]
+    python = [p for p in producers.of_kind(PandasProducer) if p.name in used]
 
     ready = F.col("error").isNull()
     tree = F.lit(None).cast(schemas.TREE_DDL)
@@ -50,14 +61,22 @@ def parse_trees(
         tree = F.when(
             ready & (F.col("producer") == producer.name), over(producer.build, "content")
         ).otherwise(tree)
-    by_python = F.coalesce(
-        ready & F.col("producer").isin([p.name for p in python]), F.lit(False)
-    )
-    rows = checked if not python else checked.where(~by_python)
-    out = rows.select(*kept, tree.alias("tree"), "error")
     if python:
-        out = out.unionByName(run_python_producers(checked.where(by_python), python, kept))
-    return out
+        # One pass: files of native producers pass a NULL, which is not parsed.
+        asked = F.when(
+            ready & F.col("producer").isin([p.name for p in python]) & F.col("content").isNotNull(),
+            F.struct("producer", "content", "language"),
+        )
+        fields = [asked[f].alias(f) for f in ("producer", "content", "language")]
+        checked = checked.withColumn("_entries", python_entries(python)(F.struct(*fields)))
+        tree = F.coalesce(tree, entries_tree(F.col("_entries")))
+    else:
+        checked = checked.withColumn("_entries", F.lit(None).cast(ENTRIES_DDL))
+    error = F.coalesce("error", "_entries.error")
+    out = checked.select(*kept, tree.alias("tree"), error.alias("error"))
+    return out.withColumn(
+        "error", F.coalesce("error", F.when(F.col("tree").isNull(), F.lit(NO_TREE)))
+    )
 
 
 def _pruned_outline(tree: Column, include: Column, exclude: Column) -> Column:
@@ -87,7 +106,7 @@ def parse_corpus(
         over(_pruned_outline, "tree", "include_types", "exclude_types")
         if pruned else over(T.render, "tree")
     )
-    versions = {p.name: p.version for p in (*producers.native(), *producers.python())}
+    versions = {p.name: p.version for p in producers.items}
     version = F.lit(None).cast("string")
     for name, value in versions.items():
         version = F.when(F.col("producer") == name, F.lit(value)).otherwise(version)
@@ -97,7 +116,7 @@ def parse_corpus(
         success.alias("success"),
         F.when(success, shown).otherwise(F.lit("")).alias("ast_text"),
         F.struct(
-            F.coalesce("producer", F.lit(producers.get().name)).alias("parser"),
+            F.coalesce("producer", F.lit(producers.choose().name)).alias("parser"),
             F.when(success, F.size("tree")).cast("bigint").alias("node_count"),
             F.when(success, version).alias("parser_version"),
         ).alias("metadata"),

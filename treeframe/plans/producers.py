@@ -7,11 +7,11 @@ per-file parser inside Spark's tasks, in Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from treeframe.functions import trees as T
@@ -20,8 +20,6 @@ Entry = tuple[int, str, str | None]
 
 # Fixed value: the text put before a parser's own error.
 PARSE_ERROR = "Failed to parse: "
-# Files handed back to Spark at a time.
-CHUNK = 64
 
 
 @dataclass(frozen=True)
@@ -58,46 +56,52 @@ PROSE_PRODUCER = NativeProducer("prose", T.prose_tree)
 OUTLINE_PRODUCER = NativeProducer("outline", T.outline_tree)
 
 
+Producer = NativeProducer | PandasProducer
+
+# What a choice that cannot be met is answered with.
+UNKNOWN_PARSER = "Parser '{}' not found"
+UNKNOWN_DEFAULT = "Parser '{}' not registered"
+NO_DEFAULT = "No default parser set"
+
+
+@dataclass(frozen=True)
 class Producers:
-    """Named producers with a default."""
+    """The producers a parse may use, in order, and which one is used unasked.
 
-    def __init__(self) -> None:
-        self._items: dict[str, NativeProducer | PandasProducer] = {}
-        self._default: str | None = None
+    A value: ``with_producer`` and ``by_default`` give changed copies, so a
+    plan keeps the producers that it was made with.
+    """
 
-    def register(self, producer: NativeProducer | PandasProducer) -> None:
-        self._items[producer.name] = producer
+    items: tuple[Producer, ...] = ()
+    default: str = ""
 
-    def set_default(self, name: str) -> None:
-        if name not in self._items:
-            raise ValueError(f"Parser '{name}' not registered")
-        self._default = name
+    def with_producer(self, *more: Producer) -> Producers:
+        """A copy with these added; of equal names the later one counts."""
+        by_name = {p.name: p for p in (*self.items, *more)}
+        return replace(self, items=tuple(by_name.values()))
 
-    def get(self, name: str | None = None) -> NativeProducer | PandasProducer:
-        if name:
-            if name not in self._items:
-                raise ValueError(f"Parser '{name}' not found")
-            return self._items[name]
-        if self._default is None:
-            raise ValueError("No default parser set")
-        return self._items[self._default]
+    def by_default(self, name: str) -> Producers:
+        if name not in self.names():
+            raise ValueError(UNKNOWN_DEFAULT.format(name))
+        return replace(self, default=name)
 
-    def names(self) -> list[str]:
-        return list(self._items)
+    def choose(self, name: str | None = None) -> Producer:
+        """The producer of this name, or the default one."""
+        wanted = name or self.default
+        found = [p for p in self.items if p.name == wanted]
+        if not found:
+            raise ValueError(UNKNOWN_PARSER.format(wanted) if wanted else NO_DEFAULT)
+        return found[0]
 
-    def native(self) -> list[NativeProducer]:
-        return [p for p in self._items.values() if isinstance(p, NativeProducer)]
+    def names(self) -> list[str]:
+        return [p.name for p in self.items]
 
-    def python(self) -> list[PandasProducer]:
-        return [p for p in self._items.values() if isinstance(p, PandasProducer)]
+    def of_kind(self, kind: type) -> list[Producer]:
+        return [p for p in self.items if isinstance(p, kind)]
 
 
 def default_producers() -> Producers:
-    producers = Producers()
-    for producer in (MARKUP_PRODUCER, PROSE_PRODUCER, OUTLINE_PRODUCER):
-        producers.register(producer)
-    producers.set_default(MARKUP_PRODUCER.name)
-    return producers
+    return Producers((MARKUP_PRODUCER, PROSE_PRODUCER, OUTLINE_PRODUCER), MARKUP_PRODUCER.name)
 
 
 def walk_nodes(root: Any, source: bytes) -> Iterator[Entry]:
@@ -132,48 +136,49 @@ def _checked(entries: Iterable[Entry]) -> tuple[list[int], list[str], list[str |
     return depths, types, texts
 
 
-def run_python_producers(
-    files: DataFrame, producers: Iterable[PandasProducer], keep: Iterable[str]
-) -> DataFrame:
-    """Trees of files by the parser their ``producer`` column names.
+ENTRIES_DDL = "struct<depths:array<int>,types:array<string>,texts:array<string>,error:string>"
+
+
+def python_entries(producers: Iterable[PandasProducer]) -> Callable[[Column], Column]:
+    """A column function from ``struct<producer, content, language>`` to parsed entries.
 
-    Returns the ``keep`` columns, ``tree`` and ``error``.
+    A NULL stays NULL and is not parsed, so files of all kinds of producer go
+    through one plan.
     """
-    keep = list(keep)
     makers = {p.name: p.make for p in producers}
 
-    def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(ENTRIES_DDL)
+    def parse(asked: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready: dict[str, Callable[[str, str], Iterable[Entry]]] = {}
-        for batch in batches:
-            for start in range(0, len(batch), CHUNK):
-                part = batch.iloc[start:start + CHUNK]
-                rows = []
-                for name, content, language in zip(part["producer"], part["content"], part["language"]):
-                    try:
-                        if name not in ready:
-                            ready[name] = makers[name]()
-                        rows.append((*_checked(ready[name](content, language)), None))
-                    except Exception as problem:  # any parser failure is that file's result
-                        rows.append((None, None, None, f"{PARSE_ERROR}{problem}"))
-                out = part[keep].reset_index(drop=True)
-                for i, column in enumerate(("_depths", "_types", "_texts", "error")):
-                    out[column] = pd.Series([r[i] for r in rows], dtype=object)
-                yield out
-
-    fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in files.select(*keep).schema
-    )
-    parsed = files.select(*dict.fromkeys([*keep, "producer", "content", "language"])).mapInPandas(
-        parse_batches,
-        f"{fields}, _depths array<int>, _types array<string>, _texts array<string>, error string",
+
+        def one(name: str | None, content: str, language: str) -> tuple:
+            if name is None:
+                return None, None, None, None
+            try:
+                if name not in ready:
+                    ready[name] = makers[name]()
+                return *_checked(ready[name](content, language)), None
+            except Exception as problem:  # any parser failure is that file's result
+                return None, None, None, f"{PARSE_ERROR}{problem}"
+
+        for batch in asked:
+            rows = [one(*row) for row in zip(batch["producer"], batch["content"], batch["language"])]
+            yield pd.DataFrame(
+                {
+                    name: pd.Series([row[i] for row in rows], dtype=object)
+                    for i, name in enumerate(("depths", "types", "texts", "error"))
+                }
+            )
+
+    return parse
+
+
+def entries_tree(entries: Column) -> Column:
+    """The tree of parsed entries; NULL where there are none."""
+    zipped = F.arrays_zip(
+        entries["depths"].alias("depth"), entries["types"].alias("node_type"),
+        entries["texts"].alias("text"),
     )
-    entries = F.transform(
-        F.arrays_zip(
-            F.col("_depths").alias("depth"), F.col("_types").alias("node_type"),
-            F.col("_texts").alias("text"),
-        ),
-        lambda z: F.struct(
-            z["depth"].alias("depth"), z["node_type"].alias("node_type"), z["text"].alias("text")
-        ),
+    return T.finish(
+        F.transform(zipped, lambda z: F.struct(*[z[f].alias(f) for f in ("depth", "node_type", "text")]))
     )
-    return parsed.select(*keep, T.finish(entries).alias("tree"), "error")
