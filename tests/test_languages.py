@@ -5,7 +5,7 @@ from tests import samples as S
 from treeframe.functions import languages as L
 from treeframe.operators import languages as ops
 from treeframe.registry import (
-    CODE_LANGUAGES, EXTENSIONS, MAX_ENTRIES, Language, Registry, extensions_df,
+    CODE_LANGUAGES, EXTENSIONS, Language, Registry,
 )
 
 
@@ -82,14 +82,21 @@ def test_registry_tables(spark):
     rows = CODE_LANGUAGES.to_df(spark).orderBy("registry_pos").collect()
     assert [r.language for r in rows] == CODE_LANGUAGES.names()
     assert "module" in rows[0].include_types and rows[0].exclude_types is None
-    assert extensions_df(spark, EXTENSIONS).count() == len(EXTENSIONS)
 
 
-def test_bounds():
-    with pytest.raises(ValueError):
-        Registry(Language(f"l{i}") for i in range(MAX_ENTRIES + 1))
-    with pytest.raises(ValueError):
-        L.lookup(F.lit("x"), {str(i): "x" for i in range(MAX_ENTRIES + 1)})
+def test_large_tables(spark):
+    many = {f".e{i}": f"l{i}" for i in range(3000)}
+    df = spark.createDataFrame([("a.E2999",), ("a.none",)], "path string")
+    assert [r.l for r in df.select(L.detect(F.col("path"), many).alias("l")).collect()] == ["l2999", None]
+    registry = Registry(Language(f"l{i}", producer="markup") for i in range(20_000))
+    asked = spark.createDataFrame([("L19999",), ("x",)], "language string")
+    got = {r.language: r.registry_pos for r in ops.with_language_config(asked, registry).collect()}
+    assert got == {"L19999": 19_999, "x": None}
+
+
+def test_long_path(spark):
+    df = spark.createDataFrame([("x" * 100_000,), ("." * 50_000 + "a" * 50_000 + ".py",)], "p string")
+    assert [r.s for r in df.select(L.suffix(F.col("p")).alias("s")).collect()] == ["", ".py"]
 
 
 def test_short_and_long_registries_agree(spark):

@@ -1,8 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tests import samples as S
 from treeframe.operators import code, nodes, search, versions
+from treeframe.plans.parse import parse_corpus
+from treeframe.registry import Language, Registry
 
 
 FIB = """module
@@ -128,17 +129,81 @@ def test_hashes_and_duplicates(spark):
     assert [(r.files, r.first_file_id) for r in groups] == [(3, 2)]
 
 
+FILES = "file_id long, path string, content string, language string, read_error string"
+
+
 def test_incremental(spark):
-    def keyed(rows):
-        df = spark.createDataFrame(rows, "file_id long, content string, language string")
-        return versions.with_content_hash(df).withColumn("parser_version", F.lit("1"))
-    new = keyed([(1, "a", "x"), (2, "a", "x"), (3, "a", "y"), (4, "b", "x"), (5, "c", "x")])
-    done = keyed([(9, "b", "x"), (8, "b", "x")])
-    assert sorted(r.file_id for r in versions.incremental(new, done).collect()) == [1, 3, 5]
-    later = done.withColumn("parser_version", F.lit("2"))
-    assert sorted(r.file_id for r in versions.incremental(new, later).collect()) == [1, 3, 4, 5]
-    assert versions.incremental(new, new).count() == 0
-    assert versions.merge_results(done, versions.incremental(new, done)).count() == 5
+    def keyed(rows, version="1", parser="prose"):
+        full = [(i, f"p{i}", c, lang, None if c is not None else "gone") for i, c, lang in rows]
+        return versions.with_key(spark.createDataFrame(full, FILES), parser, version)
+    ids = lambda df: sorted(r.file_id for r in df.collect())
+    rows = [(1, "a", "x"), (2, "a", "X"), (3, "a", "y"), (4, "b", "x"), (5, "c", "x"),
+            (6, None, "x"), (7, None, "x")]
+    done = [(9, "b", "x"), (8, "b", "x")]
+    new = keyed(rows)
+    assert ids(versions.incremental(new, keyed(done))) == [1, 3, 5, 6, 7]
+    assert ids(versions.incremental(new, keyed(done, "2"))) == [1, 3, 4, 5, 6, 7]
+    assert ids(versions.incremental(new, keyed(done, parser="markup"))) == [1, 3, 4, 5, 6, 7]
+    assert ids(versions.incremental(new, new)) == [6, 7]
+    registry = Registry([Language("x", producer="prose"), Language("y", producer="prose")])
+    parse = lambda df: parse_corpus(df, registry, keep=["key"])
+    merged = versions.merge_results(
+        new, parse(keyed(done)), parse(versions.incremental(new, keyed(done)))
+    ).collect()
+    assert {r.file_id: r.error for r in merged} == {
+        1: None, 2: None, 3: None, 4: None, 5: None, 6: "gone", 7: "gone"}
+    assert len(merged) == 7 and all(r.success for r in merged if r.file_id < 6)
+
+
+PRUNED = "<div><h1>title</h1><p>x</p></div><nav><ul><li>a</li></ul></nav><div><h1>two</h1></div>"
+
+
+@pytest.mark.parametrize("lists", [{"include": ("document", "div", "h1")}, {"exclude": ("nav",)}])
+def test_pruned_trees_keep_places(spark, lists):
+    whole = nodes.markup_trees(spark.createDataFrame([(1, PRUNED)], "file_id long, content string"))
+    pruned = nodes.prune_trees(whole, **lists)
+    names = lambda df: [(r.decl_ord, r.name) for r in search.extract_names(df, "h1", "text").collect()]
+    assert names(pruned) == names(whole) and [n for _, n in names(whole)] == ["title", "two"]
+    rows = {r.ord: r for r in nodes.explode_nodes(whole).collect()}
+    got = nodes.explode_nodes(pruned).collect()
+    assert 0 < len(got) < len(rows)
+    for r in got:
+        want = rows[r.ord]
+        assert (r.parent_ord, r.path_types, r.path_ords) == (
+            want.parent_ord, want.path_types, want.path_ords)
+
+
+def test_recursion_on_a_pruned_tree(spark):
+    outline = "\n".join([
+        "module", "  class", "    name: 'k'", "  function", "    identifier: 'f'", "    block",
+        "      call", "        identifier: 'f'"])
+    trees = nodes.outline_trees(spark.createDataFrame([(1, outline)], "file_id long, ast_text string"))
+    pruned = nodes.prune_trees(trees, exclude=("class",))
+    found = lambda df: [tuple(r)[1:] for r in search.recursive_decls(
+        df, "function", "call", "identifier").collect()]
+    assert found(pruned) == found(trees) == [(3, "f")]
+
+
+@pytest.mark.parametrize("language", ["python", "javascript", "typescript", "go", "cpp"])
+def test_long_lines(spark, language):
+    lines = ["int " * 250_000 + "f(x) {", "a::" * 300_000, "import " * 150_000, "x" * 1_000_000,
+             "func (" + "a " * 400_000, "def " * 250_000]
+    df = spark.createDataFrame([(1, language, "\n".join(lines))], "file_id long, language string, content string")
+    assert code.line_decls(df).count() <= len(lines)
+
+
+def test_broken_markup_is_linear(spark):
+    import time
+
+    def took(n, text):
+        df = spark.createDataFrame([(1, text * n)], "file_id long, content string")
+        started = time.perf_counter()
+        nodes.markup_trees(df).selectExpr("size(tree)").collect()
+        return time.perf_counter() - started
+
+    for text in ("<!-- x ", "<script> ", "<style> ", "< "):
+        took(10, text)
+        assert took(40_000, text) < 20 * (took(4_000, text) + 0.2)
 
 
 def test_outline_diff(spark):

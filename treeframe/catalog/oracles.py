@@ -8,18 +8,17 @@ INCLUDE = "['document','html','body','article','nav','ul','div']"
 EXCLUDE = "['head','ul','article']"
 FLAT = ("'area','b','base','br','col','embed','hr','img','input','link',"
         "'meta','p','source','track','wbr'")
+# Written for these checks: raw elements by name in one group, open ends as text ends.
+RAW_END = r"</(?:script|style)\s*>"
 TOKEN = (
-    r"(?s)<!--.*?-->"
-    r"|<(?i:script)\b[^<>]*>.*?</(?i:script)[ \t\r\n]*>"
-    r"|<(?i:style)\b[^<>]*>.*?</(?i:style)[ \t\r\n]*>"
-    r"|<[/!?]?[A-Za-z][^<>]*>"
-    r"|<?[^<]+"
-    r"|<"
+    r"(?is)<!--(?:.*?-->|.*$)"
+    r"|<(?:script|style)\b[^<>]*>(?:.*?" + RAW_END + r"|.*$)"
+    r"|</?[a-z][^<>]*>|<[!?][a-z][^<>]*>"
+    r"|<[^<]*|[^<]+"
 )
-RAW = r"(?is)^<(?:script|style)\b.*</(?:script|style)[ \t\r\n]*>$"
 PAGES = "SELECT page_id AS file_id, html AS content FROM pages"
 URL = r"regexp_replace(url, '[?#].*$', '')"
-SUFFIX = r"(?:^|/)[^/]*[^/.][^/]*(\.[^./]+)/*$"
+SUFFIX = r"(?:^|/)[.]*[^/.][^/]*([.][^./]+)/*$"
 
 
 def tokens(prefix: str, source: str) -> str:
@@ -34,14 +33,14 @@ def tokens(prefix: str, source: str) -> str:
     CASE WHEN starts_with(tok, '<')
       THEN lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) ELSE '' END AS tag
   FROM {prefix}raw
-  WHERE NOT (starts_with(tok, '<!--') AND ends_with(tok, '-->'))
+  WHERE NOT starts_with(tok, '<!--')
     AND regexp_matches(tok, '[^ \\t\\r\\n\\f]')),
 {prefix}tok AS (
   SELECT *, tag <> '' AND starts_with(tok, '</') AS closing,
     CASE WHEN tag = '' OR tag IN ({FLAT}) THEN 0
       WHEN starts_with(tok, '</') THEN -1
       WHEN ends_with(tok, '/>') THEN 0
-      WHEN tag IN ('script', 'style') AND regexp_matches(tok, '{RAW}') THEN 0
+      WHEN tag IN ('script', 'style') THEN 0
       ELSE 1 END AS w
   FROM {prefix}tag)"""
 
@@ -191,7 +190,7 @@ HASH = "sha256(text)"
 
 def result_ids() -> str:
     return (f"SELECT doc_id, lang, sha256({HASH} || '|' || lang || '|' || "
-            "CASE WHEN lang IN ('en', 'fr') THEN 'prose' ELSE 'markup' END) AS id FROM documents")
+            "CASE WHEN lang IN ('en', 'fr') THEN 'prose|1' ELSE 'markup' END) AS id FROM documents")
 
 
 def page_query(select: str) -> str:
@@ -388,12 +387,8 @@ FROM ids WHERE id IN (SELECT id FROM ids WHERE doc_id IN {LABELLED})""",
     "incremental": f"""SELECT min(doc_id) AS file_id, {HASH} AS content_hash, lang AS language
 FROM documents GROUP BY text, lang
 HAVING count(*) FILTER (doc_id IN {LABELLED}) = 0""",
-    "incremental_merge": f"""WITH {PROSE_RESULTS},
-todo AS (
-  SELECT min(doc_id) AS doc_id FROM documents GROUP BY text, lang
-  HAVING count(*) FILTER (doc_id IN {LABELLED}) = 0)
-SELECT file_id, language, node_count, error FROM results
-WHERE file_id IN {LABELLED} OR file_id IN (SELECT doc_id FROM todo)""",
+    "incremental_merge": f"""WITH {PROSE_RESULTS}
+SELECT file_id, language, node_count, error FROM results""",
     "outline_diff": f"""WITH {markup('x')}, {markup('y', '''
 SELECT page_id AS file_id, replace(regexp_replace(html, '(?s)<li>.*?</li>', '', 'g'),
   '<h1>', '<h2></h2><h1>') AS content FROM pages''')},

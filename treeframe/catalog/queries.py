@@ -390,7 +390,12 @@ def fetch_results(spark, sf_dir):
         versions.with_content_hash(D.document_table(spark, sf_dir))
         .join(labelled, "file_id", "left_semi")
         .withColumn("parser", F.when(F.col("language").isin("en", "fr"), "prose").otherwise("markup"))
-        .select(store.result_id(F.col("content_hash"), F.col("language"), F.col("parser")).alias("id"))
+        .withColumn("version", F.when(F.col("parser") == "prose", VERSION))
+        .select(
+            store.result_id(
+                F.col("content_hash"), F.col("language"), F.col("parser"), F.col("version")
+            ).alias("id")
+        )
     )
     return store.fetch_results(spark, folder, ids).select("id", "file_id", "language", "success")
 
@@ -411,7 +416,7 @@ def duplicate_groups(spark, sf_dir):
 
 
 def _keyed(files: DataFrame) -> DataFrame:
-    return versions.with_content_hash(files).withColumn("parser_version", F.lit(VERSION))
+    return versions.with_key(files, "prose", VERSION)
 
 
 @query
@@ -425,12 +430,14 @@ def incremental(spark, sf_dir):
 
 @query
 def incremental_merge(spark, sf_dir):
-    """Results of the labelled documents, completed with the rest."""
+    """A result for every document, those of the labelled ones being there already."""
     files = _keyed(D.document_files(spark, sf_dir))
     labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
     done = files.join(labelled, "file_id", "left_semi")
-    parse = lambda df: _flat_results(parse_corpus(df, D.PROSE_LANGUAGES))
-    merged = versions.merge_results(parse(done), parse(versions.incremental(files, done)))
+    parse = lambda df: parse_corpus(df, D.PROSE_LANGUAGES, keep=["key"])
+    merged = _flat_results(
+        versions.merge_results(files, parse(done), parse(versions.incremental(files, done)))
+    )
     return merged.select("file_id", "language", "node_count", "error")
 
 

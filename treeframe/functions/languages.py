@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from treeframe.registry import EXTENSIONS, MAX_ENTRIES, Registry
-
-# Suffix of the last path segment; a name that starts with its only dot has none.
-SUFFIX = r"(?:^|/)[^/]*[^/.][^/]*(\.[^./]+)/*$"
+from treeframe.registry import EXTENSIONS, Registry
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:
     """Value for ``key`` in a driver-side table, inlined as a map literal."""
-    if len(table) > MAX_ENTRIES:
-        raise ValueError(f"table holds {len(table)} entries, at most {MAX_ENTRIES} can be inlined")
     if not table:
         return F.lit(None).cast("string")
     pairs = [F.lit(x) for item in table.items() for x in item]
@@ -22,8 +17,16 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
 
 
 def suffix(path: Column) -> Column:
-    """Lower-cased suffix of a path, with its dot; empty when there is none."""
-    return F.lower(F.regexp_extract(path, SUFFIX, 1))
+    """Lower-cased suffix of a path, with its dot; empty when there is none.
+
+    The name is cut off first, and then only its last dot counts, so a long path
+    takes one pass.
+    """
+    name = F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
+    dot = F.substring_index(name, ".", -1)
+    stem = F.substring(name, F.lit(1), F.length(name) - F.length(dot) - 1)
+    has = (F.length(dot) > 0) & (F.length(dot) < F.length(name)) & (F.ltrim(stem, F.lit(".")) != "")
+    return F.lower(F.when(has, F.concat(F.lit("."), dot)).otherwise(F.lit("")))
 
 
 def url_path(url: Column) -> Column:

@@ -52,15 +52,40 @@ def quote_literal(text: Column) -> Column:
 
 
 def unquote_literal(literal: Column) -> Column:
-    """Inner text of a quoted literal with the common escapes undone."""
+    """Inner text of a quoted literal with all its escapes undone."""
     inner = F.substring(literal, F.lit(2), F.length(literal) - 2)
-    hidden = F.replace(inner, F.lit("\\\\"), F.lit("\u0000"))
-    for escape, plain in (("\\'", "'"), ("\\t", "\t"), ("\\r", "\r"), ("\\n", "\n")):
-        hidden = F.replace(hidden, F.lit(escape), F.lit(plain))
-    plain = F.replace(hidden, F.lit("\u0000"), F.lit("\\"))
+    plain = F.array_join(
+        F.transform(
+            F.regexp_extract_all(inner, F.lit(_ESCAPE_OR_RUN), F.lit(0)),
+            lambda part: F.when(part.startswith("\\") & (F.length(part) > 1), _unescaped(part))
+            .otherwise(part),
+        ),
+        "",
+    )
     return F.when(literal.contains("\\"), plain).otherwise(inner)
 
 
+# An escape, or a run of other characters; a last backslash stands for itself.
+_ESCAPE_OR_RUN = (
+    r"(?s)[^\\]+|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|\\"
+)
+
+
+def _unescaped(escape: Column) -> Column:
+    """The character of one escape; an unknown one stays as it is."""
+    kind = F.substring(escape, 2, 1)
+    code = F.conv(F.substring(escape, F.lit(3), F.length(escape) - 2), 16, 10).try_cast("int")
+    return (
+        F.when(kind == "t", F.lit("\t")).when(kind == "r", F.lit("\r")).when(kind == "n", F.lit("\n"))
+        .when(kind.isin("\\", "'", '"'), kind)
+        .when(
+            kind.isin("x", "u", "U") & (F.length(escape) > 2) & (code <= 0x10FFFF),
+            F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
+        )
+        .otherwise(escape)
+    )
+
+
 def leaf_literal(text: Column) -> Column:
     """Leaf text as an outline shows it: newlines escaped, shortened, quoted."""
     # One character more than is shown decides everything; the rest of a long

@@ -26,18 +26,17 @@ FLAT_TAGS = (
 )
 
 # One pass over the text: comments, elements whose content is not markup (whole),
-# tags, text runs. All of the text is in some token.
+# tags, text runs. All of the text is in some token. What is not closed ends with the
+# text, so that no opening is searched to the end in vain.
 TOKEN = (
-    r"(?s)<!--.*?-->"
-    r"|<(?i:script)\b[^<>]*>.*?</(?i:script)[ \t\r\n]*>"
-    r"|<(?i:style)\b[^<>]*>.*?</(?i:style)[ \t\r\n]*>"
+    r"(?s)<!--.*?(?:-->|\z)"
+    r"|<(?i:script)\b[^<>]*>.*?(?:</(?i:script)[ \t\r\n]*>|\z)"
+    r"|<(?i:style)\b[^<>]*>.*?(?:</(?i:style)[ \t\r\n]*>|\z)"
     r"|<[/!?]?[A-Za-z][^<>]*>"
     r"|<?[^<]+"
     r"|<"
 )
 TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
-# Whole raw elements end in a closing tag although they start with an opening one.
-RAW_ELEMENT = r"(?is)^<(?:script|style)\b.*</(?:script|style)[ \t\r\n]*>$"
 SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
 _VISIBLE = r"[^ \t\r\n\f]"
 
@@ -76,7 +75,7 @@ def markup_tokens(content: Column) -> Column:
     """Tags and text runs, each with its tag name, direction and weight."""
     raw = F.filter(
         F.regexp_extract_all(content, F.lit(TOKEN), F.lit(0)),
-        lambda t: F.when(t.startswith("<"), ~(t.startswith("<!--") & t.endswith("-->")))
+        lambda t: F.when(t.startswith("<"), ~t.startswith("<!--"))
         .otherwise(t.rlike(_VISIBLE)),
     )
     named = F.transform(
@@ -95,8 +94,7 @@ def markup_tokens(content: Column) -> Column:
             ((t["tag"] != "") & t["source"].startswith("</")).alias("closing"),
             F.when((t["tag"] == "") | t["tag"].isin(*FLAT_TAGS), 0)
             .when(t["source"].startswith("</"), -1)
-            .when(t["source"].endswith("/>"), 0)
-            .when(t["tag"].isin("script", "style") & t["source"].rlike(RAW_ELEMENT), 0)
+            .when(t["source"].endswith("/>") | t["tag"].isin("script", "style"), 0)
             .otherwise(1).alias("weight"),
         ),
     )
@@ -193,20 +191,23 @@ def with_paths(tree: Column) -> Column:
     """
 
     def joined(nodes: Column) -> Column:
-        # State: ords of the open nodes, from the root down to this node.
+        # State: positions of the open nodes, from the root down to this node. They
+        # differ from ords once a tree is pruned.
         chains = running(
-            nodes,
+            F.transform(
+                nodes, lambda n, i: F.struct(n["depth"].alias("depth"), i.alias("at"))
+            ),
             F.expr("cast(array() as array<int>)"),
-            lambda chain, n: F.array_append(F.slice(chain, F.lit(1), n["depth"]), n["ord"]),
+            lambda chain, n: F.array_append(F.slice(chain, F.lit(1), n["depth"]), n["at"]),
         )
 
         def node(chain: Column, n: Column) -> Column:
             above = F.slice(chain, F.lit(1), F.size(chain) - 1)
             return F.struct(
                 *[n[f].alias(f) for f in schemas.NODE.fieldNames()],
-                F.get(chain, F.size(chain) - 2).alias("parent_ord"),
-                F.transform(above, lambda o: F.get(nodes, o)["node_type"]).alias("path_types"),
-                above.alias("path_ords"),
+                F.get(nodes, F.get(chain, F.size(chain) - 2))["ord"].alias("parent_ord"),
+                F.transform(above, lambda at: F.get(nodes, at)["node_type"]).alias("path_types"),
+                F.transform(above, lambda at: F.get(nodes, at)["ord"]).alias("path_ords"),
             )
 
         return let(
@@ -418,6 +419,20 @@ def enclosing(tree: Column, types: Iterable[str]) -> Column:
     return let(tree, counts)
 
 
+def placed(nodes: Column, *types: str) -> Column:
+    """Nodes of the given types with their positions, as ``array<struct<node, at>>``."""
+    return F.filter(
+        F.transform(nodes, lambda n, i: F.struct(n.alias("node"), i.alias("at"))),
+        lambda p: p["node"]["node_type"].isin(*types),
+    )
+
+
+def first_after(nodes: Column, at: Column, node_type: str, within: int) -> Column:
+    """Text of the first node of a type among the ``within`` ones after a position."""
+    near = F.filter(F.slice(nodes, at + 2, within), lambda x: x["node_type"] == node_type)
+    return F.get(near, F.lit(0))["text"]
+
+
 def names(tree: Column, decl_type: str, name_type: str, within: int = 4) -> Column:
     """Declarations with the first name among the next ``within`` nodes.
 
@@ -426,13 +441,13 @@ def names(tree: Column, decl_type: str, name_type: str, within: int = 4) -> Colu
     """
 
     def found(nodes: Column) -> Column:
-        def name_after(n: Column) -> Column:
-            near = F.filter(
-                F.slice(nodes, n["ord"] + 2, within), lambda x: x["node_type"] == name_type
-            )
-            return F.struct(n["ord"].alias("decl_ord"), F.get(near, F.lit(0))["text"].alias("name"))
-
-        decls = F.transform(F.filter(nodes, lambda n: n["node_type"] == decl_type), name_after)
+        decls = F.transform(
+            placed(nodes, decl_type),
+            lambda p: F.struct(
+                p["node"]["ord"].alias("decl_ord"),
+                first_after(nodes, p["at"], name_type, within).alias("name"),
+            ),
+        )
         return F.filter(decls, lambda d: d["name"].isNotNull())
 
     return let(tree, found)

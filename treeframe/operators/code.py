@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from treeframe.functions.arrays import let, over, running
 
 # (language, node type, pattern with the name as group 1); the first match wins.
+# Only character classes repeat: a repeated group recurses once per round in the JVM,
+# and a long line of data would end the executor.
 DECL_RULES: tuple[tuple[str, str, str], ...] = (
     ("python", "class_definition", r"^\s*class\s+(\w+)"),
     ("python", "function_definition", r"^\s*(?:async\s+)?def\s+(\w+)"),
@@ -37,7 +39,7 @@ DECL_RULES: tuple[tuple[str, str, str], ...] = (
     ("cpp", "class_specifier", r"^\s*class\s+(\w+)[^;]*$"),
     ("cpp", "struct_specifier", r"^\s*struct\s+(\w+)[^;]*$"),
     ("cpp", "function_definition",
-     r"^\s*(?:[\w:&*<>,~]+\s+)+[*&]*((?:\w+::)*~?\w+)\s*\([^;]*$"),
+     r"^\s*[\w:&*<>,~][\w:&*<>,~\s]*[\s*&](~?\w[\w:~]*)\s*\([^;]*$"),
 )
 
 # Words that look like a C++ function to the rule above but are statements.

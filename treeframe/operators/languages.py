@@ -55,7 +55,7 @@ def with_language_config(df: DataFrame, registry: Registry) -> DataFrame:
     """Attach the registry row of each row's language; NULLs when there is none.
 
     A short registry becomes a literal of the plan and needs no join. A longer
-    one, still bounded (see :class:`Registry`), is broadcast.
+    one is joined, in the way that Spark chooses by its size.
     """
     if len(registry) <= INLINE_LANGUAGES:
         entry = F.try_element_at(registry_literal(registry), F.lower("language"))
@@ -66,7 +66,7 @@ def with_language_config(df: DataFrame, registry: Registry) -> DataFrame:
     table = registry.to_df(df.sparkSession)
     return (
         df.withColumn("_key", F.lower("language"))
-        .join(F.broadcast(table.withColumnRenamed("language", "_key")), "_key", "left")
+        .join(table.withColumnRenamed("language", "_key"), "_key", "left")
         .drop("_key")
     )
 

@@ -58,14 +58,6 @@ def outline_nodes(results: DataFrame, outline: str = "ast_text") -> DataFrame:
     return explode_nodes(outline_trees(results.select("file_id", outline), outline))
 
 
-def gather_trees(nodes: DataFrame) -> DataFrame:
-    """Node rows of any origin back to one row per file: one shuffle on ``file_id``."""
-    fields = schemas.NODE.fieldNames()
-    return nodes.groupBy("file_id").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("tree")
-    )
-
-
 def with_tree_paths(nodes: DataFrame, part_nodes: int = PART_NODES) -> DataFrame:
     """Add parent and ancestors to node rows that lack them; any depth, any size.
 

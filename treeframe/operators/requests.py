@@ -24,14 +24,21 @@ def _missing(fields: tuple[str, ...]) -> str:
 
 
 def _absent(name: str) -> Column:
-    return F.coalesce(F.col(f"request.{name}"), F.lit("")) == ""
+    """Whether a field is missing or holds an empty or zero value, of any JSON type."""
+    raw = F.get_json_object(F.col("_body"), f"$.{name}")
+    # Text keeps its quotes nowhere in these functions, so the text "0" needs its type.
+    kind = F.try_variant_get(F.try_parse_json("_body"), f"$.{name}", "variant")
+    is_text = F.coalesce(F.schema_of_variant(kind), F.lit("VOID")) == "STRING"
+    empty = raw.isNull() | (raw == "")
+    nothing = raw.rlike(r"^(?:-?0[0.]*(?:[eE][+-]?[0-9]+)?|false|null|\[\s*\]|\{\s*\})$")
+    return F.coalesce(empty | (~is_text & nothing), F.lit(True))
 
 
 def validate_requests(df: DataFrame, kind: str = "kind", body: str = "body") -> DataFrame:
     """Add the parsed fields and ``error`` (NULL when the request is valid).
 
-    An empty string counts as missing. Checks run in the order body, JSON,
-    kind, fields.
+    An empty or zero value counts as missing: "", 0, false, null, [] and {}. Checks
+    run in the order body, JSON, kind, fields.
     """
     # Read as the only element of an array: text after the object is then an error.
     parsed = df.withColumn(
@@ -39,7 +46,7 @@ def validate_requests(df: DataFrame, kind: str = "kind", body: str = "body") ->
         F.from_json(
             F.concat(F.lit("["), F.col(body), F.lit("]")), _BODY_DDL, {"allowSingleQuotes": "false"}
         ),
-    ).withColumn("request", F.get("_read", F.lit(0)))
+    ).withColumns({"request": F.get("_read", F.lit(0)), "_body": F.col(body)})
     is_object = F.col(body).rlike(r"^\s*\{") & (F.coalesce(F.size("_read"), F.lit(0)) == 1)
     error = (
         F.when(F.coalesce(F.col(body), F.lit("")) == "", F.lit(NO_BODY))

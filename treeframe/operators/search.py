@@ -100,18 +100,12 @@ def _recursive(
     """Walks with the open declarations and calls at hand, so the cost follows
     the tree's depth and not the number of equal names in a file."""
 
-    def name_of(nodes: Column, n: Column) -> Column:
-        near = F.filter(
-            F.slice(nodes, n["ord"] + 2, within), lambda x: x["node_type"] == name_type
-        )
-        return F.get(near, F.lit(0))["text"]
-
     def found(nodes: Column) -> Column:
         steps = F.transform(
-            F.filter(nodes, lambda n: n["node_type"].isin(decl_type, call_type)),
-            lambda n: F.struct(
-                n["ord"].alias("ord"), n["depth"].alias("depth"),
-                n["node_type"].alias("node_type"), name_of(nodes, n).alias("name"),
+            T.placed(nodes, decl_type, call_type),
+            lambda p: F.struct(
+                *[p["node"][f].alias(f) for f in ("ord", "depth", "node_type")],
+                T.first_after(nodes, p["at"], name_type, within).alias("name"),
             ),
         )
         # State: declarations and calls enclosing this point, innermost last.

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.functions.text import content_hash
 
-# A result stays valid for equal content, language and producer version.
-CACHE_KEY = ("content_hash", "language", "parser_version")
-
-
 def with_content_hash(df: DataFrame, content: str = "content") -> DataFrame:
     return df.withColumn("content_hash", content_hash(F.col(content)))
 
@@ -29,25 +25,49 @@ def duplicate_groups(df: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def pending(new: DataFrame, done: DataFrame) -> DataFrame:
-    """Keys of ``new`` without a result in ``done``, with one file to parse for each.
+def with_key(
+    files: DataFrame, parser: Column | str, version: Column | str, content: str = "content"
+) -> DataFrame:
+    """Add ``content_hash`` and ``key``, under which a parse result stays valid.
 
-    Only key columns are shuffled, each key once per task.
+    The key stands for content, language, parser and its version. A file that
+    could not be read has none, so it is never taken for another one.
     """
-    keys = new.groupBy(*CACHE_KEY).agg(
-        F.min("file_id").alias("file_id"), F.count("*").alias("files")
-    )
-    return keys.join(done.select(*CACHE_KEY).distinct(), list(CACHE_KEY), "left_anti")
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    hashed = with_content_hash(files, content)
+    language = F.lower(F.coalesce("language", F.lit("")))
+    key = F.sha2(F.concat_ws("|", language, as_column(parser), as_column(version)), 256)
+    return hashed.withColumn("key", F.concat("content_hash", F.lit(":"), key))
 
 
 def incremental(new: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows of ``new`` to parse: one per key that ``done`` lacks."""
-    todo = pending(new, done).select("file_id")
-    return new.join(todo, "file_id", "left_semi")
+    """Rows of ``new`` to parse: one per key that ``done`` lacks, and all without a key.
 
+    Only keys are shuffled, each once per task; ``done`` needs no other column.
+    """
+    todo = (
+        new.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("file_id").alias("file_id"))
+        .join(done.select("key").distinct(), "key", "left_anti").select("file_id")
+    )
+    chosen = new.where(F.col("key").isNotNull()).join(todo, "file_id", "left_semi")
+    return chosen.unionByName(new.where(F.col("key").isNull()))
 
-def merge_results(done: DataFrame, fresh: DataFrame) -> DataFrame:
-    return done.unionByName(fresh)
+
+def merge_results(new: DataFrame, done: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The result of every file of ``new``, by its key, from earlier and fresh results.
+
+    ``done`` and ``fresh`` hold results with their ``key``; a file without a key
+    takes the fresh result of its own id.
+    """
+    outcome = ["language", "success", "ast_text", "metadata", "error"]
+    known = done.select("key", *outcome).unionByName(fresh.select("key", *outcome))
+    known = known.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.first(F.struct(*outcome)).alias("_outcome")
+    )
+    files = new.where(F.col("key").isNotNull()).select("file_id", "path", "key")
+    found = files.join(known, "key").select("file_id", "path", "_outcome.*")
+    own = fresh.where(F.col("key").isNull()).select("file_id", "path", *outcome)
+    return found.unionByName(own)
 
 
 def outline_diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Language registry and path-extension table.
 
-Both live on the driver as plain Python values and have a fixed, checked size,
-so they can be inlined into a plan as literals or broadcast.
+Both live on the driver as plain Python values; what is long is joined instead of
+being inlined into a plan.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from dataclasses import dataclass, replace
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_ENTRIES = 10_000  # bound under which a registry may be inlined or broadcast
-
 
 @dataclass(frozen=True)
 class Language:
@@ -33,8 +31,6 @@ class Registry:
         self._items = {
             lang.name.lower(): replace(lang, name=lang.name.lower()) for lang in languages
         }
-        if len(self._items) > MAX_ENTRIES:
-            raise ValueError(f"registry holds {len(self._items)} languages, at most {MAX_ENTRIES}")
 
     def __iter__(self) -> Iterator[Language]:
         return iter(self._items.values())
@@ -87,14 +83,6 @@ class Registry:
         }))
 
 
-def extensions_df(spark: SparkSession, extensions: dict[str, str]) -> DataFrame:
-    """The path-extension table as a local relation."""
-    return spark.createDataFrame(pa.table({
-        "ext": pa.array(list(extensions), pa.string()),
-        "language": pa.array(list(extensions.values()), pa.string()),
-    }))
-
-
 # Extension table of the path detector.
 EXTENSIONS = {
     ".py": "python",

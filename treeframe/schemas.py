@@ -21,32 +21,6 @@ FILES = T.StructType([
     T.StructField("read_error", T.StringType()),
 ])
 
-NODES = T.StructType(
-    [T.StructField("file_id", T.LongType())]
-    + NODE.fields
-    + [
-        T.StructField("parent_ord", T.IntegerType()),
-        T.StructField("path_types", T.ArrayType(T.StringType())),
-        T.StructField("path_ords", T.ArrayType(T.IntegerType())),
-    ]
-)
-
-METADATA = T.StructType([
-    T.StructField("parser", T.StringType()),
-    T.StructField("node_count", T.LongType()),
-    T.StructField("parser_version", T.StringType()),
-])
-
-RESULTS = T.StructType([
-    T.StructField("file_id", T.LongType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("language", T.StringType()),
-    T.StructField("success", T.BooleanType()),
-    T.StructField("ast_text", T.StringType()),
-    T.StructField("metadata", METADATA),
-    T.StructField("error", T.StringType()),
-])
-
 LANGUAGES = T.StructType([
     T.StructField("registry_pos", T.IntegerType()),
     T.StructField("language", T.StringType()),
@@ -56,11 +30,6 @@ LANGUAGES = T.StructType([
     T.StructField("producer", T.StringType()),
 ])
 
-EXTENSIONS = T.StructType([
-    T.StructField("ext", T.StringType()),
-    T.StructField("language", T.StringType()),
-])
-
 # The type of a produced node before order and leaf flags are known.
 ENTRY_DDL = "struct<depth:int,node_type:string,text:string>"
 TREE_DDL = "array<struct<ord:int,depth:int,node_type:string,text:string,is_leaf:boolean>>"

@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from treeframe.operators.results import report_text, result_json
 
 
-def result_id(content_hash: Column, language: Column, parser: Column) -> Column:
-    """Id of a result: the same content, language and parser give the same id."""
-    return F.sha2(F.concat_ws("|", content_hash, language, parser), 256)
+def result_id(
+    content_hash: Column, language: Column, parser: Column, version: Column
+) -> Column:
+    """Id of a result: the same content, language, parser and version give the same id."""
+    return F.sha2(F.concat_ws("|", content_hash, F.lower(language), parser, version), 256)
 
 
 def with_result_id(results: DataFrame) -> DataFrame:
     """Add ``id``; needs ``content_hash`` beside the result columns."""
     return results.withColumn(
-        "id", result_id(F.col("content_hash"), F.col("language"), F.col("metadata.parser"))
+        "id",
+        result_id(
+            F.col("content_hash"), F.col("language"), F.col("metadata.parser"),
+            F.col("metadata.parser_version"),
+        ),
     )
 
 
