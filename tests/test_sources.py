@@ -10,7 +10,7 @@ from treeframe import (
 )
 from treeframe import schemas, session
 from treeframe.operators import requests, versions
-from treeframe.sources.corpus import spread
+from treeframe.sources.corpus import read_requested, spread
 
 REGISTRY = Registry([MARKUP, Language("prose", producer="prose")])
 
@@ -34,6 +34,36 @@ def test_read_and_decode(spark, tmp_path):
     assert len({r.file_id for r in got.values()}) == 5
 
 
+def test_no_file_is_lost(spark, tmp_path):
+    names = ["__init__.py", "_priv.py", ".eslintrc.js", "a.py", "empty.py", ".hid/b.py", "_x/y/c.py", "no suffix"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else name.encode())
+    got = {r.path.removeprefix(f"{tmp_path}/"): r for r in read_corpus(spark, str(tmp_path)).collect()}
+    assert set(got) == set(names)
+    assert all(got[n].content == ("" if "empty" in n else n) for n in names)
+    assert all(r.read_error is None and len(r.file_id) == 32 for r in got.values())
+    top = {r.path.rsplit("/", 1)[1] for r in read_corpus(spark, str(tmp_path), "*.py", False).collect()}
+    assert top == {"__init__.py", "_priv.py", "a.py", "empty.py"}
+    one = read_corpus(spark, [str(tmp_path / ".hid"), str(tmp_path / "a.py"), str(tmp_path / "gone")])
+    rows = {r.path.removeprefix(f"{tmp_path}/"): r.read_error for r in one.collect()}
+    assert rows[".hid/b.py"] is None and rows["a.py"] is None
+    assert rows["gone"].startswith("Error reading file: ") and "No such file" in rows["gone"]
+
+
+def test_read_requested(spark, tmp_path):
+    (tmp_path / "_empty.html").write_bytes(b"")
+    (tmp_path / "d").mkdir()
+    asked = spark.createDataFrame(
+        [(str(tmp_path / n), lang) for n, lang in (("_empty.html", None), ("gone", ""), ("d", "html"))],
+        "path string, language string")
+    rows = {r.path.rsplit("/", 1)[1]: r for r in read_requested(asked).collect()}
+    assert rows["_empty.html"].content == "" and rows["_empty.html"].read_error is None
+    assert "No such file" in rows["gone"].read_error and rows["gone"].language == "unknown"
+    assert rows["d"].read_error.startswith("Error reading file: ") and rows["d"].language == "html"
+    assert "No such file" not in rows["d"].read_error
+
+
 def test_decode_null(spark):
     df = spark.createDataFrame([(1, None)], "id long, raw binary")
     assert tuple(decode_text(df).first()) == (1, None, None)
@@ -119,6 +149,11 @@ def test_validate_requests(spark):
         ("parse", '["content", "language"]', "Invalid JSON"), ("parse", "7", "Invalid JSON"),
         ("parse", ' {"content": "[]}", "language": "go", "more": {"a": [1]}}\n', None),
         ("unknown", "not json", "Invalid JSON"), ("unknown", "{}", "Not found"),
+        *[("parse", f'{{"content": {v}, "language": "go"}}', "Missing required fields: content, language")
+          for v in ("0", "0.0", "-0", "false", "[]", "{}", "[ ]")],
+        *[("parse", f'{{"content": {v}, "language": "go"}}', None)
+          for v in ('"0"', '"false"', '"[]"', "1", "true", "[0]", '"null"')],
+        ("parse-file", '{"file_path": []}', "Missing required field: file_path"),
         ("parse", "", "No request body"), ("parse", None, "No request body"),
     ]
     df = spark.createDataFrame(cases, "kind string, body string, expected string")

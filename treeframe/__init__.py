@@ -11,7 +11,13 @@ from treeframe.plans.producers import (
     walk_nodes,
 )
 from treeframe.registry import CODE_LANGUAGES, EXTENSIONS, MARKUP, Language, Registry
-from treeframe.sources.corpus import corpus_from_table, decode_text, read_corpus, with_read_errors
+from treeframe.sources.corpus import (
+    corpus_from_table,
+    decode_text,
+    read_corpus,
+    read_requested,
+    with_read_errors,
+)
 from treeframe.sources.store import (
     fetch_result,
     fetch_results,
@@ -26,7 +32,8 @@ __all__ = [
     "CODE_LANGUAGES", "EXTENSIONS", "MARKUP", "Language", "NativeProducer", "PandasProducer",
     "Producers", "Registry", "corpus_from_table", "decode_text", "dedup_stream",
     "default_producers", "fetch_result", "fetch_results", "pandas_producer", "parse_code",
-    "parse_corpus", "parse_trees", "read_corpus", "register_outline_lines", "save_results",
+    "parse_corpus", "parse_trees", "read_corpus", "read_requested",
+    "register_outline_lines", "save_results",
     "stream_results", "walk_nodes", "with_read_errors", "with_result_id", "write_reports",
     "write_results_json",
 ]

@@ -191,3 +191,27 @@ def indent_tree(content: str, language: str) -> Iterator[tuple[int, str, str | N
         if line.strip():
             last = min((len(line) - len(line.lstrip())) // 4, last) + 1
             yield last, "line", line.strip()
+
+
+# Where a document's file stands and what it is called, by its number.
+FILE_NAMES = ("{}.txt", "_{}.txt", ".{}.txt", "a/b/{}.txt", ".hidden/{}.txt", "_x/__init__{}.txt", "{}.md")
+
+
+def write_files(documents: DataFrame, folder: str) -> None:
+    """One file per document, in tasks; every eleventh is empty."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                path = f"{base}/{FILE_NAMES[doc_id % len(FILE_NAMES)].format(doc_id)}"
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(path) as out:
+                    out.write(b"" if doc_id % 11 == 0 else text.encode())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = documents.select("doc_id", "text").mapInArrow(run, "n bigint")
+    rows.agg(F.sum("n")).collect()

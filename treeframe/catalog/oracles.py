@@ -343,8 +343,10 @@ FROM documents""",
   (SELECT count(DISTINCT lang) FROM documents WHERE lang IN ('en', 'fr', 'de')) AS count
 FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY language""",
     # sources, requests, stores
-    "read_corpus": """SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS chars,
-  'utf-8' AS encoding FROM documents GROUP BY lang""",
+    "read_corpus": """SELECT CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '_' WHEN 2 THEN '.'
+    WHEN 3 THEN 'a/b/' WHEN 4 THEN '.hidden/' ELSE '_x/__init__' END || doc_id || '.txt' AS path,
+  sha256(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS content_hash, 'utf-8' AS encoding,
+  CAST(NULL AS VARCHAR) AS read_error FROM documents WHERE doc_id % 7 < 6""",
     "decode_text": """SELECT doc_id AS file_id,
   CASE WHEN lang = 'es' THEN chr(65279) || text ELSE text END AS content,
   CASE WHEN lang IN ('fr', 'de') AND regexp_matches(text, '[^\\x00-\\x7f]')

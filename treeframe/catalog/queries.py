@@ -311,15 +311,13 @@ def list_languages(spark, sf_dir):
 
 @query
 def read_corpus(spark, sf_dir):
-    """Documents written as files by language, then read back as a corpus."""
+    """Documents written as files of all kinds of names, some empty, then read back."""
     folder = scratch_dir(spark, "corpus")
-    (
-        D.table(spark, sf_dir, "documents").select("lang", "text")
-        .write.option("maxRecordsPerFile", 1000).partitionBy("lang").text(folder)
-    )
+    D.write_files(D.table(spark, sf_dir, "documents"), folder)
     files = corpus.read_corpus(spark, folder, "*.txt")
-    return files.groupBy(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")).agg(
-        F.sum(F.length("content")).alias("chars"), F.min("encoding").alias("encoding")
+    return files.select(
+        F.regexp_extract("path", "/corpus-[^/]+/(.*)$", 1).alias("path"),
+        F.sha2("content", 256).alias("content_hash"), "encoding", "read_error",
     )
 
 

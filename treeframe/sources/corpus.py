@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeframe.functions.text import decoded
+from treeframe.sources.files import list_files, read_files
 
 # The read error text.
 READ_ERROR = "Error reading file: "
@@ -45,21 +46,34 @@ def read_corpus(
 ) -> DataFrame:
     """Every file under ``root`` whose name matches ``glob``, decoded.
 
-    ``file_id`` is a hash of the path, so it is the same in every run and task.
-    Spark's file sources pass over files of zero bytes, so these give no row.
+    Names of any kind and empty files count. ``file_id`` is a 128-bit hash of the
+    path, so it is the same in every run and task. What cannot be read is a row
+    with the reason.
     """
-    raw = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("ignoreMissingFiles", "true")
-        .load(root)
-        .select("path", F.col("content").alias("raw"))
+    return _decoded(read_files(list_files(spark, root, glob, recursive)))
+
+
+def read_requested(requested: DataFrame) -> DataFrame:
+    """One row per requested path, read as it is asked for: the file, or why it cannot be read.
+
+    ``requested`` has ``path`` and may have ``language``, which is kept.
+    """
+    files = _decoded(read_files(requested.select("path").distinct()))
+    if "language" not in requested.columns:
+        return files
+    asked = requested.select("path", F.when(F.col("language") != "", F.col("language")).alias("_asked"))
+    unknown = F.when(F.col("read_error").isNotNull(), F.lit(UNKNOWN))
+    return (
+        files.join(asked, "path").withColumn("language", F.coalesce("_asked", unknown))
+        .select(*files.columns)
     )
-    return decode_text(raw).select(
-        F.xxhash64("path").alias("file_id"), "path", "content",
+
+
+def _decoded(read: DataFrame) -> DataFrame:
+    return decode_text(read).select(
+        F.md5("path").alias("file_id"), "path", "content",
         F.lit(None).cast("string").alias("language"), "encoding",
-        F.lit(None).cast("string").alias("read_error"),
+        F.concat(F.lit(READ_ERROR), F.col("error")).alias("read_error"),
     )
 
 
@@ -81,10 +95,17 @@ def corpus_from_table(
     )
 
 
+def _path_id(found: DataFrame) -> Column:
+    """An id for a path that has no file, of the kind that ``found`` has."""
+    is_text = found.schema["file_id"].dataType.simpleString() == "string"
+    return F.md5("path") if is_text else F.xxhash64("path")
+
+
 def with_read_errors(requested: DataFrame, found: DataFrame) -> DataFrame:
-    """One row per requested path: the file, or a read error.
+    """One row per requested path: the file of a table, or a read error.
 
-    ``requested`` has ``path`` and may have ``language``. Contents are joined
+    For paths of a file system use ``read_requested``, which says why a read
+    failed. ``requested`` has ``path`` and may have ``language``. Contents are joined
     to the requests only where both exist, so a short request list is
     broadcast and contents stay where they are; absent paths are found by the
     paths alone.
@@ -100,7 +121,7 @@ def with_read_errors(requested: DataFrame, found: DataFrame) -> DataFrame:
         .drop("_asked")
     )
     missing = wanted.join(found.select("path").distinct(), "path", "left_anti").select(
-        F.xxhash64("path").alias("file_id"), "path",
+        _path_id(found).alias("file_id"), "path",
         F.lit(None).cast("string").alias("content"),
         F.coalesce(asked, F.lit(UNKNOWN)).alias("language"),
         F.lit(None).cast("string").alias("encoding"),
