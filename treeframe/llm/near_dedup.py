@@ -18,7 +18,9 @@ classes are compared.
 5. Links form components. Buckets that still hold several components are
    searched again: members outside the bucket's largest component against all
    members of other components, in blocks of bounded size, which finds every
-   link that the centres did not. Steps 3 and 4 judge these pairs too.
+   link that the centres did not. A block also holds the upper halves of the
+   members' hashes, so that only pairs that are links, but for hash collisions,
+   leave it; steps 3 and 4 judge these pairs too.
 
 Defined results: a null text, and one without words, has an empty set and is
 linked with nothing. Rows with the smallest id of a component are kept, also if
@@ -98,8 +100,12 @@ def _minima(sets: list[np.ndarray], factors: np.ndarray) -> np.ndarray:
     return out
 
 
+def _factors(size: int) -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 2**63, size, dtype=np.uint64) * U64(2) + U64(1)
+
+
 def _signed(width: int, size: int):
-    factors = np.random.default_rng(7).integers(0, 2**63, size, dtype=np.uint64) * U64(2) + U64(1)
+    factors = _factors(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,13 +125,19 @@ def _signed(width: int, size: int):
     return run
 
 
-def _with_sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_sets(width: int, size: int, batches: Iterator[pa.RecordBatch]):
+    """Of each text its node, members, their upper halves, and minima."""
     for batch in batches:
         for part in slices(batch, "text"):
             sets = _sets(part, 0, width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"],
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.array([np.unique((s >> U64(32)).astype(np.uint32)).tobytes() for s in sets],
+                          pa.binary()),
+                 pa.array([m.tobytes() for m in _minima(sets, _factors(size))], pa.binary())],
+                ["node", "n", "members", "halves", "minima"],
             )
 
 
@@ -162,28 +174,51 @@ def _confirmed(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             if 100 * low < percent * max(len(a), len(b)):
                 keep.append(False)
                 continue
-            both = np.sort(np.concatenate([a, b]))
-            common = int((both[1:] == both[:-1]).sum())
+            common = _common(a, b)
             keep.append(100 * common >= percent * (len(a) + len(b) - common))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _block_pairs(size: int, threshold: float):
-    """Likely pairs of one block: (node, label, rest, minima), rest against all."""
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _block_pairs(bands: int, rows: int, threshold: float, percent: int):
+    """Pairs of one block that can be links: members outside the main component against all.
+
+    What the minima do not rule out is compared on the upper halves of all
+    members. Equal halves of different members only add to what two sets share,
+    by no more than a set loses in size, so the bound that follows refuses no
+    link. A pair that meets in several bands is judged in the first.
+    """
 
     def run(block):
         node = block["node"].to_numpy()
         label = block["label"].to_numpy()
+        band = block["band"][0].as_py()
         rest = block["rest"].to_numpy(zero_copy_only=False).astype(bool)
         minima = _matrix(block["minima"].combine_chunks(), np.uint16)
         a, b = np.flatnonzero(rest), np.flatnonzero(~rest)
         i, j = np.nonzero(label[a][:, None] != label[b][None, :])
         i, j = a[i], b[j]
         agreed = np.zeros(len(i), np.int64)
-        for s, e, least in _stages(size, threshold):
+        for s, e, least in _stages(bands * rows, threshold):
             agreed += (minima[i, s:e] == minima[j, s:e]).sum(axis=1)
             live = agreed >= least
             i, j, agreed = i[live], j[live], agreed[live]
+        for k in range(band):
+            part = slice(k * rows, (k + 1) * rows)
+            met = (minima[i, part] == minima[j, part]).all(axis=1)
+            i, j = i[~met], j[~met]
+        sizes = block["n"].to_numpy()
+        halves = [np.frombuffer(v.as_buffer(), np.uint32) for v in block["halves"].combine_chunks()]
+        keep = np.zeros(len(i), bool)
+        for at, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+            lost = min(sizes[x] - len(halves[x]), sizes[y] - len(halves[y]))
+            most = min(_common(halves[x], halves[y]) + lost, sizes[x], sizes[y])
+            keep[at] = 100 * most >= percent * (sizes[x] + sizes[y] - most)
+        i, j = i[keep], j[keep]
         return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
 
     return run
@@ -211,10 +246,10 @@ def near_duplicates(
     bits = 2 * rows
     keys = classes.select(
         "node",
-        F.explode(F.transform(
+        F.posexplode(F.transform(
             F.sequence(F.lit(0), F.lit(bands - 1)),
             lambda k: F.xxhash64(k, F.substring(F.col("minima"), k * bits + 1, F.lit(bits))),
-        )).alias("key"),
+        )).alias("band", "key"),
     )
     # Equal classes are counted once: the smallest and largest node differ in a real bucket.
     shared = saved(
@@ -240,19 +275,23 @@ def near_duplicates(
     # One row's text stands for its class.
     chosen = saved(
         classes.join(small(active), "node", "left_semi").groupBy("node")
-        .agg(F.min(F.struct("doc_id", "mark")).alias("row"), F.first("minima").alias("minima")),
+        .agg(F.min(F.struct("doc_id", "mark")).alias("row")),
         "near-chosen",
     )
-    minima = chosen.select("node", "minima")
     picked = chosen.select(F.col("row.doc_id").alias("__llm_id"), F.col("row.mark").alias("__llm_mark"))
     sets = saved(
         source.join(
             small(saved(picked, "near-picked")),
             F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("mark") == F.col("__llm_mark")),
             "left_semi",
-        ).select("text").mapInArrow(partial(_with_sets, width), "node bigint, members binary"),
+        ).select("text").mapInArrow(
+            partial(_with_sets, width, size),
+            "node bigint, n bigint, members binary, halves binary, minima binary",
+        ),
         "near-sets",
     )
+    if sets.count() > active.count():  # rows that repeat an id and a text
+        sets = saved(sets.dropDuplicates(["node"]), "near-sets")
 
     def joined(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
         at_a = values.select(F.col("node").alias("a"), F.col(name).alias("_a"))
@@ -265,7 +304,7 @@ def near_duplicates(
         return joined(pairs, sets, "members").mapInArrow(partial(_confirmed, percent), pair)
 
     likely = saved(
-        joined(stars, minima, "minima").mapInArrow(partial(_likely, size, threshold), pair),
+        joined(stars, sets, "minima").mapInArrow(partial(_likely, size, threshold), pair),
         "near-likely",
     )
     links = saved(confirmed(likely), "near-links")
@@ -294,16 +333,16 @@ def near_duplicates(
     to_all = F.sequence(F.lit(0), F.col("n_all") - 1)
     to_rest = F.sequence(F.lit(0), F.col("n_rest") - 1)
     left = open_members.filter("label <> main").select(
-        "key", own_i.alias("i"), F.explode(to_all).alias("j"), "node", "label",
+        "key", "band", own_i.alias("i"), F.explode(to_all).alias("j"), "node", "label",
         F.lit(True).alias("rest"),
     )
     right = open_members.select(
-        "key", F.explode(to_rest).alias("i"), own_j.alias("j"), "node", "label",
+        "key", "band", F.explode(to_rest).alias("i"), own_j.alias("j"), "node", "label",
         F.lit(False).alias("rest"),
     )
     more = (
-        left.unionByName(right).join(minima, "node").groupBy("key", "i", "j")
-        .applyInArrow(_block_pairs(size, threshold), pair)
+        left.unionByName(right).join(sets.select("node", "n", "halves", "minima"), "node")
+        .groupBy("key", "i", "j").applyInArrow(_block_pairs(bands, rows, threshold, percent), pair)
     )
     fresh = saved(more.distinct().join(likely, ["a", "b"], "left_anti"), "near-fresh")
     if not fresh.isEmpty():
