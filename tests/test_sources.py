@@ -11,6 +11,7 @@ from treeframe import (
 from treeframe import schemas, session
 from treeframe.operators import requests, versions
 from treeframe.sources.corpus import read_requested, spread
+from treeframe.streaming.streams import drop_known
 
 REGISTRY = Registry([MARKUP, Language("prose", producer="prose")])
 
@@ -199,6 +200,13 @@ def test_dedup_stream(spark, tmp_path):
     assert sorted(r.content for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
 
 
+def test_drop_known(spark):
+    rows = [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None), (6, "c")]
+    files = spark.createDataFrame(rows, "file_id long, content string")
+    known = versions.with_content_hash(spark.createDataFrame([("b",)], "content string"))
+    assert sorted(r.file_id for r in drop_known(files, known).collect()) == [1, 4, 5, 6]
+
+
 class Conf:
     """A session whose settings are the given ones."""
 
@@ -217,3 +225,5 @@ def test_scratch_dir(spark):
     assert session.scratch_dir(shared, "x").startswith("/shared/place/x-")
     with pytest.raises(ValueError):
         session.scratch_dir(Conf(spark_master="yarn"), "x")
+    with pytest.raises(ValueError):
+        session.scratch_dir(Conf(), "x")

@@ -50,6 +50,16 @@ def found_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def varied_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files; every third has its heading on the second level."""
+    second = F.replace(F.replace("html", F.lit("<h1>"), F.lit("<h2>")), F.lit("</h1>"), F.lit("</h2>"))
+    return corpus_from_table(
+        texts(spark, sf_dir, "pages", "page_id", "html", "url"), "page_id",
+        F.when(F.col("page_id") % 3 == 0, second).otherwise(F.col("html")), None,
+        url_path(F.col("url")),
+    )
+
+
 def page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("file_id"), url_path(F.col("url")).alias("path")

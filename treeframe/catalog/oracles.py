@@ -203,7 +203,7 @@ ORACLES: dict[str, str] = {
     "tree_paths": page_query(FLAT_NODES),
     "text_nodes": f"WITH {prose(DOCS)} {FLAT_NODES}",
     "conversation_nodes": "WITH " + prose(
-        "SELECT conv_id * 100000 + turn AS file_id, text AS content FROM conversations"
+        "SELECT conv_id || '/' || turn AS file_id, text AS content FROM conversations"
     ) + FLAT_NODES,
     "outline_nodes": f"""WITH {WORD_LINES},{numbered('', '''
   SELECT doc_id AS file_id, [0, 0] AS pos, 0 AS depth, 'module' AS node_type, NULL AS text
@@ -421,15 +421,17 @@ SELECT file_id, decl_ord, name FROM (
     "extract_functions": f"""WITH {WORD_LINES}
 SELECT doc_id AS file_id, CAST(1 + 5 * (n - 1) AS INTEGER) AS decl_ord, a AS name FROM words""",
     "files_with": f"""SELECT page_id AS file_id, {URL} AS path FROM pages
-WHERE contains(html, '<br>') AND regexp_matches({URL}, '/[^/]*[^/.][^/]*\\.html?$')""",
+WHERE contains(html, '<h1>') AND page_id % 3 = 0
+  AND regexp_matches({URL}, '/[^/]*[^/.][^/]*\\.html?$')""",
     "files_without": f"""SELECT page_id AS file_id, {URL} AS path FROM pages
-WHERE NOT (contains(html, '<br>') AND regexp_matches({URL}, '/[^/]*[^/.][^/]*\\.html?$'))""",
+WHERE NOT (contains(html, '<h1>') AND page_id % 3 = 0
+  AND regexp_matches({URL}, '/[^/]*[^/.][^/]*\\.html?$'))""",
     "files_with_join": f"""SELECT doc_id AS file_id, {CODE_LANGUAGE} AS language
 FROM documents WHERE lang = 'en'""",
     "files_without_join": f"""SELECT doc_id AS file_id, {CODE_LANGUAGE} AS language
 FROM documents WHERE lang <> 'en'""",
-    "files_mentioning": f"""WITH {PAGE_RESULTS}
-SELECT file_id FROM results WHERE contains(ast_text, 'br: ')""",
+    "files_mentioning": """SELECT page_id AS file_id FROM pages
+WHERE contains(html, '<h1>') AND page_id % 3 = 0""",
     "match_nodes": page_query("""
 SELECT file_id, ord, path_ords[depth] AS parent_ord, depth FROM nodes
 WHERE node_type = 'a' AND path_types[depth] = 'li' AND list_contains(path_types, 'nav')"""),

@@ -85,7 +85,9 @@ def text_nodes(spark, sf_dir):
 def conversation_nodes(spark, sf_dir):
     turns = D.table(spark, sf_dir, "conversations")
     files = turns.select(
-        (F.col("conv_id") * 100000 + F.col("turn")).alias("file_id"), F.col("text").alias("content")
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+        .alias("file_id"),
+        F.col("text").alias("content"),
     )
     return _flat_nodes(nodes.text_nodes(files))
 
@@ -475,18 +477,18 @@ def extract_functions(spark, sf_dir):
 def _found_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees of the pages whose language the path tells; none for the others."""
     return parse_trees(
-        D.found_pages(spark, sf_dir), D.PAGE_LANGUAGES, extensions=D.WEB_EXTENSIONS
+        D.varied_pages(spark, sf_dir), D.PAGE_LANGUAGES, extensions=D.WEB_EXTENSIONS
     ).select("file_id", "path", "tree")
 
 
 @query
 def files_with(spark, sf_dir):
-    return search.where_contains(_found_trees(spark, sf_dir), "br")
+    return search.where_contains(_found_trees(spark, sf_dir), "h2")
 
 
 @query
 def files_without(spark, sf_dir):
-    return search.where_contains(_found_trees(spark, sf_dir), "br", present=False)
+    return search.where_contains(_found_trees(spark, sf_dir), "h2", present=False)
 
 
 @query
@@ -504,7 +506,9 @@ def files_without_join(spark, sf_dir):
 
 @query
 def files_mentioning(spark, sf_dir):
-    return search.files_mentioning(_page_results(spark, sf_dir), "br: ").select("file_id")
+    pages = D.varied_pages(spark, sf_dir).withColumn("language", F.lit("html"))
+    # A line of its own that ends with the type: a leaf's line ends with a quote.
+    return search.files_mentioning(parse_corpus(pages, D.PAGE_LANGUAGES), " h2\n").select("file_id")
 
 
 @query

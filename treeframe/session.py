@@ -19,7 +19,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder on a cluster")
         _local_base = _local_base or tempfile.mkdtemp(prefix="treeframe-")
         base = _local_base

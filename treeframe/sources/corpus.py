@@ -23,8 +23,9 @@ def spread(files: DataFrame) -> DataFrame:
     """Files over all cores when their input has fewer splits than there are cores.
 
     A large input has more splits than cores and is returned as it is: no
-    shuffle. Use it on a table as read, before parsing it; a plan that already
-    shuffles would be run to find its splits.
+    shuffle. A small one is dealt out row by row with its contents. Nothing calls
+    this but the queries of the catalog; use it on a table as read, before parsing
+    it, as a plan that already shuffles would be run to find its splits.
     """
     if files.isStreaming:
         return files

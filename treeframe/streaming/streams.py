@@ -16,12 +16,14 @@ def stream_results(
     path: str,
     checkpoint: str,
     registry: Registry = CODE_LANGUAGES,
+    trigger: dict[str, object] | None = None,
     **options,
 ) -> StreamingQuery:
     """Append the results of a stream of files to parquet.
 
-    Parsing keeps no state between rows, so the batch plan runs unchanged. The
-    query takes what is available and stops; start it again to go on.
+    Parsing keeps no state between rows, so the batch plan runs unchanged. By
+    default the query takes what is available and stops, and goes on when
+    started again; ``trigger`` may name another one, as ``{"processingTime": "1 minute"}``.
     """
     return (
         parse_corpus(files, registry, **options)
@@ -29,7 +31,7 @@ def stream_results(
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -40,7 +42,10 @@ def dedup_stream(
     """A stream with content that repeats within the delay let through once.
 
     State is one hash per content and is dropped once the watermark passes it;
-    rows later than the watermark are dropped too.
+    rows later than the watermark are dropped too, so a backfill whose files are
+    not in time order loses content: use ``drop_known`` on batches there. State
+    grows with the contents of one delay; keep it in RocksDB by
+    ``spark.sql.streaming.stateStore.providerClass``.
     """
     return (
         files.withColumns({
@@ -49,3 +54,20 @@ def dedup_stream(
         .withWatermark(time, delay)
         .dropDuplicatesWithinWatermark(["content_hash"])
     )
+
+
+def drop_known(files: DataFrame, known: DataFrame, content: str = "content") -> DataFrame:
+    """A batch without content whose hash is in ``known`` (content_hash), each new one once.
+
+    For backfills and ``foreachBatch``: nothing is dropped for being late. Of files
+    with equal content the smallest ``file_id`` stays; a NULL content is never equal.
+    """
+    hashed = files.withColumn("content_hash", content_hash(F.col(content)))
+    first = (
+        hashed.where(F.col("content_hash").isNotNull()).groupBy("content_hash")
+        .agg(F.min("file_id").alias("file_id"))
+        .join(known.select("content_hash").distinct(), "content_hash", "left_anti")
+    )
+    return hashed.join(first.select("file_id"), "file_id", "left_semi").unionByName(
+        hashed.where(F.col("content_hash").isNull())
+    )
