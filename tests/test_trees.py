@@ -176,7 +176,31 @@ def test_defects(spark):
     df = spark.createDataFrame(S.MARKUP, "file_id long, content string")
     got = {(r.file_id, r.node_type): (r.opened, r.closed, r.unmatched_closes, r.left_open)
            for r in metrics.defects(df).collect()}
-    assert got[(4, "div")] == (0, 2, 2, 2)
-    assert got[(4, "li")] == (3, 1, 2, 2)
+    # Two closings of what was never open; list ends close the items in them.
+    assert got[(4, "div")] == (0, 2, 2, 0)
+    assert got[(4, "li")] == (3, 1, 2, 0)
     assert got[(7, "a")] == (3, 2, 0, 2)
     assert not any(file in (1, 2, 3, 5) for file, _ in got)
+
+
+@pytest.mark.parametrize("content, types", [
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>x",
+     "document ul .li ..text .li ..text ..ul ...li ....text .li ..text text"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>y",
+     "document table .tr ..td ...text ..td ...text .tr ..td ...text text"),
+    ("<div><span>a</div>b</span>c", "document div .span ..text text text"),
+    ("</p></div>x</li>", "document text"),
+    ("<dl><dt>a<dd>b<dt>c</dl>", "document dl .dt ..text .dd ..text .dt ..text"),
+    ("<div>a<!-- b <div>", "document div .text"), ("<p><script>x <b>", "document p script"),
+])
+def test_elements_close_by_name(spark, content, types):
+    df = spark.createDataFrame([(1, content)], "file_id long, content string")
+    got = nodes.render_types(nodes.markup_trees(df)).first().ast_text.split("\n")
+    assert [g.removeprefix("  ").replace("  ", ".") for g in got] == types.split(" ")
+
+
+def test_depth_is_bounded(spark):
+    rows = [(1, "<div>x" * 3000), (2, "<li>x" * 3000)]
+    df = spark.createDataFrame(rows, "file_id long, content string")
+    deepest = nodes.markup_nodes(df).groupBy("file_id").max("depth").collect()
+    assert {r[0]: r[1] for r in deepest} == {1: 513, 2: 2}

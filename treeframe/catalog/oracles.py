@@ -36,7 +36,7 @@ def tokens(prefix: str, source: str) -> str:
   WHERE NOT starts_with(tok, '<!--')
     AND regexp_matches(tok, '[^ \\t\\r\\n\\f]')),
 {prefix}tok AS (
-  SELECT *, tag <> '' AND starts_with(tok, '</') AS closing,
+  SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY pos) AS i, tag <> '' AND starts_with(tok, '</') AS closing,
     CASE WHEN tag = '' OR tag IN ({FLAT}) THEN 0
       WHEN starts_with(tok, '</') THEN -1
       WHEN ends_with(tok, '/>') THEN 0
@@ -71,13 +71,45 @@ def numbered(prefix: str, entries: str) -> str:
   FROM {prefix}anc)"""
 
 
-def markup(prefix: str = "", source: str = PAGES) -> str:
+FAR = 1_000_000
+# What an opening tag closes, and what keeps it from that.
+ENDS = {
+    "['li']": ("['li']", "['ul', 'ol', 'menu']"), "['dt', 'dd']": ("['dt', 'dd']", "['dl']"),
+    "['td', 'th']": ("['td', 'th']", "['tr', 'table']"),
+    "['tr']": ("['tr']", "['table', 'thead', 'tbody', 'tfoot']"),
+    "['thead', 'tbody', 'tfoot']": ("['thead', 'tbody', 'tfoot']", "['table']"),
+    "['option']": ("['option']", "['select', 'optgroup', 'datalist']"),
+}
+
+
+def nearest(names: str) -> str:
+    """How far from the end of the list of open elements the nearest of these is."""
+    return (f"coalesce(list_min(list_filter(list_transform({names}, lambda n: "
+            f"coalesce(list_position(list_reverse(stack), n), 0)), lambda p: p > 0)), {FAR})")
+
+
+def walked(prefix: str, source: str) -> str:
+    """CTE ``{prefix}walk``: the open elements after each token, token by token."""
+    implied = " ".join(
+        f"WHEN list_contains({tags}, tag) AND {nearest(ends)} < {nearest(unless)} "
+        f"THEN stack[1:len(stack) - {nearest(ends)}]"
+        for tags, (ends, unless) in ENDS.items()
+    )
     return f"""{tokens(prefix, source)},
-{prefix}sum AS (
-  SELECT *, sum(w) OVER (PARTITION BY file_id ORDER BY pos) AS s FROM {prefix}tok),
+{prefix}walk AS (
+  SELECT file_id, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS stack FROM {prefix}src
+  UNION ALL
+  SELECT t.file_id, t.i, CASE WHEN w = 0 THEN stack
+    WHEN closing AND {nearest('[tag]')} < {FAR} THEN stack[1:len(stack) - {nearest('[tag]')}]
+    WHEN closing THEN stack
+    ELSE list_append(CASE {implied} ELSE stack END, tag) END
+  FROM {prefix}walk s JOIN {prefix}tok t ON t.file_id = s.file_id AND t.i = s.i + 1)"""
+
+
+def markup(prefix: str = "", source: str = PAGES) -> str:
+    return f"""{walked(prefix, source)},
 {prefix}lev AS (
-  SELECT *, s - least(0, min(s) OVER (PARTITION BY file_id ORDER BY pos)) AS level
-  FROM {prefix}sum),{numbered(prefix, f'''
+  SELECT t.*, len(stack) AS level FROM {prefix}tok t JOIN {prefix}walk USING (file_id, i)),{numbered(prefix, f'''
   SELECT file_id, pos, level + CASE WHEN w = 1 THEN 0 ELSE 1 END AS depth,
     CASE WHEN starts_with(tok, '<!') THEN 'declaration'
       WHEN tag = '' THEN 'text' ELSE tag END AS node_type, tok AS text
@@ -194,7 +226,7 @@ def result_ids() -> str:
 
 
 def page_query(select: str) -> str:
-    return f"WITH {markup()} {select}"
+    return f"WITH RECURSIVE {markup()} {select}"
 
 
 ORACLES: dict[str, str] = {
@@ -245,21 +277,23 @@ ORACLES: dict[str, str] = {
         f"SELECT file_id, count(*) AS raw_nodes, count(*) FILTER ({INCLUDED}) AS shown_nodes, "
         f"round(1 - count(*) FILTER ({INCLUDED}) / count(*), 6) AS removed "
         "FROM nodes GROUP BY file_id"),
-    "defects": f"""WITH {tokens('', PAGES)},
-run AS (SELECT *, sum(w) OVER (PARTITION BY file_id ORDER BY pos) AS s FROM tok),
-low AS (SELECT *, least(0, min(s) OVER (PARTITION BY file_id ORDER BY pos)) AS m FROM run),
+    "defects": f"""WITH RECURSIVE {walked('', PAGES)},
+size AS (
+  SELECT file_id, i, len(stack) AS n,
+    len(stack) - lag(len(stack)) OVER (PARTITION BY file_id ORDER BY i) AS change FROM walk),
 file AS (
-  SELECT file_id, CAST(-min(m) AS BIGINT) AS unmatched_closes,
-    CAST(max_by(s - m, pos) AS BIGINT) AS left_open FROM low GROUP BY file_id),
+  SELECT file_id, count(*) FILTER (w = -1 AND change = 0) AS unmatched_closes,
+    CAST(max_by(n, i) AS BIGINT) AS left_open
+  FROM size LEFT JOIN tok USING (file_id, i) GROUP BY file_id),
 tags AS (
   SELECT file_id, tag AS node_type, count(*) FILTER (w = 1) AS opened,
     count(*) FILTER (w = -1) AS closed FROM tok WHERE w <> 0 GROUP BY ALL)
 SELECT file_id, node_type, opened, closed, unmatched_closes, left_open
 FROM tags JOIN file USING (file_id) WHERE opened <> closed""",
     # whole parse
-    "parse_envelope": f"WITH {PAGE_RESULTS} SELECT {RESULT_COLUMNS} FROM results",
-    "stream_results": f"WITH {PAGE_RESULTS} SELECT {RESULT_COLUMNS} FROM results",
-    "parse_detected": f"""WITH {PAGE_RESULTS},
+    "parse_envelope": f"WITH RECURSIVE {PAGE_RESULTS} SELECT {RESULT_COLUMNS} FROM results",
+    "stream_results": f"WITH RECURSIVE {PAGE_RESULTS} SELECT {RESULT_COLUMNS} FROM results",
+    "parse_detected": f"""WITH RECURSIVE {PAGE_RESULTS},
 det AS (
   SELECT *, lower(regexp_extract(path, '{SUFFIX}', 1)) IN ('.html', '.htm') AS ok FROM results)
 SELECT file_id, path, CASE WHEN ok THEN language ELSE 'unknown' END AS language, ok AS success,
@@ -269,10 +303,10 @@ SELECT file_id, path, CASE WHEN ok THEN language ELSE 'unknown' END AS language,
   CASE WHEN NOT ok THEN 'Could not detect language from file extension' END AS error
 FROM det""",
     "parse_documents": f"WITH {PROSE_RESULTS} SELECT {RESULT_COLUMNS} FROM results",
-    "size_ratio": f"""WITH {PAGE_RESULTS}
+    "size_ratio": f"""WITH RECURSIVE {PAGE_RESULTS}
 SELECT file_id, round(length(ast_text) / length(html), 6) AS size_ratio
 FROM results JOIN pages ON page_id = file_id""",
-    "outline_stats": f"""WITH {PAGE_RESULTS}
+    "outline_stats": f"""WITH RECURSIVE {PAGE_RESULTS}
 SELECT file_id, CAST(len(string_split(ast_text, chr(10))) AS BIGINT) AS n_lines,
   CAST(len(list_filter(string_split(ast_text, chr(10)), lambda x: NOT starts_with(x, ' ')))
     AS BIGINT) AS n_top_level FROM results""",
@@ -280,7 +314,7 @@ SELECT file_id, CAST(len(string_split(ast_text, chr(10))) AS BIGINT) AS n_lines,
 SELECT file_id, CAST((length(ast_text) - length(replace(ast_text, 'sentence', ''))) // 8
   AS BIGINT) AS occurrences FROM results""",
     "preview": "SELECT doc_id AS file_id, substr(text, 1, 500) AS preview FROM documents",
-    "preview_lines": f"""WITH {PAGE_RESULTS},
+    "preview_lines": f"""WITH RECURSIVE {PAGE_RESULTS},
 cut AS (SELECT file_id, string_split(ast_text, chr(10)) AS l FROM results)
 SELECT file_id, array_to_string(l[1:20], chr(10)) ||
   CASE WHEN len(l) > 20 THEN chr(10) || '... (truncated)' ELSE '' END AS preview FROM cut""",
@@ -391,7 +425,7 @@ FROM documents GROUP BY text, lang
 HAVING count(*) FILTER (doc_id IN {LABELLED}) = 0""",
     "incremental_merge": f"""WITH {PROSE_RESULTS}
 SELECT file_id, language, node_count, error FROM results""",
-    "outline_diff": f"""WITH {markup('x')}, {markup('y', '''
+    "outline_diff": f"""WITH RECURSIVE {markup('x')}, {markup('y', '''
 SELECT page_id AS file_id, replace(regexp_replace(html, '(?s)<li>.*?</li>', '', 'g'),
   '<h1>', '<h2></h2><h1>') AS content FROM pages''')},
 a AS (SELECT file_id, array_to_string(path_types, '/') AS place, node_type, count(*) AS n

@@ -37,6 +37,24 @@ TOKEN = (
     r"|<"
 )
 TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
+# What an opening tag closes if it is open, unless one of the elements
+# named second is open inside it.
+CLOSES = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tr": (("tr",), ("table", "thead", "tbody", "tfoot")),
+    "thead": (("thead", "tbody", "tfoot"), ("table",)),
+    "tbody": (("thead", "tbody", "tfoot"), ("table",)),
+    "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
+    "option": (("option",), ("select", "optgroup", "datalist")),
+}
+# Bytes that the names of the open elements take, a few hundred levels; what would be
+# deeper encloses nothing. It keeps what a node knows of the nodes above it short in a
+# page that closes nothing.
+DEEPEST = 2048
 SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
 _VISIBLE = r"[^ \t\r\n\f]"
 
@@ -91,6 +109,7 @@ def markup_tokens(content: Column) -> Column:
         lambda t: F.struct(
             t["source"].alias("source"),
             t["tag"].alias("tag"),
+            F.concat(t["tag"], F.lit("/")).alias("key"),
             ((t["tag"] != "") & t["source"].startswith("</")).alias("closing"),
             F.when((t["tag"] == "") | t["tag"].isin(*FLAT_TAGS), 0)
             .when(t["source"].startswith("</"), -1)
@@ -100,28 +119,73 @@ def markup_tokens(content: Column) -> Column:
     )
 
 
+def no_open() -> Column:
+    """State of :func:`after_token` before the first token."""
+    return F.lit("")
+
+
+def open_count(path: Column) -> Column:
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+
+
+def _place(path: Column, names: Iterable[str]) -> Column:
+    """Where the innermost open element of these names begins in the path, or far off."""
+    places = [F.locate(f"/{n}/", F.concat(F.lit("/"), path)) for n in names]
+    known = [F.when(p > 0, p).otherwise(_NO_LIMIT) for p in places]
+    return known[0] if len(known) == 1 else F.least(*known)
+
+
+def _from(path: Column, place: Column) -> Column:
+    """The path without the element that begins at ``place`` and all inside it."""
+    inner = F.substring(path, place, F.lit(_NO_LIMIT))
+    return F.substring(inner, F.locate("/", inner) + 1, F.lit(_NO_LIMIT))
+
+
+def after_token(path: Column, token: Column) -> Column:
+    """Open elements after a token, innermost first, each name with a slash.
+
+    A closing tag closes the innermost element of its name with all inside it,
+    or nothing; some opening tags close what they cannot be in.
+    """
+    tag, key = token["tag"], token["key"]
+    own = F.call_function("locate", F.concat(F.lit("/"), key), F.concat(F.lit("/"), path))
+    closed = (
+        F.when(path.startswith(key), F.substring(path, F.length(key) + 1, F.lit(_NO_LIMIT)))
+        .when(own > 0, _from(path, own)).otherwise(path)
+    )
+    around = None
+    for name, (ends, unless) in CLOSES.items():
+        at = _place(path, ends)
+        value = F.when(at < _place(path, unless), _from(path, at)).otherwise(path)
+        around = F.when(tag == name, value) if around is None else around.when(tag == name, value)
+    within = F.octet_length(path) < DEEPEST
+    opened = (
+        F.when(~tag.isin(*CLOSES), F.when(within, F.concat(key, path)).otherwise(path))
+        .otherwise(let(around, lambda p: F.when(within, F.concat(key, p)).otherwise(p)))
+    )
+    return F.when(token["weight"] == 0, path).when(token["closing"], closed).otherwise(opened)
+
+
 def markup_tree(content: Column) -> Column:
     """Markup text to a tree; broken markup still gives a tree.
 
     The root is ``document``; each opening tag is a node, each text run a
     ``text`` leaf, and a script or style element one leaf. Flat tags enclose
-    nothing, and a closing tag with nothing open is passed over.
+    nothing, and a closing tag without an opening one is passed over.
     """
 
     def entries(tokens: Column) -> Column:
-        open_tags = running(
-            F.transform(tokens, lambda t: t["weight"]),
-            F.lit(0),
-            lambda level, weight: F.greatest(level + weight, F.lit(0)),
-        )
+        open_tags = running(tokens, no_open(), after_token)
         kept = F.filter(
-            F.arrays_zip(tokens.alias("token"), open_tags.alias("level")),
+            F.arrays_zip(tokens.alias("token"), open_tags.alias("path")),
             lambda z: ~z["token"]["closing"],
         )
         nodes = F.transform(
             kept,
             lambda z: _entry(
-                z["level"] + F.when(z["token"]["weight"] == 1, 0).otherwise(1),
+                open_count(z["path"])
+                + F.when(z["token"]["weight"] == 0, 1)
+                .when(z["path"].startswith(z["token"]["key"]), 0).otherwise(1),
                 F.when(z["token"]["source"].startswith("<!"), F.lit("declaration"))
                 .when(z["token"]["tag"] == "", F.lit("text")).otherwise(z["token"]["tag"]),
                 z["token"]["source"],

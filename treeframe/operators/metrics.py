@@ -77,8 +77,8 @@ def prune_ratio(trees: DataFrame, include=None, exclude=None) -> DataFrame:
 def defects(files: DataFrame, content: str = "content") -> DataFrame:
     """Unbalanced markup: one row per file and tag opened and closed unequally often.
 
-    ``unmatched_closes`` counts the file's closing tags that came with nothing
-    open, ``left_open`` the tags still open at its end. A file with defects
+    ``unmatched_closes`` counts the file's closing tags that had nothing of their
+    name open, ``left_open`` the elements still open at its end. A file with defects
     still parses.
     """
     found = over(_markup_defects, content)
@@ -96,15 +96,19 @@ def _tags(tokens: Column, weight: int) -> Column:
 
 
 def _levels(tokens: Column) -> Column:
-    # State: open tags (never below zero) and closings that found none open.
+    # State: open elements, and closings that found none of their name.
     return F.aggregate(
         tokens,
-        F.struct(F.lit(0).alias("open"), F.lit(0).alias("unmatched")),
-        lambda s, t: F.struct(
-            F.greatest(s["open"] + t["weight"], F.lit(0)).alias("open"),
-            (s["unmatched"] + ((s["open"] == 0) & (t["weight"] == -1)).cast("int"))
-            .alias("unmatched"),
+        F.struct(T.no_open().alias("path"), F.lit(0).alias("unmatched")),
+        lambda s, t: let(
+            T.after_token(s["path"], t),
+            lambda path: F.struct(
+                path.alias("path"),
+                (s["unmatched"] + ((t["weight"] == -1) & (path == s["path"])).cast("int"))
+                .alias("unmatched"),
+            ),
         ),
+        lambda s: F.struct(T.open_count(s["path"]).alias("open"), s["unmatched"].alias("unmatched")),
     )
 
 
