@@ -452,6 +452,16 @@ SELECT file_id, decl_ord, name FROM (
     SELECT min_by(n.text, n.ord) FROM shown n WHERE n.file_id = d.file_id
       AND n.ord BETWEEN d.ord + 1 AND d.ord + 4 AND n.node_type = 'text') AS name
   FROM shown d WHERE d.node_type = 'div') WHERE name IS NOT NULL"""),
+    "names_after_prune": page_query(f"""
+, shown AS (
+  SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY ord) AS n FROM nodes
+  WHERE {INCLUDED})
+SELECT file_id, decl_ord, name FROM (
+  SELECT d.file_id, d.ord AS decl_ord, (
+    SELECT min_by(x.text, x.n) FROM shown x WHERE x.file_id = d.file_id
+      AND x.n BETWEEN d.n + 1 AND d.n + 4 AND x.node_type = 'text') AS name
+  FROM shown d WHERE d.node_type = 'h1') WHERE name IS NOT NULL"""),
+    "paths_after_prune": page_query(f"{FLAT_NODES} WHERE {NOT_EXCLUDED}"),
     "extract_functions": f"""WITH {WORD_LINES}
 SELECT doc_id AS file_id, CAST(1 + 5 * (n - 1) AS INTEGER) AS decl_ord, a AS name FROM words""",
     "files_with": f"""SELECT page_id AS file_id, {URL} AS path FROM pages

@@ -468,6 +468,20 @@ def extract_names_pruned(spark, sf_dir):
     return search.extract_names(pruned, "div", "text")
 
 
+@query
+def names_after_prune(spark, sf_dir):
+    """Names found in trees that were pruned but not printed."""
+    pruned = nodes.prune_trees(_page_trees(spark, sf_dir), include=INCLUDE)
+    return search.extract_names(pruned, "h1", "text")
+
+
+@query
+def paths_after_prune(spark, sf_dir):
+    """Parents and ancestors of the nodes that pruning leaves."""
+    pruned = nodes.prune_trees(_page_trees(spark, sf_dir), exclude=EXCLUDE)
+    return _flat_nodes(nodes.explode_nodes(pruned))
+
+
 @query
 def extract_functions(spark, sf_dir):
     trees = nodes.outline_trees(D.code_outlines(spark, sf_dir))
