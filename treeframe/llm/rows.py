@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,10 @@ from treeframe.session import scratch_dir
 
 # A table is broadcast only if it was written and counted, and has no more rows.
 BROADCAST_ROWS = 500_000
+# Rows of one Arrow batch at most: texts are long, and a batch is held by the JVM and by
+# Python at once.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Words between ASCII white space, in any regular expression dialect.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -75,3 +82,22 @@ def running_sums(
         })
         .select(*df.columns, *values)
     )
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+) -> DataFrame:
+    """``df.mapInArrow`` with batches of a bounded number of rows.
+
+    The bound is a setting of the session, and stays set for it unless a lower
+    one is there already.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(bounded, schema)

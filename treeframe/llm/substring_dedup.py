@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import saved, small, text_of
+from treeframe.llm.rows import map_batches, saved, small, text_of
 from treeframe.llm.words import STEP_B, U64, Words, rolling, slices
 
 WIDTH = 13
-# Text that one bucket's windows stand for: some four million windows.
-BUCKET_BYTES = 20 << 20
-SLICE = 8 << 20
+# Text that one bucket's windows stand for: some two million windows.
+BUCKET_BYTES = 12 << 20
+SLICE = 4 << 20
 
 BLOCK = "bucket int, ids binary, marks binary, counts binary, hashes binary"
 HIT = "grp int, bucket int, ids binary, marks binary, counts binary, flags binary"
@@ -76,7 +76,7 @@ def _blocks(width: int, buckets: int):
                     own = text[bounds[b] : bounds[b + 1]]
                     at = np.flatnonzero(np.diff(own, prepend=-1))
                     rows.append((
-                        int(b), ids[own[at]].tobytes(), marks[own[at]].tobytes(),
+                        int(b), np.diff(ids[own[at]], prepend=0).tobytes(), marks[own[at]].tobytes(),
                         np.diff(at, append=len(own)).astype(np.uint32).tobytes(),
                         hashes[bounds[b] : bounds[b + 1]].tobytes(),
                     ))
@@ -100,7 +100,11 @@ def _judge(groups: int):
 
     def run(block):
         counts = _joined(block["counts"], np.uint32).astype(np.int64)
-        ids = _joined(block["ids"], np.int64)
+        # Each block holds the steps between its ids, which compress better.
+        ids = np.concatenate([
+            np.cumsum(np.frombuffer(v.as_buffer(), np.int64))
+            for chunk in block["ids"].chunks for v in chunk
+        ])
         marks = _joined(block["marks"], np.int32)
         hashes = _joined(block["hashes"], U64)
         order = np.argsort(hashes)
@@ -226,14 +230,16 @@ def remove_repeated_passages(
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = total // bucket_bytes + 1
-    blocks = rows.select("last", "mark", "text").mapInArrow(_blocks(width, buckets), BLOCK)
+    blocks = map_batches(rows.select("last", "mark", "text"), _blocks(width, buckets), BLOCK)
     hits = saved(blocks.groupBy("bucket").applyInArrow(_judge(buckets), HIT), "repeated-windows")
     # Only texts that lose something meet their flags in a shuffle.
     losing = small(saved(
         hits.groupBy("grp").applyInArrow(_losing, "doc_id bigint, mark int"), "repeated-ids"
     ))
     here = [rows["last"] == losing["doc_id"], rows["mark"] == losing["mark"]]
-    whole = rows.join(losing, here, "left_anti").mapInArrow(_cut_whole(width, buckets), RESULT)
+    whole = map_batches(
+        rows.join(losing, here, "left_anti"), _cut_whole(width, buckets), RESULT
+    )
     part = (
         rows.join(losing, here, "left_semi")
         .withColumn("grp", (F.col("mark") % buckets).cast("int")).groupBy("grp")

@@ -42,17 +42,6 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        if n > SPAN:
-            return powers(BASE, n), powers(INVERSE, n)
-        _POWERS["up"], _POWERS["down"] = powers(BASE, SPAN + 1), powers(INVERSE, SPAN + 1)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a column of texts; a null counts as empty."""
     if column.null_count:
@@ -106,6 +95,10 @@ class Words:
     def prefix_hashes(self, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
         """For each size, a hash of each word's first so many bytes; None: of all."""
         out = [np.empty(len(self.starts), U64) for _ in sizes]
+        # Not kept between calls: functions travel to tasks with their module, and
+        # what a module keeps would be there once for each task.
+        n = min(SPAN, len(self.data)) + 1
+        up, down = powers(BASE, n), powers(INVERSE, n)
         at = 0
         while at < len(self.starts):
             to = int(np.searchsorted(self.ends, self.starts[at] + SPAN, "right"))
@@ -113,7 +106,8 @@ class Words:
             low = self.starts[at]
             begin = self.starts[at:to] - low
             end = self.ends[at:to] - low
-            up, down = _powers(int(end[-1]) + 1)
+            if end[-1] >= len(up):
+                up, down = powers(BASE, int(end[-1]) + 1), powers(INVERSE, int(end[-1]) + 1)
             sums = np.zeros(int(end[-1]) + 1, U64)
             part = self.data[low : low + int(end[-1])].astype(U64)
             part += U64(1)
