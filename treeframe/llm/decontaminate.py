@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import saved, small, text_of
+from treeframe.llm.rows import map_batches, saved, small, text_of
 from treeframe.llm.words import LETTERS, U64, Words, mixed, shingles, slices
 
 WIDTH, CONTAINMENT = 5, 0.8
@@ -161,8 +161,8 @@ def contaminated(
         if not sets:
             continue
         index = spark.sparkContext.broadcast((ids, sets, minima_tables(sets)))
-        part = rows.mapInArrow(
-            _search(index, containment),
+        part = map_batches(
+            rows, _search(index, containment),
             "doc_id bigint, item_id bigint, n_shingles bigint, n_shared bigint",
         )
         found = part if found is None else found.unionByName(part)

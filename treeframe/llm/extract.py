@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import text_of
+from treeframe.llm.rows import map_batches, text_of
 
 _RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|canvas|select"
 TOKEN = re.compile(
@@ -263,7 +263,8 @@ def extract_text(
                 ["page_id", "url", "text"],
             )
 
-    return pages.select(
+    rows = pages.select(
         F.col(id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"),
         text_of(page).alias("html"),
-    ).mapInArrow(run, "page_id bigint, url string, text string")
+    )
+    return map_batches(rows, run, "page_id bigint, url string, text string")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import text_of
+from treeframe.llm.rows import map_batches, text_of
 from treeframe.llm.words import LETTERS, Words, rolling, slices
 
 GRAM = 2
@@ -126,7 +126,7 @@ def license_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     """
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
     grams = (
-        rows.mapInArrow(_text_grams, "doc_id bigint, n_words bigint, grams array<bigint>")
+        map_batches(rows, _text_grams, "doc_id bigint, n_words bigint, grams array<bigint>")
         .withColumn("row", F.monotonically_increasing_id())
         .select("row", "doc_id", "n_words", F.posexplode("grams").alias("pos", "gram"))
     )

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.llm.components import components
-from treeframe.llm.rows import saved, small, text_of
+from treeframe.llm.rows import map_batches, saved, small, text_of
 from treeframe.llm.words import SPACED, U64, Words, mixed, shingles, slices
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -236,8 +236,8 @@ def near_duplicates(
         text_of(text).alias("text"),
     )
     signed = saved(
-        source.mapInArrow(
-            _signed(width, size),
+        map_batches(
+            source, _signed(width, size),
             "doc_id bigint, mark bigint, n_shingles bigint, node bigint, minima binary",
         ),
         "near-signed",
@@ -280,11 +280,13 @@ def near_duplicates(
     )
     picked = chosen.select(F.col("row.doc_id").alias("__llm_id"), F.col("row.mark").alias("__llm_mark"))
     sets = saved(
-        source.join(
-            small(saved(picked, "near-picked")),
-            F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.col("mark") == F.col("__llm_mark")),
-            "left_semi",
-        ).select("text").mapInArrow(
+        map_batches(
+            source.join(
+                small(saved(picked, "near-picked")),
+                F.col("doc_id").eqNullSafe(F.col("__llm_id"))
+                & (F.col("mark") == F.col("__llm_mark")),
+                "left_semi",
+            ).select("text"),
             partial(_with_sets, width, size),
             "node bigint, n bigint, members binary, halves binary, minima binary",
         ),
@@ -301,10 +303,10 @@ def near_duplicates(
     pair = "a bigint, b bigint"
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return joined(pairs, sets, "members").mapInArrow(partial(_confirmed, percent), pair)
+        return map_batches(joined(pairs, sets, "members"), partial(_confirmed, percent), pair)
 
     likely = saved(
-        joined(stars, sets, "minima").mapInArrow(partial(_likely, size, threshold), pair),
+        map_batches(joined(stars, sets, "minima"), partial(_likely, size, threshold), pair),
         "near-likely",
     )
     links = saved(confirmed(likely), "near-links")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import saved, text_of
+from treeframe.llm.rows import map_batches, saved, text_of
 from treeframe.llm.words import LETTERS, U64, Words, mixed, slices
 
 SAMPLE, FEATURES, LEAST = 20_000, 4096, 3
@@ -199,7 +199,7 @@ def fit(
     nothing = np.zeros(0, U64), np.zeros(0)
     if not 0 < positive < n:
         return (*nothing, float(np.log(1e6) if n and positive else -np.log(1e6)))
-    counts = rows.mapInArrow(_counted, "feature bigint, n bigint, n_toxic bigint").groupBy(
+    counts = map_batches(rows, _counted, "feature bigint, n bigint, n_toxic bigint").groupBy(
         "feature"
     ).agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k"))
     # How far the share of toxic texts is from that of all, in standard deviations, squared.
@@ -210,8 +210,8 @@ def fit(
         .select("feature").toArrow()["feature"].to_numpy().astype(np.int64).view(U64)
     )
     best = np.unique(np.concatenate([best, *_terms()]))
-    found = rows.mapInArrow(
-        _vectors(best), "toxic int, features array<int>, swapped array<int>"
+    found = map_batches(
+        rows, _vectors(best), "toxic int, features array<int>, swapped array<int>"
     ).toArrow()
     toxic = found["toxic"].to_numpy().astype(float)
     weights, bias = _descend(toxic, _flat(found["features"]), _flat(found["swapped"]), len(best))
@@ -243,7 +243,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
     rows = docs.select(F.col(id).alias("doc_id"), text_of(text).alias("text"))
     kind: Any = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double")
+    return map_batches(rows, run, f"doc_id {kind}, score double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text",
@@ -261,4 +261,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str
                 )
                 yield part.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

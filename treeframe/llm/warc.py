@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeframe.llm.rows import running_sums, saved, text_of
+from treeframe.llm.rows import map_batches, running_sums, saved, small, text_of
 
 REVISIT_BYTES = 100
 RANGE_BYTES, ROLL_BYTES = 32 << 20, 16 << 20
@@ -223,10 +223,10 @@ def write_archives(
         store.create_dir(f"{base}/{part}", recursive=True)
     ranges = max(1, len(starts.value))
     order = ["range", "page_id", "digest", "kind", "url"]
-    written = (
-        rows.mapInArrow(ranged, kinds).repartition(ranges, "range").sortWithinPartitions(*order)
-        .mapInArrow(_written(folder, roll_bytes, date), MANIFEST)
+    sorted_rows = (
+        map_batches(rows, ranged, kinds).repartition(ranges, "range").sortWithinPartitions(*order)
     )
+    written = map_batches(sorted_rows, _written(folder, roll_bytes, date), MANIFEST)
     written.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
@@ -285,8 +285,8 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     if listed.isEmpty():
         return spark.createDataFrame([], RECORD)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(f"{folder}/data")
-    return (
+    checked = (
         files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-        .join(F.broadcast(listed.select("file", "sha256")), "file")
-        .select("content", "sha256").mapInArrow(run, RECORD)
+        .join(small(listed.select("file", "sha256")), "file").select("content", "sha256")
     )
+    return map_batches(checked, run, RECORD)
