@@ -128,11 +128,11 @@ def open_count(path: Column) -> Column:
     return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
 
 
-def _place(path: Column, names: Iterable[str]) -> Column:
-    """Where the innermost open element of these names begins in the path, or far off."""
-    places = [F.locate(f"/{n}/", F.concat(F.lit("/"), path)) for n in names]
-    known = [F.when(p > 0, p).otherwise(_NO_LIMIT) for p in places]
-    return known[0] if len(known) == 1 else F.least(*known)
+# From the innermost element to the first that closes, over none that keeps it open.
+_CLOSE_PATTERNS = {
+    name: rf"^(?:(?!(?:{'|'.join(unless)})/)[^/]++/)*?(?:{'|'.join(ends)})/"
+    for name, (ends, unless) in CLOSES.items()
+}
 
 
 def _from(path: Column, place: Column) -> Column:
@@ -153,16 +153,12 @@ def after_token(path: Column, token: Column) -> Column:
         F.when(path.startswith(key), F.substring(path, F.length(key) + 1, F.lit(_NO_LIMIT)))
         .when(own > 0, _from(path, own)).otherwise(path)
     )
-    around = None
-    for name, (ends, unless) in CLOSES.items():
-        at = _place(path, ends)
-        value = F.when(at < _place(path, unless), _from(path, at)).otherwise(path)
-        around = F.when(tag == name, value) if around is None else around.when(tag == name, value)
-    within = F.octet_length(path) < DEEPEST
-    opened = (
-        F.when(~tag.isin(*CLOSES), F.when(within, F.concat(key, path)).otherwise(path))
-        .otherwise(let(around, lambda p: F.when(within, F.concat(key, p)).otherwise(p)))
+    # A pattern by tag keeps the plan short: one look-up for all of them.
+    pattern = F.try_element_at(
+        F.create_map(*[F.lit(x) for item in _CLOSE_PATTERNS.items() for x in item]), tag
     )
+    around = F.coalesce(F.regexp_replace(path, pattern, F.lit("")), path)
+    opened = F.when(F.octet_length(path) < DEEPEST, F.concat(key, around)).otherwise(around)
     return F.when(token["weight"] == 0, path).when(token["closing"], closed).otherwise(opened)
 
 
