@@ -156,6 +156,18 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_short_items_in_long_documents(spark):
+    """Items of one shingle and more, among many others."""
+    items = [(k, " ".join(f"b{k}x{j}" for j in range(5 + k % 8))) for k in range(4000)]
+    rows = []
+    for d in range(100):
+        parts = [" ".join(words(1000 + 40 * d + k, 37)) + " " + items[40 * d + k][1] for k in range(40)]
+        rows.append((d, " ".join(parts) + " the end of it all", "a"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.contaminated(documents(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k // 40, k) for k in range(4000)}
+
+
 def test_mixing(spark, odd, none):
     mixed = mixing.mix_sources(odd).collect()
     assert len(mixed) == 13

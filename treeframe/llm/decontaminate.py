@@ -1,7 +1,11 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified exactly.
 
-Items are parted by the number of their shingles: part c holds those with at
-most ``BASE * 2**c``. For each part, a document is cut into windows of twice
+Items of at most ``BASE`` shingles are found exactly: of n shingles of which m
+have to be shared, any n - m + 1 hold a shared one, so the rarest of these are
+looked up among all shingles of the document.
+
+Longer items are parted by the number of their shingles: part c holds those with
+at most ``BASE * 2**c``. For each part, a document is cut into windows of twice
 that many shingles, each beginning halfway through the one before, so an item's
 passage lies within one window however long the document is, and the
 containment that is sought implies a Jaccard similarity that does not depend on
@@ -10,9 +14,9 @@ merged pairwise for the larger parts.
 
 A window and an item of its part that share one of ``HASHES`` minima are a
 candidate; at the smallest similarity that a part can hold (0.19 at a
-containment of 0.8) all minima miss with a probability of about 1e-6. Candidates
-are verified on full sets: the share of the item's distinct shingles that the
-whole document has.
+containment of 0.8) all minima miss with a probability of about 1e-6. All
+candidates are verified on full sets: the share of the item's distinct shingles
+that the whole document has.
 
 The benchmark's index goes to the tasks as a broadcast value of bounded size;
 a benchmark of more items is searched in several passes of that size, each over
@@ -52,21 +56,46 @@ def size_class(n: np.ndarray) -> np.ndarray:
 
 
 def minima_tables(sets: list[np.ndarray]) -> dict[int, list[tuple]]:
-    """By part, for each hash function: items' minima in order, the items, and a filter."""
+    """By part above the least, for each hash function: items' minima in order, the
+    items, and a filter."""
     sizes = size_class(np.array([len(s) for s in sets]))
     parts = {}
-    for c in np.unique(sizes):
+    for c in np.unique(sizes[sizes > 0]):
         of = np.flatnonzero(sizes == c)
         parts[int(c)] = tables = []
         for factor in FACTORS:
             low = np.array([(sets[i] * factor).min() for i in of], U64)
-            order = np.argsort(low, kind="stable")
-            seen = np.zeros(1 << BITS, bool)
-            seen[(mixed(low) & U64((1 << BITS) - 1)).astype(np.int64)] = True
-            tables.append((low[order], of[order], seen))
+            tables.append(_table(low, of))
     return parts
 
 
+def short_table(sets: list[np.ndarray], containment: float) -> tuple | None:
+    """Shingles of the items of the least part, one of which each match has, in order,
+    the items, and a filter."""
+    of = [i for i, s in enumerate(sets) if len(s) <= BASE]
+    if not of:
+        return None
+    _, place, count = np.unique(
+        np.concatenate([sets[i] for i in of]), return_inverse=True, return_counts=True
+    )
+    keys, items, at = [], [], 0
+    for i in of:
+        n = len(sets[i])
+        least = next((m for m in range(1, n + 1) if m >= containment * n), n)
+        rare = np.argsort(count[place[at : at + n]], kind="stable")[: n - least + 1]
+        keys.append(sets[i][rare])
+        items.append(np.full(len(rare), i))
+        at += n
+    return _table(np.concatenate(keys), np.concatenate(items))
+
+
+def _table(values: np.ndarray, items: np.ndarray) -> tuple:
+    order = np.argsort(values, kind="stable")
+    seen = np.zeros(1 << BITS, bool)
+    seen[(mixed(values) & U64((1 << BITS) - 1)).astype(np.int64)] = True
+    return values[order], items[order], seen
+
+
 def _lookup(table, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position in ``values``, item) of all equal minima."""
     low, items, seen = table
@@ -77,8 +106,11 @@ def _lookup(table, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(at, n), items[place]
 
 
-def _candidates(parts: dict, values: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
-    """(text, item) of every window and item of its part that share a minimum.
+def _candidates(
+    short: tuple | None, parts: dict, values: np.ndarray, first: np.ndarray
+) -> set[tuple[int, int]]:
+    """(text, item) of every text and short item that share a shingle looked up, and of
+    every window and item of its part that share a minimum.
 
     ``first`` holds each text's first shingle. A text's last block is short.
     """
@@ -90,6 +122,12 @@ def _candidates(parts: dict, values: np.ndarray, first: np.ndarray) -> set[tuple
     found: set[tuple[int, int]] = set()
     if not len(begins):
         return found
+    if short:
+        at, item = _lookup(short, values)
+        own = np.searchsorted(first, at, "right") - 1
+        found.update(zip(own.tolist(), item.tolist()))
+    if not parts:
+        return found
     top = max(parts)
     for k, factor in enumerate(FACTORS):
         low = np.minimum.reduceat(values * factor, begins)
@@ -111,13 +149,13 @@ def _candidates(parts: dict, values: np.ndarray, first: np.ndarray) -> set[tuple
 
 def _search(index, containment: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets, parts = index.value
+        ids, sets, short, parts = index.value
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column(1), LETTERS, lower=True)
                 values, first = shingles(words, WIDTH)
                 rows, last, own = [], -1, None
-                for text, item in sorted(_candidates(parts, values, first)):
+                for text, item in sorted(_candidates(short, parts, values, first)):
                     if text != last:
                         last, own = text, np.unique(values[first[text] : first[text + 1]])
                     have = sets[item]
@@ -160,7 +198,9 @@ def contaminated(
                 sets.append(np.unique(values[first[i] : first[i + 1]]))
         if not sets:
             continue
-        index = spark.sparkContext.broadcast((ids, sets, minima_tables(sets)))
+        index = spark.sparkContext.broadcast(
+            (ids, sets, short_table(sets, containment), minima_tables(sets))
+        )
         part = map_batches(
             rows, _search(index, containment),
             "doc_id bigint, item_id bigint, n_shingles bigint, n_shared bigint",
