@@ -78,6 +78,17 @@ def test_exact_hot_group(spark):
     assert left == {i for i in range(900) if i % 3} | {897}
 
 
+def test_exact_repeated_and_null_ids(spark):
+    """One row for each id and text, whatever other texts the id has."""
+    rows = [(5, "x", "a"), (5, "x", "a"), (5, "y", "a"), (5, "y", "a"), (6, "ABC", "a"),
+            (6, "abc", "a"), (6, "abc", "a"), (1, "y", "a")]
+    rows += [(None, f"t{i % 20}", "a") for i in range(60)] + [(None, "Q", "a"), (None, "q", "a")]
+    left = [(r.doc_id, brute.lower(r.text)) for r in
+            exact_dedup.drop_duplicates(documents(spark, rows)).collect()]
+    want = [(5, "x"), (5, "y"), (6, "abc"), (None, "q"), *((None, f"t{i}") for i in range(20))]
+    assert sorted(left, key=str) == sorted(want, key=str)
+
+
 def test_near(spark, odd, none):
     rows = near_dedup.near_duplicates(odd, width=3, threshold=0.85).collect()
     assert len(rows) == 13

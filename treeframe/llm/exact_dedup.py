@@ -8,8 +8,9 @@ functions only.
 Defined results: a null text counts as empty, and empty texts equal each other;
 texts are equal when identical after lower-casing A-Z. Of equal texts the row
 with the largest id stays; a null id is smaller than any other. Rows repeated
-with the same id and text are both marked as kept by ``exact_groups``, and one
-of them stays in ``drop_duplicates``. Other columns are not looked at, whatever
+with the same id and text, case aside, are both marked as kept by
+``exact_groups``, and one of them stays in ``drop_duplicates``, also if the id
+is null or has other texts too. Other columns are not looked at, whatever
 their names. Empty tables give empty tables.
 """
 
@@ -89,24 +90,37 @@ def drop_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         .select("doc_id", "length", full_hash(F.col("_text")).alias("full_hash"),
                 F.xxhash64("_text").alias("raw"))
         .join(small(groups, 200_000), ["length", "full_hash"])
-        .groupBy("doc_id", "raw", "keep_id").count(),
+        .groupBy("doc_id", "full_hash", "raw", "keep_id").count(),
         "exact-keys",
     )
+    raw = [F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")]
+    chosen = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    # Of one id's texts that differ in case, one stays.
+    stays = saved(
+        keys.filter(chosen).groupBy("doc_id", "full_hash").agg(
+            F.min(F.struct("raw", "count")).alias("least"), F.count(F.lit(1)).alias("variants")
+        ).select("doc_id", "full_hash", "least.raw", "least.count", "variants"),
+        "exact-stays",
+    )
+    varied = stays.filter("variants > 1").select(
+        F.col("doc_id").alias("_id"), F.col("full_hash").alias("_hash"), F.col("raw").alias("_raw")
+    )
+    others = keys.filter(chosen).join(
+        small(varied),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("full_hash") == F.col("_hash"))
+        & (F.col("raw") != F.col("_raw")),
+        "left_semi",
+    )
     dropped = saved(
-        keys.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")),
-        "exact-dropped",
+        keys.filter(~chosen).select(*raw).unionByName(others.select(*raw)), "exact-dropped"
     )
     here = [F.col(id).eqNullSafe(F.col("__llm_id")), F.xxhash64(body) == F.col("__llm_raw")]
     left = docs.join(small(dropped), here, "left_anti")
     # Whole rows that occur again: rare, and only they are compared with each other.
-    again = saved(
-        keys.filter("count > 1").filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")),
-        "exact-again",
-    )
+    again = saved(stays.filter("count > 1").select(*raw), "exact-again")
     if again.isEmpty():
         return left
     return left.join(small(again), here, "left_anti").unionByName(
-        left.join(small(again), here, "left_semi").dropDuplicates([id])
+        left.join(small(again), here, "left_semi").withColumn("__llm_raw", F.xxhash64(body))
+        .dropDuplicates([id, "__llm_raw"]).drop("__llm_raw")
     )
