@@ -117,6 +117,21 @@ def test_near_group_of_many_variants(spark):
     assert len(set(want.values())) > 41
 
 
+def test_near_repeated_and_null_ids(spark):
+    """One text of each component stays, also if its ids are all null or all the same."""
+    def variants(seed):
+        text = words(seed, 200)
+        return [" ".join(text[:k] + [f"v{k}"] + text[k + 1 :]) for k in (10, 90, 150)]
+
+    nulls, same, mixed = variants(71), variants(72), variants(73)
+    rows = [(None, t, "a") for t in nulls] + [(5, t, "a") for t in same]
+    rows += [(None, mixed[0], "a"), (9, mixed[1], "a"), (8, mixed[2], "a")]
+    rows += [(None, " ".join(words(74, 50)), "a"), (5, " ".join(words(75, 50)), "a")]
+    left = [r.text for r in near_dedup.drop_near_duplicates(documents(spark, rows)).collect()]
+    assert len(left) == 5 and {mixed[2], rows[-2][1], rows[-1][1]} <= set(left)
+    assert len(set(left) & set(nulls)) == len(set(left) & set(same)) == 1
+
+
 def test_sequential_test_bounds():
     least = [near_dedup.least_agreements(n, 0.8) for n in (28, 84, 196)]
     assert least == sorted(least) and 0 < least[0] < 0.8 * 28 and 0.6 * 196 < least[2] < 0.8 * 196
@@ -179,6 +194,17 @@ def test_decontamination_short_items_in_long_documents(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(k // 40, k) for k in range(4000)}
 
 
+def test_decontamination_keeps_clean_rows_of_an_id(spark):
+    item = " ".join(words(81, 30))
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(i, f"{t} {k}", "a") for k in range(3) for i in (None, 7, k) for t in (item, "clean")]
+    docs = documents(spark, rows)
+    left = decontaminate.drop_contaminated(docs, benchmark)
+    want = [(i, t) for i, t, _ in rows if t.startswith("clean")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+    assert left.columns == docs.columns
+
+
 def test_mixing(spark, odd, none):
     mixed = mixing.mix_sources(odd).collect()
     assert len(mixed) == 13

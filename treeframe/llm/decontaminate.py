@@ -46,6 +46,7 @@ BASE, HASHES = 8, 64
 # Items of one pass: their sets and minima take some 100 MB.
 ITEMS = 50_000
 BITS = 16
+FOUND = "doc_id bigint, mark bigint, item_id bigint, n_shingles bigint, n_shared bigint"
 
 FACTORS = np.random.default_rng(11).integers(0, 2**63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
 
@@ -162,11 +163,12 @@ def _search(index, containment: float):
                     at = np.minimum(np.searchsorted(own, have), len(own) - 1)
                     shared = int((own[at] == have).sum())
                     if shared >= containment * len(have):
-                        rows.append((part.column(0)[text].as_py(), ids[item], len(have), shared))
+                        rows.append((part.column(0)[text].as_py(), part.column(2)[text].as_py(),
+                                     ids[item], len(have), shared))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.int64()) for c in zip(*rows)],
-                        ["doc_id", "item_id", "n_shingles", "n_shared"],
+                        ["doc_id", "mark", "item_id", "n_shingles", "n_shared"],
                     )
 
     return run
@@ -179,13 +181,27 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, n_shingles (of the
     item's set), n_shared, containment."""
+    return _found(
+        docs, benchmark, id, text, item_id, item_text, containment, items_per_pass
+    ).drop("mark")
+
+
+def _found(
+    docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT,
+    items_per_pass: int = ITEMS,
+) -> DataFrame:
+    """``contaminated`` with a hash of the text as mark."""
     spark = docs.sparkSession
     wanted = benchmark.select(
         F.col(item_id).cast("bigint").alias("item_id"), text_of(item_text).alias("text")
     )
     passes = wanted.count() // items_per_pass + 1
     wanted = wanted.withColumn("_pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)))
-    rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
+    rows = docs.select(
+        F.col(id).cast("bigint").alias("doc_id"), text_of(text).alias("text"),
+        F.xxhash64(text_of(text)).alias("mark"),
+    )
     found = None
     for k in range(passes):
         # A bounded share of the benchmark, not of the documents.
@@ -201,15 +217,10 @@ def contaminated(
         index = spark.sparkContext.broadcast(
             (ids, sets, short_table(sets, containment), minima_tables(sets))
         )
-        part = map_batches(
-            rows, _search(index, containment),
-            "doc_id bigint, item_id bigint, n_shingles bigint, n_shared bigint",
-        )
+        part = map_batches(rows, _search(index, containment), FOUND)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = spark.createDataFrame(
-            [], "doc_id bigint, item_id bigint, n_shingles bigint, n_shared bigint"
-        )
+        found = spark.createDataFrame([], FOUND)
     return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
@@ -217,11 +228,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id",
                       **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item.
 
-    Rows that share an id go together if one of them is contaminated.
+    Rows are told apart by id and text, so a clean row stays whatever its id.
     """
     hit = saved(
-        contaminated(docs, benchmark, id, text, **options)
-        .select(F.col("doc_id").alias("__llm_id")).distinct(),
+        _found(docs, benchmark, id, text, **options)
+        .select(F.col("doc_id").alias("__llm_id"), F.col("mark").alias("__llm_mark")).distinct(),
         "contaminated",
     )
-    return docs.join(small(hit), F.col(id).eqNullSafe(F.col("__llm_id")), "left_anti")
+    here = F.col(id).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_of(text)) == F.col("__llm_mark"))
+    return docs.join(small(hit), here, "left_anti")

@@ -23,8 +23,9 @@ classes are compared.
    leave it; steps 3 and 4 judge these pairs too.
 
 Defined results: a null text, and one without words, has an empty set and is
-linked with nothing. Rows with the smallest id of a component are kept, also if
-several rows have it; a null id is larger than any other. Empty tables give
+linked with nothing. Of a component, one text is kept: that with the smallest id
+and, if several texts have it, the smallest hash; rows that repeat both id and
+text are kept together. A null id is larger than any other. Empty tables give
 empty tables; further columns are not looked at.
 """
 
@@ -357,15 +358,17 @@ def near_duplicates(
     )
     least = saved(
         rows_named.filter("node is not null").groupBy("component")
-        .agg(F.min(ids).alias("least"), F.count(F.lit(1)).alias("rows"))
-        .filter("rows > 1").drop("rows"),
+        .agg(F.min(F.struct(ids.alias("id"), "mark")).alias("least"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .select("component", F.col("least.id").alias("least"), F.col("least.mark").alias("least_mark")),
         "near-least",
     )
     group = F.coalesce("least", "doc_id")
     return rows_named.join(small(least), "component", "left").select(
         "doc_id", "mark", "n_shingles", "node",
         F.when(group < 2**63 - 1, group).alias("component_id"),
-        F.coalesce(F.coalesce("least", ids) == ids, F.lit(True)).alias("kept"),
+        F.coalesce((F.col("least") == ids) & (F.col("least_mark") == F.col("mark")), F.lit(True))
+        .alias("kept"),
     )
 
 
