@@ -299,6 +299,21 @@ def test_html(spark):
     assert extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_html_embedded_elements_end():
+    """Self-closed and unclosed ones leave the rest of the article."""
+    tree = extract.train()
+    for page, want in (
+        ("<p>One <svg class=i/> two<p>Three", "One two\nThree"),
+        ("<p>One <math/><p>Two<p>Three", "One\nTwo\nThree"),
+        ("<p>One <select><option>A<option>B<p>Two<p>Three", "One\nTwo\nThree"),
+        ("<p>One <object data=x> no<p>Two <canvas><p>Three", "One\nTwo\nThree"),
+        ("<p>One <svg class=i><p>Two <svg><svg/><p>no</p></svg>end", "One\nTwo end"),
+        ("<p>One <iframe src=http://x/>no</iframe>end<p>Two", "One end\nTwo"),
+        ("<p>One<script/>no<p>no", "One"),
+    ):
+        assert extract.main_text(f"<article>{page}</article>", tree) == want
+
+
 def test_tree_fits_its_labelled_pages():
     tree = extract.train()
     for page in extract.LABELLED:

@@ -11,7 +11,10 @@ A page is one row and one function call, so no page's size or frequency touches
 another's task. Tags are found by expressions without nested repetition.
 
 Defined results: a null or empty page, and one without any kept block, gives an
-empty text. Comments, scripts and styles that are not closed end with the page;
+empty text. Comments, scripts, styles and textareas that are not closed end with
+the page. Other embedded elements (drawings, frames, lists of options and so on)
+have no text here: a self-closed one is empty, a closed one ends with its own
+closing tag, and one that is not closed ends before the next block-level tag;
 a closing tag without an opening one is passed over. Character references are
 decoded once; ASCII white space inside a block is one space; blocks are
 joined in page order by one newline. Rows that repeat an id are rows of their
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from treeframe.llm.rows import map_batches, text_of
 
-_RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|canvas|select"
+_RAW = "script|style|textarea"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*?)>",
@@ -48,6 +51,7 @@ BLOCKS = frozenset(
     "label legend li main menu nav ol option p pre section summary table tbody td tfoot th thead "
     "title tr ul".split()
 )
+EMBEDDED = frozenset("noscript template svg math iframe object canvas select".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 MAIN = frozenset(("article", "main"))
 BOILERPLATE = frozenset(
@@ -73,6 +77,34 @@ CLOSES = {
 VOID = frozenset(("hr",))
 
 
+def _embedded(page: str, tokens: list[re.Match]) -> dict[int, tuple[int, int]]:
+    """For each embedded element, by its opening token: its last token, and where it ends."""
+    names = [(t.group(3) or "").lower() for t in tokens]
+    ends: dict[int, tuple[int, int]] = {}
+    opened: dict[str, list[int]] = {}
+    for i, (tag, token) in enumerate(zip(names, tokens)):
+        if tag not in EMBEDDED:
+            continue
+        if token.group(2):
+            if opened.get(tag):
+                ends[opened[tag].pop()] = (i, token.end())
+            continue
+        # A slash may also belong to an address without quotes.
+        follows = i + 1 < len(tokens) and names[i + 1] == tag and tokens[i + 1].group(2)
+        if token.group(4).endswith("/") and not follows:
+            ends[i] = (i, token.end())
+        else:
+            opened.setdefault(tag, []).append(i)
+    unclosed = {i for own in opened.values() for i in own}
+    block = (len(tokens), len(page))
+    for i in range(len(tokens) - 1, -1, -1):
+        if i in unclosed:
+            ends[i] = (block[0] - 1, block[1])
+        elif names[i] in BLOCKS and names[i] != "option":
+            block = (i, tokens[i].start())
+    return ends
+
+
 def blocks_of(page: str) -> list[tuple]:
     """(text, words, words in links, boilerplate, main, heading) of each block in order."""
     out: list[tuple] = []
@@ -97,10 +129,17 @@ def blocks_of(page: str) -> list[tuple]:
             if link_at:
                 linked += len(text.split())
 
-    at = 0
-    for token in TOKEN.finditer(page):
+    at, last = 0, -1
+    tokens = list(TOKEN.finditer(page))
+    embedded = _embedded(page, tokens)
+    for i, token in enumerate(tokens):
+        if i <= last:
+            continue
         take(page[at : token.start()])
         at = token.end()
+        if i in embedded:
+            last, at = embedded[i]
+            continue
         tag = (token.group(3) or "").lower()
         closing = bool(token.group(2))
         if tag == "a":
