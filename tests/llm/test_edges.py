@@ -314,6 +314,21 @@ def test_html_embedded_elements_end():
         assert extract.main_text(f"<article>{page}</article>", tree) == want
 
 
+def test_html_names_around_and_inside_the_main_part():
+    tree = extract.train()
+    text = "<article><p>One</p><p>Two</p></article>"
+    for page, want in (
+        (f"<div class='content has-sidebar'>{text}</div>", "One\nTwo"),
+        (f"<div id=no-ads-layout><div class='search author'>{text}</div></div>", "One\nTwo"),
+        (f"<div class='legal'><main>{text}</main></div>", "One\nTwo"),
+        ("<article><header class='entry-header'><h1>Top</h1></header><p>One</article>", "Top\nOne"),
+        (f"<aside>{text}</aside><article><p>Three</article>", "Three"),
+        ("<article><p>One<div class=related><article><p>no</article></div></article>", "One"),
+        (f"{text}<div class=comments><article class=comment><p>no</article></div>", "One\nTwo"),
+    ):
+        assert extract.main_text(f"<body>{page}", tree) == want
+
+
 def test_tree_fits_its_labelled_pages():
     tree = extract.train()
     for page in extract.LABELLED:

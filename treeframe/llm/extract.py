@@ -66,6 +66,8 @@ BAD_NAMES = frozenset(
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar "
     "topbar trending widget".split()
 )
+# Name parts that say whether a page has something, not what the element is.
+HAVING = frozenset("has with no without".split())
 GOOD_NAMES = frozenset("article content entry main post story".split())
 # What a paragraph or list item closes when it begins.
 CLOSES = {
@@ -77,6 +79,10 @@ CLOSES = {
 VOID = frozenset(("hr",))
 
 
+# Tag, boilerplate, main part, boilerplate by a tag, in an article.
+Standing = tuple[str, bool, bool, bool, bool]
+
+
 def _embedded(page: str, tokens: list[re.Match]) -> dict[int, tuple[int, int]]:
     """For each embedded element, by its opening token: its last token, and where it ends."""
     names = [(t.group(3) or "").lower() for t in tokens]
@@ -108,7 +114,7 @@ def _embedded(page: str, tokens: list[re.Match]) -> dict[int, tuple[int, int]]:
 def blocks_of(page: str) -> list[tuple]:
     """(text, words, words in links, boilerplate, main, heading) of each block in order."""
     out: list[tuple] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    stack: list[Standing] = [("", False, False, False, False)]
     pieces: list[str] = []
     linked, link_at, heading = 0, 0, False
 
@@ -166,19 +172,39 @@ def blocks_of(page: str) -> list[tuple]:
     return out
 
 
-def _standing(tag: str, attributes: str, parent: tuple[str, bool, bool]) -> tuple[bool, bool]:
-    """Whether what is in an element is boilerplate, and whether it is in the main part."""
-    _, bad, main = parent
+def _names(attributes: str) -> set[str]:
+    """Parts of the names in attributes, without those that follow one of ``HAVING``."""
     names: set[str] = set()
-    if attributes:
-        for found in NAMED.finditer(attributes):
-            names.update(
-                p.lower() for p in PARTS.findall(found[1] or found[2] or found[3] or "")
-            )
-    named_bad = bool(names & BAD_NAMES) and tag not in ("html", "body", "article", "main")
-    if tag in BOILERPLATE and not (tag == "header" and main) or named_bad:
-        bad = True
-    return bad, main or tag in MAIN or "main" in names or bool(names & GOOD_NAMES and not named_bad)
+    for found in NAMED.finditer(attributes or ""):
+        for name in (found[1] or found[2] or found[3] or "").split():
+            for part in PARTS.findall(name):
+                if part.lower() in HAVING:
+                    break
+                names.add(part.lower())
+    return names
+
+
+def _standing(tag: str, attributes: str, parent: Standing) -> tuple[bool, bool, bool, bool]:
+    """Whether what is in an element is boilerplate, whether it is in the main part, whether
+    it is boilerplate by an element's tag, and whether it is in an article.
+
+    A main element, and an article that is in no other one, ends a mark that names
+    around it have set, unless it is named so itself.
+    """
+    _, bad, main, by_tag, in_article = parent
+    names = _names(attributes)
+    named_bad = bool(names & BAD_NAMES)
+    if tag in MAIN and not named_bad and not in_article:
+        bad = by_tag
+    if tag in ("html", "body", *MAIN) or tag == "header" and main:
+        named_bad = False
+    if tag in BOILERPLATE and not (tag == "header" and main):
+        by_tag = True
+    return (
+        bad or by_tag or named_bad,
+        main or tag in MAIN or "main" in names or bool(names & GOOD_NAMES and not named_bad),
+        by_tag, in_article or tag == "article",
+    )
 
 
 FEATURES = (
@@ -235,6 +261,11 @@ LABELLED = tuple(
         """<body><div><a href=a>Some longer link text of this site for all</a> and <a href=b>another
         one of about the same length</a></div><p>*LONG</p><p>*MID with <a href=a>a link</a></p>""",
         """<body><h1>*Single</h1><p>*LONG</p>""",
+        """<body><div class="content has-sidebar"><article><header class="entry-header"><h1>*Name of
+        it</h1></header><p>*MID</p><p>*LONG</p></article></div><div class="sidebar"><p>MID</p></div>
+        """,
+        """<body><div class="social-layout search"><p>MID</p><article><h1>*Its name</h1><p>*MID</p>
+        <div class="share"><p>MID</p></div><p>*LONG</p></article><p>LONG</p></div>""",
     )
 )
 
