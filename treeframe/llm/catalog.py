@@ -11,6 +11,7 @@ from treeframe.llm import (
     decontaminate,
     exact_dedup,
     extract,
+    filter_audit,
     licenses,
     mixing,
     near_dedup,
@@ -248,3 +249,56 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM f
 """
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), d AS (
+  SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) IS TRUE AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) IS TRUE AS toxic
+  FROM t
+), m AS (
+  SELECT part, map(['A', 'B', 'C', 'D', 'E'], [a, b, c, d, e]) AS fails, count(*) AS n,
+    count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM d GROUP BY ALL
+), l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), s AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, n, good, toxic,
+    fails[filter_order[step]] AS own,
+    len(list_filter(string_split(filter_order[1:step - 1], ''), lambda x: fails[x])) > 0 AS earlier,
+    len(list_filter(map_keys(fails), lambda x: fails[x])) AS n_fails
+  FROM m, o, generate_series(1, 5) AS g(step)
+), r AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN own OR earlier THEN 0 ELSE n END) AS kept,
+    sum(CASE WHEN own AND NOT earlier THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN own AND earlier THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN own AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN own AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN own AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
