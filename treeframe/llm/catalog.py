@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeframe.llm import (
+    conversations,
     decontaminate,
     exact_dedup,
     extract,
@@ -251,6 +252,106 @@ FROM f
 """
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_report(turns)
+
+
+# The cheapest way to each state (p0: nothing yet, p1: after s, p2: u, p3: a) as a struct of
+# cost, edits and repaired turns; the least struct is the cheapest, then first in ASCII.
+def _then(state: str, cost: str, edit: str, turn: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {state}.t || {turn}}}"
+
+
+def _inserted(rows: str, more: str) -> str:
+    """``rows`` with states in which up to two turns were inserted last."""
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    for _ in range(2):
+        into2 = ", ".join(_then(p, "3", "I", user) for p in ("p0", "p1", "p3"))
+        rows = (f"SELECT {more}, p0, p1, list_min([p2, {into2}]) AS p2, "
+                f"list_min([p3, {_then('p2', '3', 'I', assistant)}]) AS p3 FROM ({rows})")
+    return rows
+
+
+def _judged() -> str:
+    """States after one more turn."""
+    def keep(p: str, initial: str) -> str:
+        cost = f"CASE WHEN NOT gone AND initial = '{initial}' THEN more ELSE 1000000000 END"
+        return _then(p, cost, "K", "chr(10) || role || ':' || text")
+
+    def rerole(p: str, role: str) -> str:
+        cost = "CASE WHEN NOT gone THEN more + 3 ELSE 1000000000 END"
+        return _then(p, cost, "R", f"chr(10) || '{role}:' || text")
+
+    ways = {p: [_then(p, "4", "D", "''")] for p in ("p0", "p1", "p2", "p3")}
+    ways["p1"] += [keep("p0", "s")]
+    for p in ("p0", "p1", "p3"):
+        ways["p2"] += [keep(p, "u"), rerole(p, "user")]
+    ways["p3"] += [keep("p2", "a"), rerole("p2", "assistant")]
+    before = _inserted(
+        "SELECT w.conv, w.k, n.role, n.text, n.initial, n.gone, n.more, p0, p1, p2, p3 "
+        "FROM w JOIN n ON n.conv = w.conv AND n.k = w.k + 1",
+        "conv, k, role, text, initial, gone, more",
+    )
+    return "SELECT conv, k + 1 AS k, " + ", ".join(
+        f"list_min([{', '.join(v)}]) AS {p}" for p, v in ways.items()
+    ) + f" FROM ({before})"
+
+
+_NOWHERE = "{'c': 1000000000, 'a': '', 't': ''}"
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE c AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv, conv_id, turn,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS key
+  FROM conversations
+), x AS (
+  SELECT * EXCLUDE (key), xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(key,
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384)
+      ELSE crc // 2 END), 4294967295) % 20 AS what
+  FROM c
+), m AS (
+  SELECT conv, turn, CASE what WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(generate_series(1, CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM x
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS k,
+    role[1:1] AS initial
+  FROM m
+), g AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' END AS fault,
+    lag(initial) OVER (PARTITION BY conv ORDER BY k) || initial AS pair
+  FROM f
+), n AS (
+  SELECT *, coalesce(fault IN ('b', 'd'), false) AS gone, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS more FROM g
+), w AS (
+  SELECT DISTINCT conv, 0::BIGINT AS k, {{'c': 0, 'a': '', 't': ''}} AS p0, {_NOWHERE} AS p1,
+    {_NOWHERE} AS p2, {_NOWHERE} AS p3
+  FROM c
+  UNION ALL {_judged()}
+), e AS (SELECT conv, max(k) AS k FROM w GROUP BY conv
+), z AS ({_inserted("SELECT conv, p0, p1, p2, p3 FROM w JOIN e USING (conv, k)", "conv")}
+), s AS (SELECT conv, list_min([p0, p3]) AS best FROM z
+), t AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM g GROUP BY conv
+), o AS (SELECT DISTINCT conv, conv_id FROM c
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+  sha256(best.t[2:]) AS repaired_sha256
+FROM o JOIN s USING (conv) LEFT JOIN t USING (conv)
+"""
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.filter_audit(
