@@ -17,6 +17,7 @@ from treeframe.llm import (
     mixing,
     near_dedup,
     pii,
+    quality,
     substring_dedup,
     toxicity,
     warc,
@@ -352,6 +353,16 @@ FROM o JOIN s USING (conv) LEFT JOIN t USING (conv)
 """
 
 
+@query
+def op12_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.filter_audit(
