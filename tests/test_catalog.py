@@ -1,5 +1,10 @@
 """Every named query against its SQL at the smallest scale."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -40,3 +45,17 @@ def test_query(spark, db, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 50
+
+
+@pytest.mark.parametrize("left", [(), ("corpus_pipeline.py",)])
+def test_queries_without_the_subpackage(tmp_path, left):
+    """The library and its queries stand without ``llm``, with the pipeline's file or not."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "treeframe", tmp_path / "treeframe",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", *left):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], done.stderr
