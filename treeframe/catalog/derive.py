@@ -132,6 +132,45 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_from_table(documents, "doc_id", code, language)
 
 
+# Lines put before each function: strings and comments that look like code.
+LOOKS_LIKE_CODE = {
+    "python": (
+        "    # def hidden(x): class Ghost: {\n"
+        '    """Text.\n    def ghost(x):\n        class Ghost:\n\'\'\' "# \\\\""" # "\n'
+        "    text = 'def ghost(x): \\\\'  # \\\' not open\n"
+    ),
+    "javascript": (
+        "  // function hidden() { `\n"
+        "  /* function ghost() {\n  function ghost() {\n class Ghost { */\n"
+        "  let a = '{', b = \"\\\\\", c = `\n  function ghost() { ${1} \\`\n class Ghost {`;\n"
+    ),
+    "go": (
+        "// func hidden() {\n/* func ghost() {\nfunc ghost() { */\n"
+        'var a, b, c = "{{", \'{\', `\nfunc ghost() {\n\\`\n'
+    ),
+    "cpp": (
+        "// int hidden(int x) { \\\nint ghost(int x) {\n/* struct Ghost {\nint ghost(int x) { */\n"
+        "char a = '{', b = '\\'', c = '\"'; int n = 1'000'000;\n"
+        'auto r = R"x(\nint ghost(int x) { ")\n)x"; auto s = "{\\"{";\n'
+    ),
+}
+
+
+def noisy_code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`code_files` with comments and strings before each function that look like code."""
+    files = code_files(spark, sf_dir)
+    lines = F.split("content", "\n")
+    noise = F.lit("")
+    for name, text in LOOKS_LIKE_CODE.items():
+        noise = F.when(F.col("language") == name, F.lit(text)).otherwise(noise)
+    starts = F.when(F.col("language") == "python", F.lit("    def ")).when(
+        F.col("language") == "javascript", F.lit("  function ")
+    ).when(F.col("language") == "go", F.lit("func ")).otherwise(F.lit("int "))
+    return files.withColumn("content", F.array_join(
+        F.transform(lines, lambda l: F.when(l.startswith(starts), F.concat(noise, l)).otherwise(l)), "\n"
+    ))
+
+
 def code_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outlines of the same functions, as a code parser would print them."""
     quoted = lambda w: _joined("'", w, "'")

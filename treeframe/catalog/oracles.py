@@ -500,6 +500,19 @@ SELECT doc_id, {CODE_LANGUAGE},
   CAST(CASE WHEN lang = 'en' THEN 2 * n ELSE 3 * n - 1 END AS INTEGER),
   CASE WHEN lang = 'de' THEN 0 ELSE 1 END,
   CASE WHEN lang IN ('en', 'es') THEN 'function_definition' ELSE 'function_declaration' END, a
+FROM words""",
+    "line_decls_in_code": f"""WITH {WORD_LINES}
+SELECT doc_id AS file_id, {CODE_LANGUAGE} AS language, CAST(1 AS INTEGER) AS line_no, 0 AS depth,
+  CASE lang WHEN 'en' THEN 'class_definition' WHEN 'fr' THEN 'function_declaration'
+    WHEN 'de' THEN 'package_clause' ELSE 'namespace_definition' END AS node_type,
+  CASE lang WHEN 'en' THEN 'Doc' ELSE 'doc' END || doc_id AS name
+FROM documents
+UNION ALL
+-- so many lines stand before each function, itself included, and so many it has
+SELECT doc_id, {CODE_LANGUAGE}, CAST(1 + CASE lang WHEN 'en' THEN 7 + 8 * (n - 1)
+    WHEN 'fr' THEN 8 + 10 * (n - 1) WHEN 'de' THEN 7 + 9 * (n - 1) ELSE 9 + 11 * (n - 1) END AS INTEGER),
+  CASE WHEN lang = 'de' THEN 0 ELSE 1 END,
+  CASE WHEN lang IN ('en', 'es') THEN 'function_definition' ELSE 'function_declaration' END, a
 FROM words""",
     "outline_lines_udtf": page_query(f"""
 SELECT file_id, ord, depth, node_type, CASE WHEN is_leaf THEN {quoted('text')} END AS literal

@@ -554,6 +554,12 @@ def line_decls(spark, sf_dir):
     return code.line_decls(D.code_files(spark, sf_dir))
 
 
+@query
+def line_decls_in_code(spark, sf_dir):
+    """Declarations of files with comments and strings that look like declarations."""
+    return code.line_decls(D.noisy_code_files(spark, sf_dir))
+
+
 @query
 def outline_roundtrip(spark, sf_dir):
     """Outlines read back into trees and printed by type."""

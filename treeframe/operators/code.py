@@ -1,4 +1,8 @@
-"""Declarations in source lines, by rule: approximate, but for any corpus size."""
+"""Declarations in source lines, by rule: approximate, but for any corpus size.
+
+Rules and braces are looked for in code alone: comments and the insides of
+strings are spaces by then, on the same lines and places.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.functions.arrays import let, over, running
+from treeframe.functions.lexer import code_only
 
 # (language, node type, pattern with the name as group 1); the first match wins.
 # Only character classes repeat: a repeated group recurses once per round in the JVM,
@@ -48,8 +53,15 @@ BY_INDENT = ("python",)
 INDENT = 4
 
 
-def _decl(language: Column, line: Column) -> Column:
-    """``struct<node_type, name>`` of the first rule that fits, else NULL."""
+# Rules whose name stands in a string.
+QUOTED_NAMES = ("import_statement", "import_declaration")
+
+
+def _decl(language: Column, line: Column, strings: Column) -> Column:
+    """``struct<node_type, name>`` of the first rule that fits, else NULL.
+
+    ``line`` has no insides of strings; ``strings`` has them.
+    """
     chosen = None
     for lang, node_type, pattern in DECL_RULES:
         fits = (language == lang) & line.rlike(pattern)
@@ -58,7 +70,7 @@ def _decl(language: Column, line: Column) -> Column:
             fits = fits & ~line.rlike(rf"^\s*\}}?\s*(?:{words})\b")
         value = F.struct(
             F.lit(node_type).alias("node_type"),
-            F.regexp_extract(line, pattern, 1).alias("name"),
+            F.regexp_extract(strings if node_type in QUOTED_NAMES else line, pattern, 1).alias("name"),
         )
         chosen = F.when(fits, value) if chosen is None else chosen.when(fits, value)
     return chosen
@@ -92,19 +104,25 @@ def line_decls(files: DataFrame, content: str = "content") -> DataFrame:
     """
     rows = files.select("file_id", "language", F.inline_outer(over(_numbered, content, "language")))
     return (
-        rows.withColumn("decl", over(_decl, "language", "line"))
+        rows.withColumn("decl", over(_decl, "language", "line", "strings"))
         .where(F.col("decl").isNotNull())
         .select("file_id", "language", "line_no", "depth", "decl.node_type", "decl.name")
     )
 
 
 def _numbered(content: Column, language: Column) -> Column:
-    return let(
-        F.split(content, "\n"),
-        lambda lines: F.transform(
-            F.arrays_zip(lines.alias("line"), _line_depths(language, lines).alias("depth")),
+    def lines_of(code: Column) -> Column:
+        lines = F.split(code["code"], "\n")
+        zipped = F.arrays_zip(
+            lines.alias("line"), F.split(code["strings"], "\n").alias("strings"),
+            _line_depths(language, lines).alias("depth"),
+        )
+        return F.transform(
+            zipped,
             lambda z, i: F.struct(
-                (i + 1).alias("line_no"), z["depth"].alias("depth"), z["line"].alias("line")
+                (i + 1).alias("line_no"), z["depth"].alias("depth"), z["line"].alias("line"),
+                z["strings"].alias("strings"),
             ),
-        ),
-    )
+        )
+
+    return let(code_only(language, content), lines_of)
