@@ -366,6 +366,55 @@ def test_warc(spark):
     assert warc.read_archives(spark, folder).count() == 0
 
 
+def test_warc_missing_file(spark):
+    import os
+
+    pages = [(i, "u", f"{i} " + "x" * 500, 1) for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string, digest int")
+    folder = scratch_dir(spark, "warc-test")
+    files = warc.write_archives(df, folder, range_bytes=4000, roll_bytes=200).collect()
+    assert len(files) > 5 and warc.read_archives(spark, folder).count() == 40
+    os.rename(f"{folder}/data/{files[2].file}", f"{folder}/tmp/{files[2].file}")
+    with pytest.raises(FileNotFoundError):
+        warc.read_archives(spark, folder)
+
+
+def test_warc_one_id_for_all(spark):
+    """Pages without an id, or with one, are dealt to many ranges by their contents."""
+    for id in (None, 7):
+        pages = [(id, f"u{i % 50}", f"{i % 150} " + "x" * 300, 1) for i in range(300)]
+        df = spark.createDataFrame(pages, "page_id bigint, url string, html string, digest int")
+        sums = []
+        for parts in (2, 5):
+            folder = scratch_dir(spark, "warc-test")
+            files = warc.write_archives(df.repartition(parts), folder, range_bytes=5000).collect()
+            assert len({f.range for f in files}) > 10
+            sums.append(sorted(f.sha256 for f in files))
+            rows = warc.read_archives(spark, folder).collect()
+            assert len(rows) == 300 and {r.record_type for r in rows} == {"response"}
+            assert len({bytes(r.payload) for r in rows}) == 150
+        assert sums[0] == sums[1]
+
+
+def test_warc_reading_is_linear():
+    import gzip
+    import time
+
+    def took(n):
+        one = [gzip.compress(warc.record(i, "u", f"{i}".encode() * 500, warc._digest(f"{i}".encode() * 500), None, False))
+               for i in range(n)]
+        data = b"".join(one)
+        began = time.process_time()
+        assert [r[0] for r in warc.parse_records(data)] == list(range(n))
+        return time.process_time() - began
+
+    took(500)
+    assert took(20_000) < 8 * took(5_000)
+    whole = gzip.compress(warc.record(1, "u", b"x" * 5000, warc._digest(b"x" * 5000), None, False))
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.parse_records(whole + whole[:-20]))
+
+
 def test_pipeline(spark):
     """Every stage against its own rule, on what the stage before it kept."""
     folder = "/root/testdata/sf0.001"

@@ -3,25 +3,26 @@
 1. Payloads are measured and hashed in one scan; equal payloads of at least
    ``REVISIT_BYTES`` have one response, that of the smallest id, and the others
    revisit it.
-2. Records are range-sorted by id. A distributed prefix sum of payload sizes
-   puts every ``range_bytes`` into one range, so ranges depend on the rows alone and
-   not on how Spark dealt them.
+2. Records are range-sorted by id and digest. A distributed prefix sum of payload
+   sizes puts every ``range_bytes`` into one range, so ranges depend on the rows alone and
+   not on how Spark dealt them; an id that many different pages share has many ranges.
 3. One task writes one range: records one by one, each a gzip member of its
    own, with headers and digests made anew; a file is closed when it has
    ``roll_bytes``, compressed. A file gets its name only when it is whole: it is
    written under a temporary name and then renamed, and a task that runs again
    writes the same bytes to the same name.
 4. The manifest, one row per file with size and digest, is written by Spark's
-   own commit. Readers take files that the manifest lists, and check them.
+   own commit. Readers take the files that the manifest lists, check them, and fail if
+   one is missing. Records are read one after the other, in time linear in the file.
 
-Page contents are shuffled once, to their ranges. To the tasks goes one id for
-each range. Files are written with ``pyarrow.fs``, which serves local and shared
+Page contents are shuffled once, each range to a task of its own. To the tasks goes one
+key for each range. Files are written with ``pyarrow.fs``, which serves local and shared
 folders and object stores by their address.
 
 Defined results: a null page is an empty payload; a null url gives a record
 without target; white space and control characters in a url are percent-encoded.
 A null id sorts last. Rows that repeat the smallest id with an equal payload
-are all responses. An empty table gives an empty manifest.
+are all responses; rows equal in id and payload are in one range. An empty table gives an empty manifest.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeframe.llm.rows import map_batches, running_sums, saved, small, text_of
@@ -43,6 +44,7 @@ from treeframe.llm.rows import map_batches, running_sums, saved, small, text_of
 REVISIT_BYTES = 100
 RANGE_BYTES, ROLL_BYTES = 32 << 20, 16 << 20
 LEVEL = 4
+PIECE = 16 << 10  # compressed bytes looked at together
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -162,6 +164,12 @@ def _written(folder: str, roll_bytes: int, date: str):
     return run
 
 
+def _place(id: str, digest: str) -> Column:
+    """Text that sorts as (id, start of the digest), null ids last."""
+    sortable = F.lpad(F.hex(F.col(id).bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.concat(F.coalesce(F.concat(F.lit("0"), sortable), F.lit("1")), F.substring(digest, 1, 16))
+
+
 def write_archives(
     pages: DataFrame, folder: str, id: str = "page_id", url: str = "url", page: str = "html",
     range_bytes: int = RANGE_BYTES, roll_bytes: int = ROLL_BYTES, date: str = DATE,
@@ -186,25 +194,24 @@ def write_archives(
         measured.select("page_id", "digest").distinct().join(firsts, "digest")
         .filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     )
+    place = _place("page_id", "digest")
     placed = running_sums(
-        measured, [F.col("page_id").asc_nulls_last(), F.col("digest")], {"before": "n_bytes"},
-        "warc-order",
+        measured.withColumn("place", place), [F.col("place")], {"before": "n_bytes"}, "warc-order"
     )
-    # One id per range: a row for each ``range_bytes`` of pages.
+    # One key per range: a row for each ``range_bytes`` of pages.
     starts = (
         placed.groupBy(F.floor(F.col("before") / range_bytes).alias("range"))
-        .agg(F.min("page_id").alias("first")).filter("first is not null")
-        .orderBy("range").toArrow()
+        .agg(F.min("place").alias("first")).toArrow()
     )
-    starts = spark.sparkContext.broadcast(np.unique(starts["first"].to_numpy().astype(np.int64)))
+    starts = spark.sparkContext.broadcast(np.unique(starts["first"].to_numpy().astype("S")))
 
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limits = starts.value
         for batch in batches:
-            ids = batch.column(0).fill_null(2**63 - 1).to_numpy()
-            place = np.maximum(np.searchsorted(limits, ids, "right") - 1, 0)
+            keys = batch.column(0).to_numpy(zero_copy_only=False).astype("S")
+            number = np.maximum(np.searchsorted(limits, keys, "right") - 1, 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place, pa.int64()), *batch.columns], ["range", *batch.schema.names]
+                [pa.array(number, pa.int64()), *batch.columns], ["range", *batch.schema.names]
             )
 
     rows = records.select(
@@ -215,32 +222,45 @@ def write_archives(
         F.lit(None).cast("string").alias("html"), "refers_to",
     ))
     kinds = (
-        "range bigint, page_id bigint, digest string, kind int, url string, html string, "
-        "refers_to bigint"
+        "range bigint, place string, page_id bigint, digest string, kind int, url string, "
+        "html string, refers_to bigint"
     )
     store, base = fs.FileSystem.from_uri(folder)
     for part in ("data", "tmp"):
         store.create_dir(f"{base}/{part}", recursive=True)
     ranges = max(1, len(starts.value))
-    order = ["range", "page_id", "digest", "kind", "url"]
     sorted_rows = (
-        map_batches(rows, ranged, kinds).repartition(ranges, "range").sortWithinPartitions(*order)
+        map_batches(rows.select(place.alias("place"), "*"), ranged, kinds)
+        .repartitionById(ranges, F.col("range").cast("int"))
+        .sortWithinPartitions("range", "place", "digest", "kind", "url").drop("place")
     )
     written = map_batches(sorted_rows, _written(folder, roll_bytes, date), MANIFEST)
     written.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
+def _members(data: bytes) -> Iterator[bytes]:
+    """Contents of gzip members that follow one another."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        press, parts = zlib.decompressobj(31), []
+        while not press.eof:
+            piece = view[at : at + PIECE]
+            if not piece:
+                raise ValueError("a record is cut off")
+            parts.append(press.decompress(piece))
+            at += len(piece)
+        at -= len(press.unused_data)
+        yield b"".join(parts)
+
+
 def parse_records(data: bytes) -> Iterator[tuple]:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of a file.
 
     The digest of a response is taken from its payload; one that its header
     does not confirm is an error.
     """
-    while data:
-        press = zlib.decompressobj(31)
-        text = press.decompress(data)
-        data = press.unused_data
+    for text in _members(data):
         head, _, rest = text.partition(b"\r\n\r\n")
         fields = dict(
             line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line
@@ -285,8 +305,10 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     if listed.isEmpty():
         return spark.createDataFrame([], RECORD)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(f"{folder}/data")
-    checked = (
-        files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-        .join(small(listed.select("file", "sha256")), "file").select("content", "sha256")
-    )
+    names = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    # Names first, without contents: a file that is not there is an error.
+    missing = small(listed.select("file")).join(names.select("file"), "file", "left_anti").first()
+    if missing:
+        raise FileNotFoundError(f"{folder}/data/{missing.file} is missing")
+    checked = names.join(small(listed.select("file", "sha256")), "file").select("content", "sha256")
     return map_batches(checked, run, RECORD)
