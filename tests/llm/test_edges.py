@@ -299,6 +299,22 @@ def test_html(spark):
     assert extract.extract_text(df.limit(0)).count() == 0
 
 
+def test_html_broken_pages_take_linear_time():
+    """Cut tags, quotes, openings that nothing closes, closings that nothing opened."""
+    import time
+
+    tree = extract.train()
+    start = "<article><p>Text of it.<p>"
+    pages = [start + "<a " + " ".join(f'a{i}="v{i}" b{i}=\'w\'' for i in range(200)) + ' c="']
+    for part in ("<a ", '"', "'", "<!", "<a \"'", "<?", "</a ", "<p class='", "<div id=\"", "<svg ", "&am", "<a b='\">"):
+        pages += [start + part * (1_000_000 // len(part)), start + "<a " + part * (1_000_000 // len(part))]
+    pages += [start + "<div>" * 100_000 + "</section>" * 50_000, start + "<select>" * 100_000 + "</svg>" * 50_000]
+    for page in pages:
+        began = time.process_time()
+        assert extract.main_text(page, tree).startswith("Text of it.")
+        assert time.process_time() - began < 4, page[:60]
+
+
 def test_html_embedded_elements_end():
     """Self-closed and unclosed ones leave the rest of the article."""
     tree = extract.train()

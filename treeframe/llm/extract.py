@@ -8,10 +8,12 @@ has one, and as a heading. A decision tree, grown on the blocks of a few labelle
 or drops each block.
 
 A page is one row and one function call, so no page's size or frequency touches
-another's task. Tags are found by expressions without nested repetition.
+another's task. Tags are found by expressions that never go back (their repetitions
+are possessive) and end with the page at the latest, and open elements are counted by name, so
+a page takes time in proportion to its length, however broken it is.
 
 Defined results: a null or empty page, and one without any kept block, gives an
-empty text. Comments, scripts, styles and textareas that are not closed end with
+empty text. Comments, scripts, styles, textareas and tags that are not closed end with
 the page. Other embedded elements (drawings, frames, lists of options and so on)
 have no text here: a self-closed one is empty, a closed one ends with its own
 closing tag, and one that is not closed ends before the next block-level tag;
@@ -36,8 +38,8 @@ from treeframe.llm.rows import map_batches, text_of
 
 _RAW = "script|style|textarea"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*?)>",
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|\Z)",
     re.S | re.I,
 )
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -117,6 +119,14 @@ def blocks_of(page: str) -> list[tuple]:
     stack: list[Standing] = [("", False, False, False, False)]
     pieces: list[str] = []
     linked, link_at, heading = 0, 0, False
+    # How many elements of a name are open: most closing tags without an opening one
+    # need no look at the stack.
+    n_open: dict[str, int] = {}
+
+    def close(depth: int) -> None:
+        for standing in stack[depth:]:
+            n_open[standing[0]] -= 1
+        del stack[depth:]
 
     def flush() -> None:
         nonlocal linked, heading
@@ -155,15 +165,17 @@ def blocks_of(page: str) -> list[tuple]:
         elif tag in BLOCKS:
             flush()
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == tag:
-                        del stack[depth:]
-                        break
+                depth = len(stack) - 1
+                while n_open.get(tag) and stack[depth][0] != tag:
+                    depth -= 1
+                if n_open.get(tag):
+                    close(depth)
             else:
                 while stack[-1][0] in CLOSES.get(tag, ()):
-                    stack.pop()
+                    close(len(stack) - 1)
                 if tag not in VOID:
                     stack.append((tag, *_standing(tag, token.group(4), stack[-1])))
+                    n_open[tag] = n_open.get(tag, 0) + 1
                 heading = tag in HEADINGS
             if len(stack) < link_at:
                 link_at = 0
