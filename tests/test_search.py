@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tests import samples as S
@@ -132,6 +134,28 @@ def test_hashes_and_duplicates(spark):
 FILES = "file_id long, path string, content string, language string, read_error string"
 
 
+def test_incremental_with_repeated_ids(spark):
+    """A file is its id and content: what is done does not come back with another file's id."""
+    rows = [(1, "a"), (1, "b"), (2, "c"), (2, "c2"), (3, "a"), (None, "d"), (4, None), (4, None)]
+    for kind in ("bigint", "string"):
+        df = spark.createDataFrame(rows, "file_id bigint, content string").selectExpr(
+            f"cast(file_id as {kind}) file_id", "content", "'en' language")
+        new = versions.with_key(df, "prose", "1")
+        done = new.where("content in ('b', 'c2')").select("key")
+        got = sorted(((r.file_id, r.content) for r in versions.incremental(new, done).collect()), key=str)
+        want = [(1, "a"), (2, "c"), (None, "d"), (4, None), (4, None)]
+        if kind == "string":
+            want = [(i and str(i), c) for i, c in want]
+        assert got == sorted(want, key=str)
+
+
+def test_incremental_reads_each_side_once_for_contents(spark):
+    df = spark.createDataFrame([(1, "a", "en")], "file_id bigint, content string, language string")
+    new = versions.with_key(df, "prose", "1")
+    plan = versions.incremental(new, new.select("key"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3
+
+
 def test_incremental(spark):
     def keyed(rows, version="1", parser="prose"):
         full = [(i, f"p{i}", c, lang, None if c is not None else "gone") for i, c, lang in rows]
@@ -215,3 +239,47 @@ def test_outline_diff(spark):
     assert got[(1, "document/ul", "li")] == (1, 0, 1)
     assert got[(1, "document", "h1")] == (0, 1, 0)
     assert got[(2, "document", "text")] == (0, 0, 1)
+
+
+def plain_paths(tree, pattern):
+    """Ords whose path of types fits, by a regular expression over the path."""
+    import re
+
+    regex = "^" if pattern.startswith("/") and not pattern.startswith("//") else "^(.*/)?"
+    for i, (anywhere, name) in enumerate(search.path_steps(pattern)):
+        regex += ("" if i == 0 else "/(.*/)?" if anywhere else "/") + ("[^/]+" if name == "*" else name)
+    above, out = [], []
+    for n in tree:
+        above = above[: n.depth] + [n.node_type]
+        if re.search(regex + "$", "/".join(above)):
+            out.append(n.ord)
+    return out
+
+
+def test_match_paths(spark):
+    pick = random.Random(8)
+    outlines = []
+    for i in range(40):
+        lines, depth = ["a"], 0
+        for _ in range(pick.randrange(0, 60)):
+            depth = pick.randrange(1, depth + 2)
+            lines.append("  " * depth + pick.choice("abcd"))
+        outlines.append((i, "\n".join(lines)))
+    trees = nodes.outline_trees(
+        spark.createDataFrame(outlines, "file_id long, ast_text string")
+    ).cache()
+    whole = {r.file_id: r.tree for r in trees.collect()}
+    for pattern in ("b", "/a", "/b", "//a", "a/b", "a//b", "a//b/c", "/a/*/b", "*//a", "a/a//a", "*/*/*", "/*//d//*/a",
+                    "a//a//a//b//c/d"):
+        got = {}
+        for r in search.match_paths(trees, pattern).collect():
+            got.setdefault(r.file_id, []).append(r.ord)
+        assert got == {f: want for f, t in whole.items() if (want := plain_paths(t, pattern))}, pattern
+        counts = {r.file_id: r.matches for r in search.count_paths(trees, pattern).collect()}
+        assert counts == {f: len(plain_paths(t, pattern)) for f, t in whole.items()}
+
+
+@pytest.mark.parametrize("pattern", ["", "/", "a//", "a///b", "/".join("a" * 31)])
+def test_wrong_path_patterns(pattern):
+    with pytest.raises(ValueError):
+        search.path_steps(pattern)

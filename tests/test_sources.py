@@ -207,6 +207,27 @@ def test_drop_known(spark):
     assert sorted(r.file_id for r in drop_known(files, known).collect()) == [1, 4, 5, 6]
 
 
+def test_drop_known_with_repeated_ids(spark):
+    rows = [(1, "a"), (1, "b"), (None, "c"), (2, "b"), (2, None)]
+    files = spark.createDataFrame(rows, "file_id long, content string")
+    known = versions.with_content_hash(spark.createDataFrame([("b",)], "content string"))
+    got = {(r.file_id, r.content) for r in drop_known(files, known).collect()}
+    assert got == {(1, "a"), (None, "c"), (2, None)}
+
+
+def test_text_ids(spark):
+    """Ids of a table keep their type; corpora with different ones meet as text."""
+    df = spark.createDataFrame([("a/b", "one", 7)], "name string, body string, n int")
+    text = corpus.corpus_from_table(df, "name", "body", path="name")
+    number = corpus.corpus_from_table(df, "n", "body")
+    assert text.first().file_id == "a/b" and number.first().file_id == 7
+    both = corpus.union_corpora(text, number, text)
+    assert sorted(r.file_id for r in both.collect()) == ["7", "a/b", "a/b"]
+    assert corpus.union_corpora(number, number).schema["file_id"].dataType.simpleString() == "int"
+    errors = corpus.with_read_errors(spark.createDataFrame([("x",), ("a/b",)], "path string"), text)
+    assert sorted(r.read_error is None for r in errors.collect()) == [False, True]
+
+
 class Conf:
     """A session whose settings are the given ones."""
 

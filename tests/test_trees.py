@@ -204,3 +204,43 @@ def test_depth_is_bounded(spark):
     df = spark.createDataFrame(rows, "file_id long, content string")
     deepest = nodes.markup_nodes(df).groupBy("file_id").max("depth").collect()
     assert {r[0]: r[1] for r in deepest} == {1: 513, 2: 2}
+
+
+@pytest.mark.parametrize("content, nodes_", [
+    ('<a title="x > y">t</a>', [(1, "a", None), (2, "text", "t")]),
+    ("<p id=5\">t", [(1, "p", '<p id=5">'), (1, "text", "t")]),
+    ("<div a='1>0' b=\">\">t</div>u", [(1, "div", None), (2, "text", "t"), (1, "text", "u")]),
+    ("<textarea><b>x</b> <!y</textarea><i>z</i>",
+     [(1, "textarea", None), (2, "text", "<b>x</b> <!y"), (1, "i", None), (2, "text", "z")]),
+    ("<Textarea>a<b>", [(1, "textarea", None), (2, "text", "a<b>")]),
+    ("<title>a </textarea> b</TITLE >c",
+     [(1, "title", None), (2, "text", "a </textarea> b"), (1, "text", "c")]),
+    ("<title><!a</title>", [(1, "title", None), (2, "text", "<!a")]),
+    ("<title>plain</title><titles><b></titles>",
+     [(1, "title", None), (2, "text", "plain"), (1, "titles", None), (2, "b", "<b>")]),
+    ("<a b=\"c<d>\">e", [(1, "a", None), (2, "text", 'b="c')]),
+])
+def test_values_and_text_only_elements(spark, content, nodes_):
+    df = spark.createDataFrame([(1, content)], "file_id long, content string")
+    tree = [(n.depth, n.node_type, n.text) for n in nodes.markup_trees(df).first().tree][1:]
+    if 'c<d' in content:
+        # A value does not reach over the next tag.
+        assert [n[1] for n in tree][-2:] == ["d", "text"] and tree[-1][2] == '">e'
+    else:
+        assert tree == nodes_
+
+
+def test_long_broken_markup_takes_linear_time(spark):
+    import time
+
+    def took(n):
+        rows = [(i, part * (n // len(part))) for i, part in enumerate(
+            ("<a ", '<a b="', "<a '", "<textarea", "<title>< ", "<title></", '"', "<t>", "<!a \"'")
+        )]
+        df = spark.createDataFrame(rows, "file_id long, content string").coalesce(1)
+        began = time.perf_counter()
+        df.select(F.size(T.markup_tokens(F.col("content")))).collect()
+        return time.perf_counter() - began
+
+    took(1000)
+    assert took(200_000) < 10 * took(50_000) + 2

@@ -60,6 +60,21 @@ def varied_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Put before each article: values that hold >, and elements whose text looks like markup.
+LOOKS_LIKE_TAGS = (
+    "<section title=\"a > b\" data-x='1>0' id=5\">here</section>"
+    "<textarea rows='2>1'>one <b>two</b> <li> <!-- three --> </title></textarea>"
+    "<TITLE><!four <ul></TITLE>"
+)
+
+
+def tagged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with :data:`LOOKS_LIKE_TAGS` before each article."""
+    pages = page_files(spark, sf_dir)
+    put = F.replace("content", F.lit("<article>"), F.lit(LOOKS_LIKE_TAGS + "<article>"))
+    return pages.withColumn("content", put)
+
+
 def page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("file_id"), url_path(F.col("url")).alias("path")

@@ -249,6 +249,16 @@ ORACLES: dict[str, str] = {
         "SELECT file_id, count(*) AS node_count FROM nodes GROUP BY file_id"),
     "construct_counts": page_query(
         "SELECT file_id, node_type, count(*) AS nodes FROM nodes GROUP BY ALL"),
+    # What is put in, added to the nodes of the pages as they are.
+    "markup_tags": page_query("""
+, put AS (
+  SELECT page_id AS file_id, (length(html) - length(replace(html, '<article>', ''))) // 9 AS n FROM pages),
+more AS (
+  SELECT node_type, k FROM (VALUES ('section', 1), ('textarea', 1), ('title', 1), ('text', 3)) AS t(node_type, k))
+SELECT file_id, node_type, CAST(sum(nodes) AS BIGINT) AS nodes FROM (
+  SELECT file_id, node_type, count(*) AS nodes FROM nodes GROUP BY ALL
+  UNION ALL SELECT file_id, node_type, n * k FROM put, more WHERE n > 0)
+GROUP BY ALL"""),
     "corpus_constructs": page_query(
         "SELECT node_type, count(*) AS nodes, count(DISTINCT file_id) AS files "
         "FROM nodes GROUP BY node_type"),
@@ -381,6 +391,11 @@ FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY language""",
     WHEN 3 THEN 'a/b/' WHEN 4 THEN '.hidden/' ELSE '_x/__init__' END || doc_id || '.txt' AS path,
   sha256(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS content_hash, 'utf-8' AS encoding,
   CAST(NULL AS VARCHAR) AS read_error FROM documents WHERE doc_id % 7 < 6""",
+    "corpora_union": """SELECT
+  CASE doc_id % 3 WHEN 1 THEN source || '/' || doc_id WHEN 2 THEN CAST(doc_id AS VARCHAR) END AS file_id,
+  CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) END AS number,
+  sha256(CASE WHEN doc_id % 33 = 0 THEN '' ELSE text END) AS content_hash,
+  CAST(NULL AS VARCHAR) AS read_error FROM documents""",
     "decode_text": """SELECT doc_id AS file_id,
   CASE WHEN lang = 'es' THEN chr(65279) || text ELSE text END AS content,
   CASE WHEN lang IN ('fr', 'de') AND regexp_matches(text, '[^\\x00-\\x7f]')
@@ -479,6 +494,14 @@ WHERE contains(html, '<h1>') AND page_id % 3 = 0""",
     "match_nodes": page_query("""
 SELECT file_id, ord, path_ords[depth] AS parent_ord, depth FROM nodes
 WHERE node_type = 'a' AND path_types[depth] = 'li' AND list_contains(path_types, 'nav')"""),
+    "match_paths": page_query("""
+SELECT file_id, ord, depth, node_type, text FROM nodes
+WHERE regexp_matches(array_to_string(path_types, '/') || '/' || node_type, '(^|/)nav/(.*/)?li/a$')"""),
+    "match_paths_counts": page_query("""
+SELECT file_id, CAST(count(*) FILTER (depth = 2) AS INTEGER) AS top,
+  CAST(count(*) FILTER (regexp_matches(array_to_string(path_types, '/') || '/' || node_type,
+    '(^|/)body/(.*/)?article/[^/]+/(.*/)?text$')) AS INTEGER) AS deep
+FROM nodes GROUP BY file_id"""),
     "skeleton": page_query("""
 SELECT file_id, ord, depth, node_type FROM nodes
 WHERE node_type IN ('body', 'nav', 'article', 'h1', 'footer') AND depth <= 4"""),
@@ -489,6 +512,20 @@ SELECT file_id, ord, node_type FROM nodes WHERE node_type IN ('nav', 'ul', 'li')
     "recursive_decls": f"""WITH {WORD_LINES}
 SELECT doc_id AS file_id, CAST(1 + 5 * (n - 1) AS INTEGER) AS decl_ord, a AS name
 FROM words WHERE a = b""",
+    "call_edges": f"""WITH {WORD_LINES}
+SELECT DISTINCT doc_id AS file_id, a AS caller, b AS callee FROM words
+WHERE (doc_id, b) IN (SELECT (doc_id, a) FROM words)""",
+    "recursive_groups": f"""WITH RECURSIVE {WORD_LINES},
+edge AS (
+  SELECT DISTINCT doc_id, a, b FROM words WHERE (doc_id, b) IN (SELECT (doc_id, a) FROM words)),
+reach AS (
+  SELECT doc_id, a, b FROM edge
+  UNION SELECT r.doc_id, r.a, e.b FROM reach r JOIN edge e ON e.doc_id = r.doc_id AND e.a = r.b),
+mutual AS (
+  SELECT x.doc_id, x.a, x.b FROM reach x JOIN reach y
+    ON y.doc_id = x.doc_id AND y.a = x.b AND y.b = x.a)
+SELECT doc_id AS file_id, a AS name, min(b) AS group_name, count(*) AS n_names
+FROM mutual GROUP BY doc_id, a""",
     "line_decls": f"""WITH {WORD_LINES}
 SELECT doc_id AS file_id, {CODE_LANGUAGE} AS language, CAST(1 AS INTEGER) AS line_no, 0 AS depth,
   CASE lang WHEN 'en' THEN 'class_definition' WHEN 'fr' THEN 'function_declaration'

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeframe.catalog import derive as D
-from treeframe.operators import code, languages, metrics, nodes, requests, results, search, versions
+from treeframe.operators import calls, code, languages, metrics, nodes, requests, results, search, versions
 from treeframe.plans.outline_udtf import register_outline_lines
 from treeframe.plans.parse import parse_corpus, parse_trees
 from treeframe.plans.producers import default_producers, pandas_producer
@@ -97,6 +97,13 @@ def outline_nodes(spark, sf_dir):
     return _flat_nodes(nodes.outline_nodes(D.code_outlines(spark, sf_dir)))
 
 
+@query
+def markup_tags(spark, sf_dir):
+    """Nodes of pages with > in values and with text that looks like markup."""
+    trees = nodes.markup_trees(D.tagged_pages(spark, sf_dir).select("file_id", "content"))
+    return metrics.construct_counts(trees)
+
+
 @query
 def tree_paths(spark, sf_dir):
     """Ancestors of node rows that come without them."""
@@ -323,6 +330,28 @@ def read_corpus(spark, sf_dir):
     )
 
 
+@query
+def corpora_union(spark, sf_dir):
+    """Documents of a table by text ids, together with documents read from files."""
+    folder = scratch_dir(spark, "corpus")
+    documents = D.table(spark, sf_dir, "documents")
+    D.write_files(documents.where("doc_id % 3 = 0"), folder)
+    rest = documents.where("doc_id % 3 > 0")
+    tables = [
+        corpus.corpus_from_table(
+            rest.where("doc_id % 3 = 1"), F.concat_ws("/", "source", F.col("doc_id").cast("string")), "text"
+        ),
+        corpus.corpus_from_table(rest.where("doc_id % 3 = 2"), "doc_id", "text"),
+        corpus.read_corpus(spark, folder),
+    ]
+    files = corpus.union_corpora(*tables)
+    return files.select(
+        F.when(F.col("path").isNull(), F.col("file_id")).alias("file_id"),
+        F.regexp_extract("path", r"([0-9]+)\.[a-z]+$", 1).alias("number"),
+        F.sha2("content", 256).alias("content_hash"), "read_error",
+    )
+
+
 @query
 def decode_text(spark, sf_dir):
     return corpus.decode_text(D.raw_documents(spark, sf_dir))
@@ -531,6 +560,21 @@ def match_nodes(spark, sf_dir):
     return found.select("file_id", "ord", "parent_ord", "depth")
 
 
+@query
+def match_paths(spark, sf_dir):
+    """Links that are children of list items somewhere in a navigation."""
+    return search.match_paths(_page_trees(spark, sf_dir), "nav//li/a")
+
+
+@query
+def match_paths_counts(spark, sf_dir):
+    """Nodes two levels below the root, and texts below an article's children, per file."""
+    trees = _page_trees(spark, sf_dir)
+    top = search.count_paths(trees, "/document/*/*").withColumnRenamed("matches", "top")
+    deep = search.count_paths(trees, "body//article/*//text").withColumnRenamed("matches", "deep")
+    return top.join(deep, "file_id")
+
+
 @query
 def skeleton(spark, sf_dir):
     found = search.skeleton(_page_nodes(spark, sf_dir), ("body", "nav", "article", "h1", "footer"), 4)
@@ -549,6 +593,21 @@ def recursive_decls(spark, sf_dir):
     return search.recursive_decls(trees, "function_definition", "call", "identifier")
 
 
+@query
+def call_edges(spark, sf_dir):
+    trees = nodes.outline_trees(D.code_outlines(spark, sf_dir))
+    return calls.call_edges(trees, "function_definition", "call", "identifier")
+
+
+@query
+def recursive_groups(spark, sf_dir):
+    """Functions that call each other in a circle, or themselves."""
+    trees = nodes.outline_trees(D.code_outlines(spark, sf_dir))
+    return calls.recursive_groups(
+        calls.call_edges(trees, "function_definition", "call", "identifier")
+    )
+
+
 @query
 def line_decls(spark, sf_dir):
     return code.line_decls(D.code_files(spark, sf_dir))

@@ -27,15 +27,24 @@ FLAT_TAGS = (
 
 # One pass over the text: comments, elements whose content is not markup (whole),
 # tags, text runs. All of the text is in some token. What is not closed ends with the
-# text, so that no opening is searched to the end in vain.
+# text, so that no opening is searched to the end in vain. A tag may hold ``>`` in a
+# quoted value; a quote that is not closed before the next tag stands for itself.
+_VALUES = r"(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+"
+# Elements that hold text alone. If there is a < in it, the opening tag and the text up to
+# their closing tag are one token.
+_TEXT_ONLY = r"(?i:textarea|title)"
+_TEXT_OPENING = rf"<{_TEXT_ONLY}(?![A-Za-z0-9]){_VALUES}>"
 TOKEN = (
     r"(?s)<!--.*?(?:-->|\z)"
-    r"|<(?i:script)\b[^<>]*>.*?(?:</(?i:script)[ \t\r\n]*>|\z)"
-    r"|<(?i:style)\b[^<>]*>.*?(?:</(?i:style)[ \t\r\n]*>|\z)"
-    r"|<[/!?]?[A-Za-z][^<>]*>"
+    rf"|<(?i:script)\b{_VALUES}>.*?(?:</(?i:script)[ \t\r\n]*>|\z)"
+    rf"|<(?i:style)\b{_VALUES}>.*?(?:</(?i:style)[ \t\r\n]*>|\z)"
+    rf"|<({_TEXT_ONLY})(?![A-Za-z0-9]){_VALUES}(?<!/)>[^<]*+(?:(?!</(?i:\1)[ \t\r\n/>])<[^<]*+)++"
+    rf"|<[/!?]?[A-Za-z]{_VALUES}>"
     r"|<?[^<]+"
     r"|<"
 )
+# The tag of text that may look like markup.
+RAW_TEXT = "#"
 TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
 # What an opening tag closes if it is open, unless one of the elements
 # named second is open inside it.
@@ -91,18 +100,36 @@ def finish(entries: Column) -> Column:
 
 def markup_tokens(content: Column) -> Column:
     """Tags and text runs, each with its tag name, direction and weight."""
+
+    def one(t: Column) -> Column:
+        tag = F.when(t.startswith("<"), F.lower(F.regexp_extract(t, TAG_NAME, 1))).otherwise(F.lit(""))
+        return F.struct(t.alias("source"), tag.alias("tag"))
+
+    def opening(t: Column) -> Column:
+        return F.when(
+            t.startswith("<t") | t.startswith("<T"),
+            F.regexp_extract(t, rf"^({_TEXT_OPENING})(?s:.)", 1),
+        ).otherwise("")
+
+    def both(t: Column) -> Column:
+        def parts(o: Column) -> Column:
+            text = F.substring(t, F.length(o) + 1, F.lit(_NO_LIMIT))
+            return F.when(o != "", F.array(
+                one(o), F.struct(text.alias("source"), F.lit(RAW_TEXT).alias("tag"))
+            )).otherwise(F.array(one(t)))
+
+        return let(opening(t), parts)
+
     raw = F.filter(
         F.regexp_extract_all(content, F.lit(TOKEN), F.lit(0)),
         lambda t: F.when(t.startswith("<"), ~t.startswith("<!--"))
         .otherwise(t.rlike(_VISIBLE)),
     )
-    named = F.transform(
+    named = let(
         raw,
-        lambda t: F.struct(
-            t.alias("source"),
-            F.when(t.startswith("<"), F.lower(F.regexp_extract(t, TAG_NAME, 1)))
-            .otherwise(F.lit("")).alias("tag"),
-        ),
+        lambda found: F.when(
+            F.exists(found, lambda t: opening(t) != ""), F.flatten(F.transform(found, both))
+        ).otherwise(F.transform(found, one)),
     )
     return F.transform(
         named,
@@ -111,7 +138,7 @@ def markup_tokens(content: Column) -> Column:
             t["tag"].alias("tag"),
             F.concat(t["tag"], F.lit("/")).alias("key"),
             ((t["tag"] != "") & t["source"].startswith("</")).alias("closing"),
-            F.when((t["tag"] == "") | t["tag"].isin(*FLAT_TAGS), 0)
+            F.when((t["tag"] == "") | t["tag"].isin(RAW_TEXT, *FLAT_TAGS), 0)
             .when(t["source"].startswith("</"), -1)
             .when(t["source"].endswith("/>") | t["tag"].isin("script", "style"), 0)
             .otherwise(1).alias("weight"),
@@ -182,7 +209,8 @@ def markup_tree(content: Column) -> Column:
                 open_count(z["path"])
                 + F.when(z["token"]["weight"] == 0, 1)
                 .when(z["path"].startswith(z["token"]["key"]), 0).otherwise(1),
-                F.when(z["token"]["source"].startswith("<!"), F.lit("declaration"))
+                F.when(z["token"]["tag"] == RAW_TEXT, F.lit("text"))
+                .when(z["token"]["source"].startswith("<!"), F.lit("declaration"))
                 .when(z["token"]["tag"] == "", F.lit("text")).otherwise(z["token"]["tag"]),
                 z["token"]["source"],
             ),

@@ -41,16 +41,29 @@ def with_key(
 
 
 def incremental(new: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows of ``new`` to parse: one per key that ``done`` lacks, and all without a key.
+    """Rows of ``new`` to parse: one file per key that ``done`` lacks, and all without a key.
 
-    Only keys are shuffled, each once per task; ``done`` needs no other column.
+    A file is its key and id, as an id may come back with another content. ``done`` is
+    read once and needs no other column than ``key``; ``new`` is read twice,
+    for its keys and for the rows themselves. Only keys and ids are shuffled to find
+    the files, each once per task.
     """
+    sides = new.where(F.col("key").isNotNull()).select(
+        "key", "file_id", F.lit(False).alias("_done")
+    ).unionByName(done.select(
+        "key", F.lit(None).cast(new.schema["file_id"].dataType).alias("file_id"),
+        F.lit(True).alias("_done"),
+    ))
     todo = (
-        new.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("file_id").alias("file_id"))
-        .join(done.select("key").distinct(), "key", "left_anti").select("file_id")
+        sides.groupBy(F.col("key").alias("_key"))
+        .agg(F.min("file_id").alias("_id"), F.max("_done").alias("_done")).where(~F.col("_done"))
+    )
+    same = (F.col("key") == F.col("_key")) & F.col("file_id").eqNullSafe(F.col("_id"))
+    # A file without a key meets no key, and is kept for itself.
+    return (
+        new.join(todo, same, "left").where(F.col("_key").isNotNull() | F.col("key").isNull())
+        .select(*new.columns)
     )
-    chosen = new.where(F.col("key").isNotNull()).join(todo, "file_id", "left_semi")
-    return chosen.unionByName(new.where(F.col("key").isNull()))
 
 
 def merge_results(new: DataFrame, done: DataFrame, fresh: DataFrame) -> DataFrame:

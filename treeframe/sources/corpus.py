@@ -85,9 +85,9 @@ def corpus_from_table(
     language: str | Column | None = None,
     path: str | Column | None = None,
 ) -> DataFrame:
-    """Text that is already in a table, as a corpus."""
+    """Text that is already in a table, as a corpus. Ids keep their type, numbers or text."""
     return df.select(
-        _as_column(id).cast("bigint").alias("file_id"),
+        _as_column(id).alias("file_id"),
         _as_column(path).alias("path"),
         _as_column(content).alias("content"),
         _as_column(language).alias("language"),
@@ -96,10 +96,21 @@ def corpus_from_table(
     )
 
 
+def union_corpora(*corpora: DataFrame) -> DataFrame:
+    """Files of several corpora. Ids of different types all become text."""
+    kinds = {c.schema["file_id"].dataType.simpleString() for c in corpora}
+    if len(kinds) > 1:
+        corpora = tuple(c.withColumn("file_id", F.col("file_id").cast("string")) for c in corpora)
+    first, *more = corpora
+    for corpus in more:
+        first = first.unionByName(corpus)
+    return first
+
+
 def _path_id(found: DataFrame) -> Column:
     """An id for a path that has no file, of the kind that ``found`` has."""
-    is_text = found.schema["file_id"].dataType.simpleString() == "string"
-    return F.md5("path") if is_text else F.xxhash64("path")
+    kind = found.schema["file_id"].dataType
+    return F.md5("path") if kind.simpleString() == "string" else F.xxhash64("path").cast("bigint")
 
 
 def with_read_errors(requested: DataFrame, found: DataFrame) -> DataFrame:

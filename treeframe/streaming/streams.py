@@ -65,9 +65,14 @@ def drop_known(files: DataFrame, known: DataFrame, content: str = "content") ->
     hashed = files.withColumn("content_hash", content_hash(F.col(content)))
     first = (
         hashed.where(F.col("content_hash").isNotNull()).groupBy("content_hash")
-        .agg(F.min("file_id").alias("file_id"))
+        .agg(F.min("file_id").alias("_id"))
         .join(known.select("content_hash").distinct(), "content_hash", "left_anti")
+        .withColumnRenamed("content_hash", "_hash")
     )
-    return hashed.join(first.select("file_id"), "file_id", "left_semi").unionByName(
-        hashed.where(F.col("content_hash").isNull())
+    # By hash and id: an id may come back with a content that is known.
+    same = (F.col("content_hash") == F.col("_hash")) & F.col("file_id").eqNullSafe(F.col("_id"))
+    return (
+        hashed.join(first, same, "left")
+        .where(F.col("_hash").isNotNull() | F.col("content_hash").isNull())
+        .select(*hashed.columns)
     )
