@@ -72,7 +72,8 @@ def op2_near_dedup(spark, sf_dir):
     judged = near_dedup.near_duplicates(
         table(spark, sf_dir, "documents"), width=3, threshold=0.85
     )
-    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return judged.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 ORACLES["op2_near_dedup"] = r"""
