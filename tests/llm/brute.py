@@ -84,3 +84,42 @@ def leaks(rows, items, n=5, share=0.8):
         own = shingles(LETTERS.findall(lower(t)), n)
         out |= {(i, j) for j, s in sets.items() if s and len(s & own) >= share * len(s)}
     return out
+
+
+def bootstrap(texts, pii):
+    """{row: set of (start, end)}: places of identifiers found by their context, in plain rounds."""
+    mentions = []
+    for row, text in enumerate(texts):
+        text = text or ""
+        base = [(s, e) for s, _, e in base_spans(text)]
+        mentions += [(row, s, e, True) for s, e in base]
+        for m in re.finditer(pii.IDENTIFIER, text):
+            if not any(s < m.end() and m.start() < e for s, e in base):
+                mentions.append((row, m.start(), m.end(), False))
+    edges = defaultdict(set)
+    for row, s, e, _ in mentions:
+        text, value = texts[row], texts[row][s:e]
+        for side, part, last in (("<", text[max(0, s - pii.CONTEXT):s], True), (">", text[e:e + pii.CONTEXT], False)):
+            words = SPACED.findall(part.lower())
+            two = words[-2:] if last else words[:2]
+            two = ["#" if re.search("[0-9@]", w) else w for w in two]
+            if len(words) - (len(part) >= pii.CONTEXT) >= 2 and two != ["#", "#"]:
+                edges[f"{side} {' '.join(two)}"].add(value)
+    seeds = {texts[row][s:e] for row, s, e, seed in mentions if seed}
+    score = dict.fromkeys(seeds, 1.0)
+    for _ in range(pii.ROUNDS):
+        trusted = {
+            p: sum(score.get(v, 0) for v in vs) / len(vs) for p, vs in edges.items()
+            if sum(score.get(v, 0) >= pii.CONFIDENCE for v in vs) >= pii.SUPPORT
+        }
+        doubt = {}
+        for p, confidence in trusted.items():
+            for v in edges[p]:
+                doubt[v] = doubt.get(v, 1) * max(1 - confidence, 1e-9)
+        score = {v: 1 - d for v, d in doubt.items()} | dict.fromkeys(seeds, 1.0)
+    found = {v for v, s in score.items() if s >= pii.CONFIDENCE} - seeds
+    out = defaultdict(set)
+    for row, s, e, seed in mentions:
+        if not seed and texts[row][s:e] in found:
+            out[row].add((s, e))
+    return out

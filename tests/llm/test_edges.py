@@ -146,6 +146,39 @@ def test_substrings(spark, odd, none):
     assert substring_dedup.remove_repeated_passages(none).count() == 0
 
 
+def test_substring_hot_window(spark):
+    """A window that all texts share asks once for each slice, not once for each place."""
+    import pyarrow as pa
+
+    texts = ["same " * 20_000 + f"end{i} " * 20 + " ".join(words(i, 30)) for i in range(12)]
+    batch = pa.RecordBatch.from_pydict({
+        "last": pa.array(range(12), pa.int64()), "mark": pa.array(range(12), pa.int32()), "text": texts,
+    })
+    entries = {}
+    for out in substring_dedup._blocks(13, 8)([batch]):
+        for bucket, hashes in zip(out["bucket"].to_pylist(), out["hashes"].to_pylist()):
+            entries[bucket] = entries.get(bucket, 0) + len(hashes) // 8
+    # 12 texts of some 40 distinct windows each, of which one is in all of them.
+    assert sum(entries.values()) < 12 * 80 and max(entries.values()) < 12 * 20
+    assert sum(n for b, n in entries.items() if b < 0) == 11
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in substring_dedup.remove_repeated_passages(docs, bucket_bytes=2000).collect()}
+    assert got[0].n_removed == 0 and all(got[i].n_removed == 20_000 for i in range(1, 12))
+    assert got[3].kept_text == ("end3 " * 20 + " ".join(words(3, 30)))
+
+
+def test_substring_many_rows_of_one_id(spark):
+    """Texts of one id, or of none, lose to smaller ids alone."""
+    passage = " ".join(words(19, 30))
+    for id in (None, 9):
+        rows = [(id, f"{i} {passage}", "a") for i in range(40)] + [(id, f"1 {passage}", "a")] * 5
+        got = substring_dedup.remove_repeated_passages(documents(spark, rows), bucket_bytes=500)
+        assert {r.n_removed for r in got.collect()} == {0}
+        got = substring_dedup.remove_repeated_passages(
+            documents(spark, rows + [(3, f"x {passage} y", "a")]), bucket_bytes=500)
+        assert sorted(r.n_removed for r in got.collect()) == [0] + [30] * 45
+
+
 def test_substring_intervals(spark):
     passage = " ".join(words(9, 60))
     docs = documents(spark, [
@@ -233,6 +266,42 @@ def test_pii(spark, odd, none):
     assert pii.personal_data(none).count() == 0
 
 
+def test_pii_second_generation(spark):
+    """Identifiers that one frame gives away make another frame known, which gives away more."""
+    cards = ["AB-1201", "AB-1202", "AB-1203", "AB-1204", "AB-1205"]
+    texts = [f"please write to reach{i}@mail.example if you can, thanks" for i in range(20)]
+    texts += [f"please write to {c} if you can, thanks" for c in cards[:4]]
+    texts += [f"the member card number {c} was sent to them" for c in cards]
+    texts += ["one 4111111111 and 1,204 then AB-1201 stands here", "the year 2001-02 was good", None, ""]
+    texts += ["numbers 123456 234567 345678 456789 all in a row 567890"] * 2
+    got = pii.personal_data(documents(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
+    want = brute.bootstrap(texts, pii)
+    for r in got:
+        assert {(s.start, s.end) for s in r.spans if pii.KINDS[s.kind] == "context"} == want[r.doc_id]
+    # The fifth card stands in the second frame alone; the first one's other place is found too.
+    assert want[28] and want[29] and not want[30]
+
+
+def test_pii_rounds_against_plain_ones(spark):
+    pick = random.Random(9)
+    frames = ["mail {} today please", "call {} now or never", "id {} of the user", "order {} came in late",
+              "{} was seen", "see {} and {} there", "it is {}"]
+    values = [f"u{i}@x.example" for i in range(12)] + [f"+49 30 12345{i:03}" for i in range(9)]
+    values += [f"N{i:05}" for i in range(40)]
+    texts = []
+    for i in range(300):
+        parts = []
+        for _ in range(pick.randrange(1, 6)):
+            frame = pick.choice(frames)
+            parts.append(frame.format(*[values[min(int(pick.expovariate(0.06)), 60)] for _ in range(2)]))
+        texts.append(" ".join(parts) + pick.choice(["", " " * 80, " " + "y" * 90]))
+    got = pii.personal_data(documents(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()
+    want = brute.bootstrap(texts, pii)
+    assert sum(map(len, want.values())) > 20
+    for r in got:
+        assert {(s.start, s.end) for s in r.spans if pii.KINDS[s.kind] == "context"} == want[r.doc_id]
+
+
 def test_pii_contexts(spark):
     """Identifiers that no pattern knows, in a context that seeds have shown."""
     seeds = [(i, f"please write to agent{i}@mail.example.com for help {i}", "a") for i in range(6)]

@@ -4,13 +4,16 @@ Base spans come from four patterns and their checks. They seed a bootstrapped
 extraction, all in DataFrame functions:
 
 1. Mentions: base spans, and other words that look like identifiers (with a
-   digit or @), each with its lexical patterns, the two words before it and the two after.
-2. The graph of patterns and instances is scored in rounds: a pattern's
-   confidence is the mean score of its distinct instances, seeds being 1; an
-   instance's score is the chance that not all of its trusted patterns are wrong.
-   A pattern is trusted if enough distinct seeds stand in it.
-3. Instances whose score reaches ``CONFIDENCE`` are added as spans of kind
-   ``context`` wherever one of their trusted, confident patterns holds them.
+   digit or @), each with its lexical patterns, the two words of the text before it and the
+   two after. Words with a digit or @ are all one word in a pattern, and a pattern of
+   nothing else does not count.
+2. The graph of patterns and instances is scored in rounds. A pattern is trusted if at
+   least ``SUPPORT`` distinct instances stand in it that are seeds or were found in the
+   rounds before; its confidence is the mean score of all its distinct instances, seeds being 1. An
+   instance's score is the chance that not all of its trusted patterns are wrong, and
+   it is found if that reaches ``CONFIDENCE``. So what one frame gives away makes the
+   next frame known.
+3. Found instances are added as spans of kind ``context`` in all places where they stand.
 
 Patterns use possessive and anchored repetition, so long runs of one kind of
 character take linear time. Mentions are written once; what is shuffled is
@@ -45,12 +48,16 @@ IDENTIFIER = (
     rf"(?<![^{_SPACE}])(?=[^0-9@{_SPACE}]*+[0-9@])[^{_SPACE}]{{5,}}[A-Za-z0-9]"
 )
 
-CONTEXT = 48  # characters on each side in which the words of a pattern are looked for
-SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 3
+CONTEXT = 64  # characters on each side in which the words of a pattern are looked for
+SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 4
 
 
 def _found(text: Column, pattern: str, maybe: Column) -> Column:
-    """Matches in order, as (start, end, value, before, after)."""
+    """Matches in order, as (start, end, value, before, after).
+
+    ``before`` and ``after`` are the ``CONTEXT`` characters of the text on each
+    side, other matches included.
+    """
 
     def placed(found: Column) -> Column:
         return running(
@@ -66,17 +73,26 @@ def _found(text: Column, pattern: str, maybe: Column) -> Column:
                     start.alias("start"),
                     (start + F.char_length(item["hit"])).alias("end"),
                     item["hit"].alias("value"),
-                    F.right(item["gap"], F.lit(CONTEXT)).alias("before"),
+                    F.right(
+                        F.concat(last["before"], last["value"], F.right(item["gap"], F.lit(CONTEXT))),
+                        F.lit(CONTEXT),
+                    ).alias("before"),
                 ),
             ),
         )
 
     def with_after(found: Column) -> Column:
+        def piece(part: str, i: Column) -> Column:
+            return F.left(F.coalesce(F.get(found[part], i), F.lit("")), F.lit(CONTEXT))
+
+        # Two more matches hold two words at least.
         return F.transform(
             placed(found),
-            lambda span, i: span.withField(
-                "after", F.left(F.get(found["gap"], i + 1), F.lit(CONTEXT))
-            ),
+            lambda span, i: span.withField("after", F.left(
+                F.concat(piece("gap", i + 1), piece("hit", i + 1), piece("gap", i + 2),
+                         piece("hit", i + 2), piece("gap", i + 3)),
+                F.lit(CONTEXT),
+            )),
         )
 
     matches = let(
@@ -96,10 +112,21 @@ def _digits(value: Column) -> Column:
 
 
 def _two_words(context: Column, last: bool) -> Column:
-    """The two words next to a mention, in lower case; null if there are fewer."""
+    """The two words next to a mention, in lower case; null if there are fewer, or if both
+    look like identifiers.
+
+    A word that the end of the context cuts is none.
+    """
     words = F.filter(F.split(F.lower(context), rf"[{_SPACE}]+"), lambda w: w != "")
-    pair = F.slice(words, -2, 2) if last else F.slice(words, 1, 2)
-    return F.when(F.size(words) >= 2, F.array_join(pair, " "))
+
+    def pair(words: Column) -> Column:
+        cut = F.when(F.char_length(context) < CONTEXT, 0).otherwise(1)
+        whole = F.size(words) - cut
+        two = F.slice(words, -2, 2) if last else F.slice(words, 1, 2)
+        named = F.transform(two, lambda w: F.when(w.rlike("[0-9@]"), "#").otherwise(w))
+        return F.when((whole >= 2) & F.exists(named, lambda w: w != "#"), F.array_join(named, " "))
+
+    return let(words, pair)
 
 
 def _mentions(spans: Column, kind: int | None) -> Column:
@@ -151,8 +178,11 @@ def find_mentions(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     )
 
 
-def score_instances(mentions: DataFrame, support: int = SUPPORT, rounds: int = ROUNDS) -> DataFrame:
-    """Trusted patterns and what they hold after the rounds: pattern, instance, confidence, score."""
+def score_instances(
+    mentions: DataFrame, support: int = SUPPORT, rounds: int = ROUNDS,
+    confidence: float = CONFIDENCE,
+) -> DataFrame:
+    """Instances in trusted patterns after the rounds, seeds left out: instance, score."""
     each = mentions.select(F.explode(F.concat("base", "others")).alias("m")).select(
         "m.instance", F.col("m.kind").isNotNull().alias("seed"),
         F.explode(F.array("m.before", "m.after")).alias("pattern"),
@@ -162,22 +192,27 @@ def score_instances(mentions: DataFrame, support: int = SUPPORT, rounds: int = R
         .agg(F.max("seed").alias("seed")),
         "pii-edges",
     )
-    trusted = saved(
-        edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
-        .filter(F.col("seeds") >= support).select("pattern"),
-        "pii-patterns",
+    # A seed anywhere is a seed in all patterns.
+    seeds = saved(
+        edges.filter("seed").select("instance", F.lit(1.0).alias("score")).distinct(), "pii-seeds"
     )
-    graph = saved(edges.join(small(trusted), "pattern", "left_semi"), "pii-graph")
-    scored = graph.withColumn("score", F.col("seed").cast("double"))
+    found = seeds.limit(0)
     for _ in range(rounds):
-        confidence = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"))
-        held = graph.join(confidence, "pattern")
+        scores = seeds.unionByName(found)
+        trusted = saved(
+            edges.join(small(saved(scores, "pii-scores")), "instance", "left").groupBy("pattern")
+            .agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("confidence"),
+                 F.count_if(F.col("score") >= confidence).alias("support"))
+            .filter(F.col("support") >= support).select("pattern", "confidence"),
+            "pii-patterns",
+        )
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
-        scores = held.groupBy("instance").agg(
-            F.when(F.max("seed"), 1.0).otherwise(1 - doubt).alias("score")
+        found = saved(
+            edges.join(small(trusted), "pattern").groupBy("instance")
+            .agg((1 - doubt).alias("score")).join(small(seeds), "instance", "left_anti"),
+            "pii-instances",
         )
-        scored = saved(held.join(scores, "instance"), "pii-scores")
-    return scored
+    return found
 
 
 def personal_data(
@@ -188,19 +223,12 @@ def personal_data(
     ``kind`` is a position in ``KINDS``.
     """
     mentions = find_mentions(docs, id, text)
-    scored = score_instances(mentions)
-    good = saved(
-        scored.filter(~F.col("seed") & (F.col("score") >= confidence)
-                      & (F.col("confidence") >= confidence))
-        .select("pattern", "instance").distinct(),
-        "pii-found",
-    )
+    scored = score_instances(mentions, confidence=confidence)
+    good = saved(scored.filter(F.col("score") >= confidence).select("instance"), "pii-found")
     added = (
         mentions.select("row", F.explode("others").alias("m"))
-        .select("row", "m.start", "m.end", "m.instance",
-                F.explode(F.array("m.before", "m.after")).alias("pattern"))
-        .join(small(good), ["pattern", "instance"])
-        .groupBy("row")
+        .select("row", "m.start", "m.end", "m.instance")
+        .join(small(good), "instance").groupBy("row")
         .agg(F.collect_set(F.struct("start", F.lit(len(KINDS) - 1).alias("kind"), "end"))
              .alias("added"))
     )
