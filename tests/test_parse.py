@@ -213,3 +213,43 @@ def test_native_parse_has_no_shuffle(spark):
     parsed = parse_corpus(files(spark, [row(1, "a.html", "<p>x", "html")]), REGISTRY)
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "Python" not in plan
+
+
+def hanging(content, language):
+    """A parser whose native code may crash, hang or raise."""
+    import os
+    import time
+
+    if content == "crash":
+        os._exit(3)
+    if content == "hang":
+        time.sleep(600)
+    if content == "raise":
+        raise ValueError("no")
+    return [(0, "file", None), (1, "line", content)]
+
+
+def test_guarded_parser(spark):
+    """A file that hangs or ends the parser's process is an error; all others have results."""
+    import time
+
+    producers = default_producers().with_producer(pandas_producer("wild", hanging, deadline=2.0))
+    contents = ["one", "crash", "two", "hang", "raise", "three" * 100_000, None, "crash", "four"]
+    rows = [row(i, None, c, "go") for i, c in enumerate(contents)]
+    began = time.monotonic()
+    parsed = parse_corpus(files(spark, rows).coalesce(1), REGISTRY, producers, parser="wild")
+    got = {r.file_id: (r.success, r.error) for r in parsed.collect()}
+    assert time.monotonic() - began < 100
+    assert [i for i, (ok, _) in got.items() if ok] == [0, 2, 5, 8]
+    assert got[1][1] == got[7][1] == "Failed to parse: parser process ended (3)"
+    assert got[3][1] == "Failed to parse: parser took longer than 2 s"
+    assert got[4][1] == "Failed to parse: no" and got[6][0] is False
+
+
+def test_guarded_parser_that_cannot_be_made(spark):
+    def make():
+        raise ImportError("no grammar")
+
+    producers = default_producers().with_producer(PandasProducer("none", make, deadline=5.0))
+    parsed = parse_corpus(files(spark, [row(1, None, "x", "go")] * 2), REGISTRY, producers, parser="none")
+    assert {r.error for r in parsed.collect()} == {"Failed to parse: no grammar"}

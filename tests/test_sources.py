@@ -10,6 +10,7 @@ from treeframe import (
 )
 from treeframe import schemas, session
 from treeframe.operators import requests, versions
+from treeframe.sources import corpus
 from treeframe.sources.corpus import read_requested, spread
 from treeframe.streaming.streams import drop_known
 
@@ -223,11 +224,44 @@ def test_text_ids(spark):
     assert text.first().file_id == "a/b" and number.first().file_id == 7
     both = corpus.union_corpora(text, number, text)
     assert sorted(r.file_id for r in both.collect()) == ["7", "a/b", "a/b"]
-    assert corpus.union_corpora(number, number).schema["file_id"].dataType.simpleString() == "int"
+    assert corpus.union_corpora(number, number).schema["file_id"].dataType.simpleString() == "bigint"
     errors = corpus.with_read_errors(spark.createDataFrame([("x",), ("a/b",)], "path string"), text)
     assert sorted(r.read_error is None for r in errors.collect()) == [False, True]
 
 
+def test_store(spark, tmp_path):
+    """Later results win, a look-up reads one bucket, compaction changes no result."""
+    from treeframe.sources import store
+
+    path = str(tmp_path / "store")
+
+    def rows(numbers, value):
+        return spark.createDataFrame(
+            [(f"{i * 2654435761 % 2**32:08x}", i, value) for i in numbers], "id string, n int, value string")
+
+    with pytest.raises(ValueError):
+        store.stored_results(spark, path)
+    assert store.commit_results(rows(range(300), "a"), path) == 1
+    assert store.commit_results(rows([*range(100), *range(100)], "b"), path) == 2
+    assert store.commit_results(rows(range(290, 310), "c").withColumn("more", F.lit(1)), path, files=2) == 3
+    want = {i: "c" if i >= 290 else "b" if i < 100 else "a" for i in range(310)}
+    got = store.stored_results(spark, path).collect()
+    assert {r.n: r.value for r in got} == want and len(got) == 310
+    id = rows([5], "")
+    one = store.look_up(spark, path, id.first().id)
+    assert [(r.n, r.value) for r in one.collect()] == [(5, "b")]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(bucket") == plan.count("FileScan parquet") > 0
+    assert store.look_up(spark, path, "00zz").count() == 0
+    many = store.look_up_all(spark, path, rows([5, 200, 300, 1000], "").unionByName(id))
+    assert {r.n: r.value for r in many.collect()} == {5: "b", 200: "a", 300: "c"}
+    assert store.compact_results(spark, path) == 4
+    assert store._latest(spark, path)[0] == 4 and len(store._latest(spark, path)[1]) == 1
+    assert {r.n: r.value for r in store.stored_results(spark, path).collect()} == want
+    with pytest.raises(Exception, match="already exists"):
+        store._publish(spark, path, 4, ["x"])
+
+
 class Conf:
     """A session whose settings are the given ones."""
 
@@ -248,3 +282,43 @@ def test_scratch_dir(spark):
         session.scratch_dir(Conf(spark_master="yarn"), "x")
     with pytest.raises(ValueError):
         session.scratch_dir(Conf(), "x")
+
+
+def test_files_data_source(spark, tmp_path):
+    """Names and sizes of all kinds, in a batch and in a stream that goes on after a stop."""
+    import os
+    import time
+
+    from treeframe.sources.datasource import load_files, stream_files
+
+    root = tmp_path / "in"
+    names = ["a.txt", "_b.txt", ".c.txt", "d/e.txt", ".f/_g.txt", "h.md", "i j#%.txt"]
+    for i, name in enumerate(names):
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if i == 1 else f"text {i}".encode())
+
+    def under(df):
+        return sorted((os.path.relpath(r.path, root), r.content, r.read_error) for r in df.collect())
+
+    want = sorted((n, "" if i == 1 else f"text {i}", None) for i, n in enumerate(names) if n != "h.md")
+    assert under(load_files(spark, str(root), "*.txt")) == want
+    assert [n for n, *_ in under(load_files(spark, str(root), "*.txt", recursive=False))] == sorted(
+        n for n in names if "/" not in n and n != "h.md")
+    assert load_files(spark, str(root), "*.none").count() == 0
+    with pytest.raises(Exception, match="No such file"):
+        load_files(spark, str(root / "missing")).collect()
+
+    def run():
+        query = (stream_files(spark, str(root), "*.txt").writeStream.format("parquet")
+                 .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        return under(spark.read.parquet(str(tmp_path / "out")))
+
+    assert run() == want
+    assert run() == want
+    time.sleep(0.01)
+    (root / "_new.txt").write_text("later")
+    (root / "h2.md").write_text("not asked for")
+    assert run() == sorted([*want, ("_new.txt", "later", None)])

@@ -117,6 +117,21 @@ def markup(prefix: str = "", source: str = PAGES) -> str:
   UNION ALL SELECT file_id, 0, 0, 'document', '' FROM {prefix}src''')}"""
 
 
+def subtrees(prefix: str) -> str:
+    """CTE ``{prefix}whole``: each node's place and the text of all that is in it."""
+    return f"""
+{prefix}end AS (
+  SELECT n.file_id, n.ord, n.depth, n.node_type, array_to_string(n.path_types, '/') AS place,
+    coalesce(min(x.ord), 1000000) AS stop
+  FROM {prefix}nodes n LEFT JOIN {prefix}nodes x
+    ON x.file_id = n.file_id AND x.ord > n.ord AND x.depth <= n.depth GROUP BY ALL),
+{prefix}whole AS (
+  SELECT n.file_id, n.place, n.node_type, string_agg((x.depth - n.depth) || ':' || x.node_type || ':' ||
+    coalesce(x.text, ''), chr(1) ORDER BY x.ord) AS whole
+  FROM {prefix}end n JOIN {prefix}nodes x ON x.file_id = n.file_id AND x.ord >= n.ord AND x.ord < n.stop
+  GROUP BY n.file_id, n.ord, n.place, n.node_type)"""
+
+
 def prose(source: str) -> str:
     return f"""
 src AS ({source}),
@@ -229,6 +244,11 @@ def page_query(select: str) -> str:
     return f"WITH RECURSIVE {markup()} {select}"
 
 
+READ_FILES = """SELECT CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '_' WHEN 2 THEN '.'
+    WHEN 3 THEN 'a/b/' WHEN 4 THEN '.hidden/' ELSE '_x/__init__' END || doc_id || '.txt' AS path,
+  sha256(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS content_hash, 'utf-8' AS encoding,
+  CAST(NULL AS VARCHAR) AS read_error FROM documents WHERE doc_id % 7 < 6"""
+
 ORACLES: dict[str, str] = {
     # trees
     "markup_nodes": page_query(FLAT_NODES),
@@ -387,10 +407,9 @@ FROM documents""",
   (SELECT count(DISTINCT lang) FROM documents WHERE lang IN ('en', 'fr', 'de')) AS count
 FROM documents WHERE lang IN ('en', 'fr', 'de') ORDER BY language""",
     # sources, requests, stores
-    "read_corpus": """SELECT CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '_' WHEN 2 THEN '.'
-    WHEN 3 THEN 'a/b/' WHEN 4 THEN '.hidden/' ELSE '_x/__init__' END || doc_id || '.txt' AS path,
-  sha256(CASE WHEN doc_id % 11 = 0 THEN '' ELSE text END) AS content_hash, 'utf-8' AS encoding,
-  CAST(NULL AS VARCHAR) AS read_error FROM documents WHERE doc_id % 7 < 6""",
+    "read_corpus": READ_FILES,
+    "load_files": READ_FILES,
+    "stream_files": READ_FILES,
     "corpora_union": """SELECT
   CASE doc_id % 3 WHEN 1 THEN source || '/' || doc_id WHEN 2 THEN CAST(doc_id AS VARCHAR) END AS file_id,
   CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) END AS number,
@@ -430,6 +449,14 @@ SELECT id, file_id, language, ast_text, error FROM results JOIN ids ON doc_id =
 WHERE id = (SELECT max(id) FROM ids)""",
     "fetch_results": f"""WITH ids AS ({result_ids()})
 SELECT id, doc_id AS file_id, lang AS language, lang IN ('en', 'fr') AS success
+FROM ids WHERE id IN (SELECT id FROM ids WHERE doc_id IN {LABELLED})""",
+    "stored_results": f"""WITH ids AS ({result_ids()})
+SELECT id, lang AS language, CASE WHEN bool_or(doc_id IN {LABELLED}) THEN 'again'
+  WHEN lang = 'de' THEN 'No producer available for language: de'
+  WHEN lang = 'es' THEN 'Language es not supported' END AS error
+FROM ids GROUP BY id, lang""",
+    "store_look_up": f"""WITH ids AS ({result_ids()})
+SELECT DISTINCT id, lang AS language, lang IN ('en', 'fr') AS success
 FROM ids WHERE id IN (SELECT id FROM ids WHERE doc_id IN {LABELLED})""",
     # versions
     "content_hash_of": f"SELECT doc_id AS file_id, {HASH} AS content_hash FROM documents",
@@ -452,6 +479,31 @@ SELECT file_id, place, node_type,
   greatest(coalesce(b.n, 0) - coalesce(a.n, 0), 0) AS added,
   greatest(coalesce(a.n, 0) - coalesce(b.n, 0), 0) AS removed
 FROM a FULL JOIN b USING (file_id, place, node_type)""",
+    "subtree_diff": f"""WITH RECURSIVE {markup('x')}, {markup('y', """
+SELECT page_id AS file_id, regexp_replace(regexp_replace(html, '(?s)^(.*?)(<nav>.*?</nav>)(.*)$', '\\1\\3\\2'),
+  '<h1>', '<h1>New: ', 'g') AS content FROM pages""")},
+{subtrees('x')}, {subtrees('y')},
+g AS (
+  SELECT file_id, place, node_type, whole, coalesce(a.n, 0) AS na, coalesce(b.n, 0) AS nb
+  FROM (SELECT file_id, place, node_type, whole, count(*) AS n FROM xwhole GROUP BY ALL) a
+  FULL JOIN (SELECT file_id, place, node_type, whole, count(*) AS n FROM ywhole GROUP BY ALL) b
+  USING (file_id, place, node_type, whole)),
+k AS (SELECT *, least(na, nb) AS kept, na - least(na, nb) AS ra, nb - least(na, nb) AS rb FROM g),
+w AS (
+  SELECT *, least(sum(ra) OVER s, sum(rb) OVER s) AS moving,
+    sum(ra) OVER o - ra AS ahead_a, sum(rb) OVER o - rb AS ahead_b
+  FROM k WINDOW s AS (PARTITION BY file_id, whole),
+    o AS (PARTITION BY file_id, whole ORDER BY place, node_type ROWS UNBOUNDED PRECEDING)),
+m AS (
+  SELECT *, greatest(0, least(ra, moving - ahead_a)) AS ma, greatest(0, least(rb, moving - ahead_b)) AS mb FROM w),
+p AS (
+  SELECT file_id, sum(kept) AS kept, sum(mb) AS moved, sum(ra - ma) AS left_a, sum(rb - mb) AS left_b
+  FROM m GROUP BY file_id, place, node_type)
+SELECT file_id, CAST(sum(kept) AS BIGINT) AS kept, CAST(sum(moved) AS BIGINT) AS moved,
+  CAST(sum(least(left_a, left_b)) AS BIGINT) AS changed,
+  CAST(sum(left_b - least(left_a, left_b)) AS BIGINT) AS added,
+  CAST(sum(left_a - least(left_a, left_b)) AS BIGINT) AS removed
+FROM p GROUP BY file_id""",
     # search
     "extract_names": page_query("""
 SELECT d.file_id, d.ord AS decl_ord, (
@@ -489,6 +541,14 @@ WHERE NOT (contains(html, '<h1>') AND page_id % 3 = 0
 FROM documents WHERE lang = 'en'""",
     "files_without_join": f"""SELECT doc_id AS file_id, {CODE_LANGUAGE} AS language
 FROM documents WHERE lang <> 'en'""",
+    "files_where": page_query("""
+, held AS (
+  SELECT file_id, bool_or(node_type = 'h1') AND file_id % 3 <> 0 AS h1, bool_or(node_type = 'h1') AND file_id % 3 = 0 AS h2,
+    bool_or(node_type = 'footer') AS footer, bool_or(node_type = 'nav') AS nav
+  FROM nodes GROUP BY file_id)
+SELECT file_id, 'both' AS asked FROM held WHERE h2 AND footer
+UNION ALL SELECT file_id, 'neither' FROM held WHERE NOT h2 AND NOT footer
+UNION ALL SELECT file_id, 'mixed' FROM held WHERE nav AND (h1 OR footer) AND NOT h2"""),
     "files_mentioning": """SELECT page_id AS file_id FROM pages
 WHERE contains(html, '<h1>') AND page_id % 3 = 0""",
     "match_nodes": page_query("""
@@ -512,6 +572,10 @@ SELECT file_id, ord, node_type FROM nodes WHERE node_type IN ('nav', 'ul', 'li')
     "recursive_decls": f"""WITH {WORD_LINES}
 SELECT doc_id AS file_id, CAST(1 + 5 * (n - 1) AS INTEGER) AS decl_ord, a AS name
 FROM words WHERE a = b""",
+    # Without its own, a call's name is that of the next function.
+    "recursion_after_prune": f"""WITH {WORD_LINES}
+SELECT doc_id AS file_id, CAST(1 + 5 * (n - 1) AS INTEGER) AS decl_ord, a AS name
+FROM (SELECT *, lead(a) OVER (PARTITION BY doc_id ORDER BY n) AS next FROM words) WHERE a = next""",
     "call_edges": f"""WITH {WORD_LINES}
 SELECT DISTINCT doc_id AS file_id, a AS caller, b AS callee FROM words
 WHERE (doc_id, b) IN (SELECT (doc_id, a) FROM words)""",

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeframe.catalog import derive as D
-from treeframe.operators import calls, code, languages, metrics, nodes, requests, results, search, versions
+from treeframe.operators import calls, code, construct_index, languages, metrics, nodes, requests, results, search, versions
 from treeframe.plans.outline_udtf import register_outline_lines
 from treeframe.plans.parse import parse_corpus, parse_trees
 from treeframe.plans.producers import default_producers, pandas_producer
 from treeframe.registry import CODE_LANGUAGES
 from treeframe.session import scratch_dir
-from treeframe.sources import corpus, store
+from treeframe.sources import corpus, datasource, store
 from treeframe.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +352,37 @@ def corpora_union(spark, sf_dir):
     )
 
 
+@query
+def load_files(spark, sf_dir):
+    """Documents written as files of all kinds of names, read by the data source."""
+    folder = scratch_dir(spark, "corpus")
+    D.write_files(D.table(spark, sf_dir, "documents"), folder)
+    return _read_files(datasource.load_files(spark, folder, "*.txt"))
+
+
+@query
+def stream_files(spark, sf_dir):
+    """The same files as a stream that is stopped and goes on: each comes once."""
+    folder = scratch_dir(spark, "corpus")
+    documents = D.table(spark, sf_dir, "documents")
+    for part in (0, 1):
+        D.write_files(documents.where(F.col("doc_id") % 2 == part), f"{folder}/files")
+        files = datasource.stream_files(spark, f"{folder}/files", "*.txt")
+        started = (
+            files.writeStream.format("parquet").option("path", f"{folder}/rows")
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        started.awaitTermination()
+    return _read_files(spark.read.parquet(f"{folder}/rows"))
+
+
+def _read_files(files: DataFrame) -> DataFrame:
+    return files.select(
+        F.regexp_extract("path", "/corpus-[^/]+/(?:files/)?(.*)$", 1).alias("path"),
+        F.sha2("content", 256).alias("content_hash"), "encoding", "read_error",
+    )
+
+
 @query
 def decode_text(spark, sf_dir):
     return corpus.decode_text(D.raw_documents(spark, sf_dir))
@@ -429,6 +460,33 @@ def fetch_results(spark, sf_dir):
     return store.fetch_results(spark, folder, ids).select("id", "file_id", "language", "success")
 
 
+@query
+def stored_results(spark, sf_dir):
+    """A store after two commits and a compaction: the later result of an id counts."""
+    folder = scratch_dir(spark, "store")
+    files = versions.with_content_hash(D.document_files(spark, sf_dir))
+    parsed = store.with_result_id(parse_corpus(files, D.PROSE_LANGUAGES, keep=["content_hash"]))
+    store.commit_results(parsed, folder)
+    labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
+    again = parsed.join(labelled, "file_id", "left_semi").withColumn("error", F.lit("again"))
+    store.commit_results(again, folder)
+    store.compact_results(spark, folder)
+    return store.stored_results(spark, folder).select("id", "language", "error")
+
+
+@query
+def store_look_up(spark, sf_dir):
+    """Results of the labelled documents, looked up by id in a store of two commits."""
+    folder = scratch_dir(spark, "store")
+    files = versions.with_content_hash(D.document_files(spark, sf_dir))
+    parsed = store.with_result_id(parse_corpus(files, D.PROSE_LANGUAGES, keep=["content_hash"]))
+    for part in (0, 1):
+        store.commit_results(parsed.where(F.col("file_id") % 2 == part), folder)
+    labelled = D.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file_id")).distinct()
+    ids = parsed.join(labelled, "file_id", "left_semi").select("id")
+    return store.look_up_all(spark, folder, ids).select("id", "language", "success")
+
+
 # --- versions --------------------------------------------------------------
 
 
@@ -481,6 +539,15 @@ def outline_diff(spark, sf_dir):
     return versions.outline_diff(nodes.markup_nodes(files), nodes.markup_nodes(edited))
 
 
+@query
+def subtree_diff(spark, sf_dir):
+    """Pages against the same pages with the navigation at the end and another heading."""
+    files = D.page_files(spark, sf_dir).select("file_id", "content")
+    moved = F.regexp_replace("content", "(?s)^(.*?)(<nav>.*?</nav>)(.*)$", "$1$3$2")
+    edited = files.withColumn("content", F.regexp_replace(moved, "<h1>", "<h1>New: "))
+    return versions.subtree_diff(nodes.markup_trees(files), nodes.markup_trees(edited))
+
+
 # --- search ----------------------------------------------------------------
 
 
@@ -547,6 +614,24 @@ def files_without_join(spark, sf_dir):
     return search.files_without(files, decls, "class_definition")
 
 
+@query
+def files_where(spark, sf_dir):
+    """Files by the types they hold and lack, from a saved index that was written in two parts."""
+    folder = scratch_dir(spark, "index")
+    trees = nodes.markup_trees(D.varied_pages(spark, sf_dir).select("file_id", "content"))
+    for part in (0, 1):
+        construct_index.save_construct_index(trees.where(F.col("file_id") % 2 == part), folder)
+    asked = {
+        "both": {"all": ("h2", "footer")}, "neither": {"none": ("h2", "footer")},
+        "mixed": {"all": ("nav",), "any": ("h1", "footer"), "none": ("h2", "unknown")},
+    }
+    found = [
+        construct_index.files_where(spark, folder, **how).withColumn("asked", F.lit(name))
+        for name, how in asked.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query
 def files_mentioning(spark, sf_dir):
     pages = D.varied_pages(spark, sf_dir).withColumn("language", F.lit("html"))
@@ -593,6 +678,14 @@ def recursive_decls(spark, sf_dir):
     return search.recursive_decls(trees, "function_definition", "call", "identifier")
 
 
+@query
+def recursion_after_prune(spark, sf_dir):
+    """Recursion in pruned trees: a call has lost its name, and takes the next one in reach."""
+    trees = nodes.outline_trees(D.code_outlines(spark, sf_dir))
+    pruned = nodes.prune_trees(trees, include=("module", "function_definition", "block"))
+    return search.recursive_decls(pruned, "function_definition", "call", "identifier")
+
+
 @query
 def call_edges(spark, sf_dir):
     trees = nodes.outline_trees(D.code_outlines(spark, sf_dir))

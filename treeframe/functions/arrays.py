@@ -13,8 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A fold copies what it has gathered at every step, so states are gathered over
-# short blocks only.
-BLOCK = 32
+# short blocks only. An array of a few blocks is one block: what it copies costs less than
+# to find the states between its blocks first.
+BLOCK, ONE_BLOCK = 32, 128
 # Longer than any array, small enough that a start position can be added to it.
 _ALL = 2_000_000_000
 
@@ -57,9 +58,9 @@ def running(
         )
         return F.slice(states, 2, _ALL)
 
-    def piecewise(whole: Column, first: Column, length: int, inner) -> Column:
+    def piecewise(whole: Column, first: Column, length: Column, inner) -> Column:
         begins = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(length)),
+            F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), length),
             lambda b: b < F.size(whole),
         )
         firsts = F.aggregate(
@@ -82,12 +83,13 @@ def running(
         )
 
     def blocks(whole: Column, first: Column) -> Column:
-        return piecewise(whole, first, BLOCK, gathered)
+        length = F.when(F.size(whole) <= ONE_BLOCK, F.lit(ONE_BLOCK)).otherwise(F.lit(BLOCK))
+        return piecewise(whole, first, length, gathered)
 
     return let(
         items,
         lambda whole: F.when(F.size(whole) <= BLOCK * BLOCK, blocks(whole, start)).otherwise(
-            piecewise(whole, start, BLOCK * BLOCK, blocks)
+            piecewise(whole, start, F.lit(BLOCK * BLOCK), blocks)
         ),
     )
 

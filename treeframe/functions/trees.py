@@ -197,25 +197,46 @@ def markup_tree(content: Column) -> Column:
     nothing, and a closing tag without an opening one is passed over.
     """
 
-    def entries(tokens: Column) -> Column:
-        open_tags = running(tokens, no_open(), after_token)
-        kept = F.filter(
-            F.arrays_zip(tokens.alias("token"), open_tags.alias("path")),
-            lambda z: ~z["token"]["closing"],
+    def entry(token: Column, path: Column, level: Column) -> Column:
+        inside = F.when(token["weight"] == 0, 1).when(path.startswith(token["key"]), 0).otherwise(1)
+        return _entry(
+            level + inside,
+            F.when(token["tag"] == RAW_TEXT, F.lit("text"))
+            .when(token["source"].startswith("<!"), F.lit("declaration"))
+            .when(token["tag"] == "", F.lit("text")).otherwise(token["tag"]),
+            token["source"],
         )
-        nodes = F.transform(
-            kept,
-            lambda z: _entry(
-                open_count(z["path"])
-                + F.when(z["token"]["weight"] == 0, 1)
-                .when(z["path"].startswith(z["token"]["key"]), 0).otherwise(1),
-                F.when(z["token"]["tag"] == RAW_TEXT, F.lit("text"))
-                .when(z["token"]["source"].startswith("<!"), F.lit("declaration"))
-                .when(z["token"]["tag"] == "", F.lit("text")).otherwise(z["token"]["tag"]),
-                z["token"]["source"],
-            ),
+
+    def entries(tokens: Column) -> Column:
+        # Only tags that open or close something change what is open; what stands between two
+        # of them has the level of the first.
+        changing = F.filter(
+            F.transform(tokens, lambda t, i: F.struct(t.alias("token"), i.alias("at"))),
+            lambda z: z["token"]["weight"] != 0,
         )
-        return F.concat(F.array(_entry(0, "document", F.lit(""))), nodes)
+
+        def parts(found: Column) -> Column:
+            paths = running(F.transform(found, lambda z: z["token"]), no_open(), after_token)
+            starts = F.concat(
+                F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("path"))),
+                F.zip_with(found, paths, lambda z, path: F.struct(z["at"].alias("at"), path.alias("path"))),
+            )
+
+            def part(known: Column) -> Column:
+                def nodes(start: Column, k: Column) -> Column:
+                    stop = F.coalesce(F.get(known, k + 1)["at"], F.size(tokens))
+                    return let(open_count(start["path"]), lambda level: F.transform(
+                        F.filter(
+                            F.slice(tokens, start["at"] + 1, stop - start["at"]), lambda t: ~t["closing"]
+                        ),
+                        lambda t: entry(t, start["path"], level),
+                    ))
+
+                return F.flatten(F.transform(known, nodes))
+
+            return let(starts, part)
+
+        return F.concat(F.array(_entry(0, "document", F.lit(""))), let(changing, parts))
 
     return finish(let(markup_tokens(content), entries))
 
@@ -461,6 +482,56 @@ def render_types(tree: Column) -> Column:
     )
 
 
+# --- subtrees --------------------------------------------------------------
+
+
+def subtree_hashes(tree: Column) -> Column:
+    """For each node a 64-bit hash of its subtree: types, leaf texts and their order.
+
+    One walk from the last node to the first: what a node needs of its children is
+    their running hash, kept for each level. An empty leaf text counts as none.
+    """
+
+    def hashed(nodes: Column) -> Column:
+        own = F.transform(
+            F.reverse(nodes),
+            lambda n: F.struct(
+                n["depth"].alias("depth"),
+                F.xxhash64(n["node_type"], F.coalesce(n["text"], F.lit(""))).alias("own"),
+            ),
+        )
+        none = F.lit(0).cast("bigint")
+
+        def after(state: Column, n: Column) -> Column:
+            levels, depth = state["levels"], n["depth"]
+            missing = F.greatest(depth - F.size(levels), F.lit(0))
+            # All that is deeper, as outlines may skip levels.
+            whole = F.xxhash64(n["own"], F.slice(levels, depth + 2, F.lit(_NO_LIMIT)))
+            return let(whole, lambda h: F.struct(
+                F.concat(
+                    F.slice(levels, F.lit(1), depth), F.array_repeat(none, missing),
+                    F.array(F.xxhash64(F.coalesce(F.get(levels, depth), none), h)),
+                ).alias("levels"),
+                h.alias("hash"),
+            ))
+
+        start = F.struct(F.array().cast("array<bigint>").alias("levels"), none.alias("hash"))
+        return F.reverse(F.transform(running(own, start, after), lambda s: s["hash"]))
+
+    return let(tree, hashed)
+
+
+def placed_subtrees(tree: Column) -> Column:
+    """``array<struct<place, node_type, hash>>``: each node's path of types and subtree."""
+    return F.transform(
+        F.arrays_zip(with_paths(tree).alias("node"), subtree_hashes(tree).alias("hash")),
+        lambda z: F.struct(
+            F.array_join(z["node"]["path_types"], "/").alias("place"),
+            z["node"]["node_type"].alias("node_type"), z["hash"].alias("hash"),
+        ),
+    )
+
+
 # --- measures and searches -------------------------------------------------
 
 

@@ -25,13 +25,12 @@ def _missing(fields: tuple[str, ...]) -> str:
 
 def _absent(name: str) -> Column:
     """Whether a field is missing or holds an empty or zero value, of any JSON type."""
-    raw = F.get_json_object(F.col("_body"), f"$.{name}")
-    # Text keeps its quotes nowhere in these functions, so the text "0" needs its type.
+    value = F.col(f"request.{name}")
+    nothing = value.rlike(r"^(?:-?0[0.]*(?:[eE][+-]?[0-9]+)?|false|null|\[\s*\]|\{\s*\})$")
+    # Read as text, 0 and "0" are alike; only what looks like nothing is parsed again for its type.
     kind = F.try_variant_get(F.try_parse_json("_body"), f"$.{name}", "variant")
     is_text = F.coalesce(F.schema_of_variant(kind), F.lit("VOID")) == "STRING"
-    empty = raw.isNull() | (raw == "")
-    nothing = raw.rlike(r"^(?:-?0[0.]*(?:[eE][+-]?[0-9]+)?|false|null|\[\s*\]|\{\s*\})$")
-    return F.coalesce(empty | (~is_text & nothing), F.lit(True))
+    return F.when(value.isNull() | (value == ""), True).when(nothing, ~is_text).otherwise(False)
 
 
 def validate_requests(df: DataFrame, kind: str = "kind", body: str = "body") -> DataFrame:

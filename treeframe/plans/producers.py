@@ -6,6 +6,7 @@ per-file parser inside Spark's tasks, in Arrow batches.
 
 from __future__ import annotations
 
+import multiprocessing
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 from typing import Any
@@ -36,19 +37,23 @@ class PandasProducer:
     """``make`` is called once per task and gives ``parse(content, language)``.
 
     ``parse`` yields ``(depth, node type, leaf text)`` in visit order, from the
-    root at depth 0. What it raises becomes that file's error.
+    root at depth 0. What it raises becomes that file's error. With a ``deadline``, in
+    seconds for a file, parsing is done in a child process of the task: a parser that
+    hangs, or that ends the process as faults of native code do, costs its file alone.
     """
 
     name: str
     make: Callable[[], Callable[[str, str], Iterable[Entry]]]
     version: str = "1"
+    deadline: float | None = None
 
 
 def pandas_producer(
-    name: str, parse: Callable[[str, str], Iterable[Entry]], version: str = "1"
+    name: str, parse: Callable[[str, str], Iterable[Entry]], version: str = "1",
+    deadline: float | None = None,
 ) -> PandasProducer:
     """A Python producer from a plain function."""
-    return PandasProducer(name, lambda: parse, version)
+    return PandasProducer(name, lambda: parse, version, deadline)
 
 
 MARKUP_PRODUCER = NativeProducer("markup", T.markup_tree)
@@ -136,6 +141,75 @@ def _checked(entries: Iterable[Entry]) -> tuple[list[int], list[str], list[str |
     return depths, types, texts
 
 
+class Guard:
+    """A parser in a child process, which is started again after a file that hangs or ends it."""
+
+    def __init__(self, make: Callable[[], Callable[[str, str], Iterable[Entry]]], deadline: float):
+        self.make, self.deadline, self.child, self.pipe = make, deadline, None, None
+
+    def __call__(self, content: str, language: str) -> Iterable[Entry]:
+        if self.child is None:
+            context = multiprocessing.get_context("fork")
+            self.pipe, end = context.Pipe()
+            self.child = context.Process(target=_serve, args=(self.make, end, self.pipe), daemon=True)
+            self.child.start()
+            end.close()
+            self._answer()  # that the parser is made
+        try:
+            self.pipe.send((content, language))
+        except OSError:
+            pass  # the child has ended; the answer says so
+        return zip(*self._answer())
+
+    def _answer(self):
+        try:
+            if not self.pipe.poll(self.deadline):
+                raise TimeoutError(f"parser took longer than {self.deadline:g} s")
+            ok, value = self.pipe.recv()
+        except (EOFError, OSError) as problem:
+            late = isinstance(problem, TimeoutError)
+            code = None if late else self._ended()
+            self.close()
+            raise problem if late else RuntimeError(f"parser process ended ({code})") from None
+        if not ok:
+            raise ValueError(value)
+        return value
+
+    def _ended(self) -> int | None:
+        self.child.join(1)
+        return self.child.exitcode
+
+    def close(self) -> None:
+        if self.child is not None:
+            self.child.kill()
+            self.child.join()
+            self.pipe.close()
+            self.child = None
+
+
+def _serve(make, pipe, other_end) -> None:
+    """Parse what comes through the pipe until it closes."""
+    other_end.close()
+    parse = None
+    try:
+        while True:
+            try:
+                if parse is None:
+                    parse = make()
+                    answer = True, None
+                else:
+                    answer = True, _checked(parse(*pipe.recv()))
+            except EOFError:
+                return
+            except Exception as problem:  # any parser failure is that file's result
+                answer = False, str(problem)
+            pipe.send(answer)
+            if parse is None:
+                return
+    except OSError:
+        return
+
+
 ENTRIES_DDL = "struct<depths:array<int>,types:array<string>,texts:array<string>,error:string>"
 
 
@@ -145,7 +219,10 @@ def python_entries(producers: Iterable[PandasProducer]) -> Callable[[Column], Co
     A NULL stays NULL and is not parsed, so files of all kinds of producer go
     through one plan.
     """
-    makers = {p.name: p.make for p in producers}
+    makers = {
+        p.name: p.make if p.deadline is None else (lambda p=p: Guard(p.make, p.deadline))
+        for p in producers
+    }
 
     @F.pandas_udf(ENTRIES_DDL)
     def parse(asked: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,14 +238,19 @@ def python_entries(producers: Iterable[PandasProducer]) -> Callable[[Column], Co
             except Exception as problem:  # any parser failure is that file's result
                 return None, None, None, f"{PARSE_ERROR}{problem}"
 
-        for batch in asked:
-            rows = [one(*row) for row in zip(batch["producer"], batch["content"], batch["language"])]
-            yield pd.DataFrame(
-                {
-                    name: pd.Series([row[i] for row in rows], dtype=object)
-                    for i, name in enumerate(("depths", "types", "texts", "error"))
-                }
-            )
+        try:
+            for batch in asked:
+                rows = [one(*row) for row in zip(batch["producer"], batch["content"], batch["language"])]
+                yield pd.DataFrame(
+                    {
+                        name: pd.Series([row[i] for row in rows], dtype=object)
+                        for i, name in enumerate(("depths", "types", "texts", "error"))
+                    }
+                )
+        finally:
+            for parser in ready.values():
+                if isinstance(parser, Guard):
+                    parser.close()
 
     return parse
 

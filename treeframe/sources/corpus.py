@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from treeframe.functions.text import decoded
 from treeframe.sources.files import list_files, read_files
@@ -51,7 +52,7 @@ def read_corpus(
     path, so it is the same in every run and task. What cannot be read is a row
     with the reason.
     """
-    return _decoded(read_files(list_files(spark, root, glob, recursive)))
+    return decoded_files(read_files(list_files(spark, root, glob, recursive)))
 
 
 def read_requested(requested: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def read_requested(requested: DataFrame) -> DataFrame:
 
     ``requested`` has ``path`` and may have ``language``, which is kept.
     """
-    files = _decoded(read_files(requested.select("path").distinct()))
+    files = decoded_files(read_files(requested.select("path").distinct()))
     if "language" not in requested.columns:
         return files
     asked = requested.select("path", F.when(F.col("language") != "", F.col("language")).alias("_asked"))
@@ -70,7 +71,8 @@ def read_requested(requested: DataFrame) -> DataFrame:
     )
 
 
-def _decoded(read: DataFrame) -> DataFrame:
+def decoded_files(read: DataFrame) -> DataFrame:
+    """Corpus rows of files that were read: path, raw, error."""
     return decode_text(read).select(
         F.md5("path").alias("file_id"), "path", "content",
         F.lit(None).cast("string").alias("language"), "encoding",
@@ -85,8 +87,8 @@ def corpus_from_table(
     language: str | Column | None = None,
     path: str | Column | None = None,
 ) -> DataFrame:
-    """Text that is already in a table, as a corpus. Ids keep their type, numbers or text."""
-    return df.select(
+    """Text that is already in a table, as a corpus. Ids are numbers (bigint) or keep their type."""
+    corpus = df.select(
         _as_column(id).alias("file_id"),
         _as_column(path).alias("path"),
         _as_column(content).alias("content"),
@@ -94,6 +96,9 @@ def corpus_from_table(
         F.lit("utf-8").alias("encoding"),
         F.lit(None).cast("string").alias("read_error"),
     )
+    if isinstance(corpus.schema["file_id"].dataType, IntegralType):
+        corpus = corpus.withColumn("file_id", F.col("file_id").cast("bigint"))
+    return corpus
 
 
 def union_corpora(*corpora: DataFrame) -> DataFrame:
@@ -110,7 +115,7 @@ def union_corpora(*corpora: DataFrame) -> DataFrame:
 def _path_id(found: DataFrame) -> Column:
     """An id for a path that has no file, of the kind that ``found`` has."""
     kind = found.schema["file_id"].dataType
-    return F.md5("path") if kind.simpleString() == "string" else F.xxhash64("path").cast("bigint")
+    return F.md5("path") if kind.simpleString() == "string" else F.xxhash64("path")
 
 
 def with_read_errors(requested: DataFrame, found: DataFrame) -> DataFrame:

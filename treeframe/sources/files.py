@@ -8,7 +8,7 @@ and shared folders and object stores by their address.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fnmatch import fnmatchcase
 
 import pyarrow as pa
@@ -26,7 +26,7 @@ BATCH_BYTES, TASK_BYTES = 32 << 20, 256 << 20
 _ENTRY = "path string, is_file boolean, size bigint, error string"
 
 
-def _located(path: str) -> tuple[fs.FileSystem, str, str]:
+def located(path: str) -> tuple[fs.FileSystem, str, str]:
     """File system, path in it, and what stands before that path in the address."""
     store, inside = fs.FileSystem.from_uri(path if "://" in path else path.removeprefix("file:"))
     return store, inside, path[: -len(inside)] if path.endswith(inside) else ""
@@ -34,7 +34,7 @@ def _located(path: str) -> tuple[fs.FileSystem, str, str]:
 
 def _listed(path: str, glob: str) -> Iterator[tuple]:
     """A file itself; of a folder what is in it, files by name."""
-    store, inside, before = _located(path)
+    store, inside, before = located(path)
     own = store.get_file_info(inside)
     if own.type == fs.FileType.NotFound:
         raise FileNotFoundError(2, "No such file or directory", path)
@@ -86,38 +86,48 @@ def list_files(
         level = level.repartition("path")
 
 
-def _contents(max_bytes: int):
-    def one(path: str, problem: str | None) -> tuple[bytes | None, str | None]:
-        try:
-            if problem is not None:
-                return None, problem
-            store, inside, _ = _located(path)
-            size = store.get_file_info(inside).size or 0
-            if size > max_bytes:
-                return None, f"File too large: {size} bytes"
-            with store.open_input_stream(inside) as stream:
-                return stream.read(), None
-        except (OSError, pa.ArrowException) as problem:
-            return None, str(problem)
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.binary(), pa.string()]
+def _one(path: str, problem: str | None, max_bytes: int) -> tuple[bytes | None, str | None]:
+    try:
+        if problem is not None:
+            return None, problem
+        store, inside, _ = located(path)
+        size = store.get_file_info(inside).size or 0
+        if size > max_bytes:
+            return None, f"File too large: {size} bytes"
+        with store.open_input_stream(inside) as stream:
+            return stream.read(), None
+    except (OSError, pa.ArrowException) as problem:
+        return None, str(problem)
+
+
+def read_rows(files: Iterable[tuple[str, str | None]], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (path, raw, error) of files, given by path and what is wrong with them."""
+    kinds = [pa.string(), pa.binary(), pa.string()]
+
+    def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["path", "raw", "error"]
         )
 
+    rows, held = [], 0
+    for path, problem in files:
+        raw, error = _one(path, problem, max_bytes)
+        rows.append((path, raw, error))
+        held += len(raw or b"")
+        if held >= BATCH_BYTES or len(rows) >= 1000:
+            yield batch()
+            rows, held = [], 0
+    if rows:
+        yield batch()
+
+
+def _contents(max_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for batch in batches:
-            for path, problem in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw, error = one(path, problem)
-                rows.append((path, raw, error))
-                held += len(raw or b"")
-                if held >= BATCH_BYTES or len(rows) >= 1000:
-                    yield batch_of(rows)
-                    rows, held = [], 0
-        if rows:
-            yield batch_of(rows)
+        files = (
+            row for batch in batches
+            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        )
+        yield from read_rows(files, max_bytes)
 
     return run
 
