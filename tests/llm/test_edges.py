@@ -529,3 +529,36 @@ def test_pipeline(spark):
     assert set(after) == set(before) - {i for i, _ in brute.leaks(before.items(), items)}
     mixed = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in mixed} <= set(after) and all(r.taken > 0 for r in mixed)
+
+
+def test_short_tables_are_few_files(spark, tmp_path, monkeypatch):
+    """Written steps follow the rows, not the shuffle partitions, and the rows are the same."""
+    rows = [(i, " ".join(words(i % 60, 30)) + (" more" if i % 7 == 0 else ""), "abc"[i % 3])
+            for i in range(600)]
+    steps = {
+        "exact": lambda docs: exact_dedup.drop_duplicates(docs).select("doc_id"),
+        "near": lambda docs: near_dedup.near_duplicates(docs).drop("mark", "node"),
+        "mix": lambda docs: mixing.mix_sources(docs),
+    }
+    docs = documents(spark, rows)
+    want = {name: sorted(map(repr, step(docs).collect())) for name, step in steps.items()}
+    monkeypatch.setattr(
+        "treeframe.llm.rows.scratch_dir",
+        lambda _, purpose: str(tmp_path / f"{purpose}-{len(list(tmp_path.iterdir()))}"),
+    )
+    held = {"spark.sql.shuffle.partitions": "40",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for name, step in steps.items():
+            assert sorted(map(repr, step(docs).collect())) == want[name]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in tmp_path.iterdir()}
+    assert {name.split("-")[0] for name in files} >= {"exact", "near", "links", "mix"}
+    # Sources are few rows, and come from no step whose rows are known.
+    files = {k: n for k, n in files.items() if not k.startswith(("mix-sources", "mix-levels", "mix-targets"))}
+    assert max(files.values()) <= 4, files

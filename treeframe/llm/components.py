@@ -21,14 +21,15 @@ def components(links: DataFrame) -> DataFrame:
     edges = saved(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .filter("a <> b").distinct(),
-        "links",
+        "links", links.count(),
     )
-    named = None
-    while not edges.isEmpty():
+    named, n = None, edges.count()
+    nodes = 2 * n
+    while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = saved(
             both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("up")),
-            "link-parents",
+            "link-parents", 2 * n,
         )
         at_a = parent.select(F.col("node").alias("a"), F.col("up").alias("up_a"))
         at_b = parent.select(F.col("node").alias("b"), F.col("up").alias("up_b"))
@@ -36,8 +37,9 @@ def components(links: DataFrame) -> DataFrame:
             edges.join(at_a, "a").join(at_b, "b").filter("up_a <> up_b")
             .select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b"))
             .distinct(),
-            "links",
+            "links", n,
         )
+        n = edges.count()
         if named is None:
             named = parent.select("node", F.col("up").alias("component"))
         else:
@@ -45,7 +47,7 @@ def components(links: DataFrame) -> DataFrame:
             named = saved(
                 named.join(step, "component", "left")
                 .select("node", F.coalesce("up", "component").alias("component")),
-                "link-names",
+                "link-names", nodes,
             )
     if named is None:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))

@@ -233,7 +233,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id",
     hit = saved(
         _found(docs, benchmark, id, text, **options)
         .select(F.col("doc_id").alias("__llm_id"), F.col("mark").alias("__llm_mark")).distinct(),
-        "contaminated",
+        "contaminated", docs.count(),
     )
     here = F.col(id).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_of(text)) == F.col("__llm_mark"))
     return docs.join(small(hit), here, "left_anti")

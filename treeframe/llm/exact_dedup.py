@@ -38,16 +38,21 @@ def full_hash(text: Column) -> Column:
     return F.unhex(F.sha2(lower_ascii(text), 256))
 
 
-def duplicate_texts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts that more than one row has: length, full_hash, keep_id, group_size."""
+def duplicate_texts(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", n: int | None = None
+) -> DataFrame:
+    """Texts that more than one row has: length, full_hash, keep_id, group_size.
+
+    ``n`` is the number of rows of ``docs``, if it is known.
+    """
     rows = _measured(docs, id, text)
     lengths = saved(
-        rows.groupBy("length").count().filter("count > 1").select("length"), "exact-lengths"
+        rows.groupBy("length").count().filter("count > 1").select("length"), "exact-lengths", n
     )
     prefixes = saved(
         rows.join(small(lengths), "length", "left_semi")
         .groupBy("length", "prefix").count().filter("count > 1").select("length", "prefix"),
-        "exact-prefixes",
+        "exact-prefixes", n,
     )
     return (
         rows.join(small(prefixes), ["length", "prefix"], "left_semi")
@@ -64,7 +69,8 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     Every row leaves with its digest, so here all texts are hashed once more in
     the scan; the groups themselves come from the refinement.
     """
-    groups = saved(duplicate_texts(docs, id, text), "exact-groups")
+    n = docs.count()
+    groups = saved(duplicate_texts(docs, id, text, n), "exact-groups", n)
     rows = _measured(docs, id, text).select(
         "doc_id", "length", full_hash(F.col("_text")).alias("full_hash")
     )
@@ -82,16 +88,18 @@ def drop_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     Only rows of repeated texts are looked up; all others pass the scan.
     """
-    body = text_of(text)
-    groups = saved(duplicate_texts(docs, id, text), "exact-groups")
+    body, n = text_of(text), docs.count()
+    groups = saved(duplicate_texts(docs, id, text, n), "exact-groups", n)
     keys = saved(
         _measured(docs, id, text)
-        .join(small(saved(groups.select("length").distinct(), "exact-kept")), "length", "left_semi")
+        .join(
+            small(saved(groups.select("length").distinct(), "exact-kept", n)), "length", "left_semi"
+        )
         .select("doc_id", "length", full_hash(F.col("_text")).alias("full_hash"),
                 F.xxhash64("_text").alias("raw"))
         .join(small(groups, 200_000), ["length", "full_hash"])
         .groupBy("doc_id", "full_hash", "raw", "keep_id").count(),
-        "exact-keys",
+        "exact-keys", n,
     )
     raw = [F.col("doc_id").alias("__llm_id"), F.col("raw").alias("__llm_raw")]
     chosen = F.col("doc_id").eqNullSafe(F.col("keep_id"))
@@ -100,7 +108,7 @@ def drop_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         keys.filter(chosen).groupBy("doc_id", "full_hash").agg(
             F.min(F.struct("raw", "count")).alias("least"), F.count(F.lit(1)).alias("variants")
         ).select("doc_id", "full_hash", "least.raw", "least.count", "variants"),
-        "exact-stays",
+        "exact-stays", n,
     )
     varied = stays.filter("variants > 1").select(
         F.col("doc_id").alias("_id"), F.col("full_hash").alias("_hash"), F.col("raw").alias("_raw")

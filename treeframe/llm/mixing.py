@@ -86,7 +86,7 @@ def mix_sources(
     targets = saved(source_targets(rows, weights, share, limit), "mix-targets")
     placed = running_sums(
         rows, [F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size")],
-        {"before": "size"}, "mix-order",
+        {"before": "size"}, "mix-order", rows.count(),
     )
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeframe.llm.components import components
-from treeframe.llm.rows import map_batches, saved, small, text_of
+from treeframe.llm.rows import HEAVY_ROWS, map_batches, saved, small, text_of
 from treeframe.llm.words import SPACED, U64, Words, mixed, shingles, slices
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -243,6 +243,7 @@ def near_duplicates(
         ),
         "near-signed",
     )
+    n = signed.count()
     classes = signed.filter("node is not null")
     bits = 2 * rows
     keys = classes.select(
@@ -256,9 +257,12 @@ def near_duplicates(
     shared = saved(
         keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low <> high").select("key"),
-        "near-buckets",
+        "near-buckets", bands * n,
     )
-    member = saved(keys.join(small(shared), "key", "left_semi").distinct(), "near-members")
+    member = saved(
+        keys.join(small(shared), "key", "left_semi").distinct(), "near-members", bands * n
+    )
+    n_members = member.count()
     company = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     weight = member.join(company, "key").groupBy("node").agg(F.sum("n").alias("weight"))
     centre = (
@@ -270,14 +274,14 @@ def near_duplicates(
         member.join(centre, "key").filter("node <> centre")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         .distinct(),
-        "near-stars",
+        "near-stars", n_members,
     )
-    active = saved(member.select("node").distinct(), "near-active")
+    active = saved(member.select("node").distinct(), "near-active", n)
     # One row's text stands for its class.
     chosen = saved(
         classes.join(small(active), "node", "left_semi").groupBy("node")
         .agg(F.min(F.struct("doc_id", "mark")).alias("row")),
-        "near-chosen",
+        "near-chosen", n,
     )
     picked = chosen.select(F.col("row.doc_id").alias("__llm_id"), F.col("row.mark").alias("__llm_mark"))
     sets = saved(
@@ -293,7 +297,8 @@ def near_duplicates(
         ),
         "near-sets",
     )
-    if sets.count() > active.count():  # rows that repeat an id and a text
+    n_sets = sets.count()
+    if n_sets > active.count():  # rows that repeat an id and a text
         sets = saved(sets.dropDuplicates(["node"]), "near-sets")
 
     def joined(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
@@ -308,14 +313,14 @@ def near_duplicates(
 
     likely = saved(
         map_batches(joined(stars, sets, "minima"), partial(_likely, size, threshold), pair),
-        "near-likely",
+        "near-likely", n_sets + stars.count(), HEAVY_ROWS,
     )
-    links = saved(confirmed(likely), "near-links")
+    links = saved(confirmed(likely), "near-links", n_sets + likely.count(), HEAVY_ROWS)
     first = components(links).withColumnRenamed("component", "label")
 
     labelled = saved(
         member.join(first, "node", "left").withColumn("label", F.coalesce("label", "node")),
-        "near-labelled",
+        "near-labelled", n_members,
     )
     counts = (
         labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
@@ -328,7 +333,7 @@ def near_duplicates(
             F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("n_rest"),
             F.ceil(F.col("n") / BLOCK).cast("int").alias("n_all"),
         ),
-        "near-split",
+        "near-split", n_members,
     )
     open_members = labelled.join(split, "key").withColumn("hash", F.xxhash64("node"))
     own_i = F.pmod("hash", "n_rest").cast("int")
@@ -348,8 +353,11 @@ def near_duplicates(
         .groupBy("key", "i", "j").applyInArrow(_block_pairs(bands, rows, threshold, percent), pair)
     )
     fresh = saved(more.distinct().join(likely, ["a", "b"], "left_anti"), "near-fresh")
-    if not fresh.isEmpty():
-        links = links.unionByName(saved(confirmed(fresh), "near-links"))
+    n_fresh = fresh.count()
+    if n_fresh:
+        links = links.unionByName(
+            saved(confirmed(fresh), "near-links", n_sets + n_fresh, HEAVY_ROWS)
+        )
     named = saved(components(links), "near-components")
 
     ids = F.coalesce("doc_id", F.lit(2**63 - 1))
@@ -361,7 +369,7 @@ def near_duplicates(
         .agg(F.min(F.struct(ids.alias("id"), "mark")).alias("least"), F.count(F.lit(1)).alias("rows"))
         .filter("rows > 1")
         .select("component", F.col("least.id").alias("least"), F.col("least.mark").alias("least_mark")),
-        "near-least",
+        "near-least", n,
     )
     group = F.coalesce("least", "doc_id")
     return rows_named.join(small(least), "component", "left").select(

@@ -12,6 +12,9 @@ from treeframe.session import scratch_dir
 
 # A table is broadcast only if it was written and counted, and has no more rows.
 BROADCAST_ROWS = 500_000
+# Rows that a task of a written step gets, if their number is known: narrow ones, and ones
+# with sets or minima.
+FILE_ROWS, HEAVY_ROWS = 100_000, 2_000
 # Rows of one Arrow batch at most: texts are long, and a batch is held by the JVM and by
 # Python at once.
 BATCH_ROWS = 1000
@@ -32,11 +35,20 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+def saved(
+    df: DataFrame, purpose: str, rows: int | None = None, each: int = FILE_ROWS
+) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     It cuts the lineage: what is lost with an executor is read again from there.
+    ``rows``, a bound of the rows that the last step reads or makes, lets its tasks be
+    joined until each gets ``each`` of them: a short table is few files, however many
+    shuffle partitions it comes from. Where Hadoop has no native library, each file
+    on a local disk starts processes from the executor to set permissions, and
+    until such a process has begun its own program it counts as a second executor.
     """
+    if rows is not None:
+        df = df.coalesce(rows // each + 1)
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -51,20 +63,21 @@ def small(written: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def running_sums(
-    df: DataFrame, order: list[Column], values: dict[str, str | Column], purpose: str
+    df: DataFrame, order: list[Column], values: dict[str, str | Column], purpose: str,
+    rows: int | None = None,
 ) -> DataFrame:
     """``df`` with, for each of ``values`` (by its new name), the sum over all rows before it.
 
     Rows are range-sorted and written with the number of their part; sums of
     the parts are few, and a window runs within each part only, so no task gets
     more than one range. Rows that ``order`` does not tell apart come in any
-    order.
+    order. ``rows`` is their number, if it is known: see ``saved``.
     """
     parts = saved(
         df.withColumns({f"_v_{k}": v if isinstance(v, Column) else F.col(v)
                         for k, v in values.items()})
         .repartitionByRange(*order).withColumn("_part", F.spark_partition_id()),
-        purpose,
+        purpose, rows,
     )
     sums = parts.groupBy("_part").agg(*[F.sum(f"_v_{k}").alias(f"_s_{k}") for k in values])
     # One row for each part: as many rows as there are partitions.
@@ -74,7 +87,7 @@ def running_sums(
         *[F.coalesce(F.sum(f"_s_{k}").over(earlier), F.lit(0)).alias(f"_o_{k}") for k in values],
     )
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
+    summed = (
         parts.join(F.broadcast(starts), "_part")
         .withColumns({
             k: F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(within), F.lit(0))
@@ -82,6 +95,7 @@ def running_sums(
         })
         .select(*df.columns, *values)
     )
+    return summed if rows is None else summed.coalesce(rows // FILE_ROWS + 1)
 
 
 def map_batches(
